@@ -289,7 +289,8 @@ def q_split_by_attribute(spark: SparkSession, sf: str) -> DataFrame:
 MERGE_SPECS = [
     ("county_group_1", "county_group_4"),
     ("county_group_2", "county_group_3"),
-    ("county_group_50", "county_group_51"),
+    ("county_group_50", "county_group_53"),
+    ("independent_county_C00022", "county_group_52"),
     ("county_group_999", "county_group_7"),
     ("independent_county_C00000", "county_group_0"),
     ("county_group_9", "county_group_12"),
