@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.codes import county_fips5
 from gridloom.functions.columns import q, require_columns
-from gridloom.operators.joins import anti_join, lookup_join
+from gridloom.operators.joins import anti_join
 from gridloom.operators.ranking import global_sequence, pick_per_group
 
 GROUP_PREFIX = "county_group_"
@@ -87,8 +87,8 @@ def dominant_area(pairs: DataFrame, s: GroupingSpec = GroupingSpec()) -> DataFra
 
 
 def assign_groups(samples: DataFrame, spec: GroupingSpec = GroupingSpec(),
-                  relabel_singletons: bool = True) -> DataFrame:
-    """Member-level group labels: (member, group).
+                  relabel_singletons: bool = True, keep_first: str | None = None) -> DataFrame:
+    """Member-level group labels: (member, group[, keep_first]).
 
     1. an area is *shared* when more than one distinct member has it;
     2. a member with no shared area is independent;
@@ -99,7 +99,9 @@ def assign_groups(samples: DataFrame, spec: GroupingSpec = GroupingSpec(),
        ``county_group_<n>``; independent -> ``independent_county_<member>``;
     5. groups left with one member become independent (their numbers
        stay unused).
-    Rows with a null member get no label.
+    Rows with a null member get no label.  With ``keep_first`` the
+    member's first order key is kept under that name (the order later
+    steps use, so they need not go back to the samples).
     """
     s = spec
     pairs = _pair_weights(samples, s)
@@ -119,7 +121,10 @@ def assign_groups(samples: DataFrame, spec: GroupingSpec = GroupingSpec(),
         keep = keep & (F.col("_size") > 1)
     label = (F.when(keep, F.concat(F.lit(GROUP_PREFIX), F.col("_gid").cast("string")))
              .otherwise(F.concat(F.lit(INDEPENDENT_PREFIX), F.col(q(s.member)))))
-    return labels.select(s.member, label.alias(s.group))
+    extra = [F.col("_first").alias(keep_first)] if keep_first else []
+    if keep_first:
+        labels = labels.join(first, s.member)
+    return labels.select(s.member, label.alias(s.group), *extra)
 
 
 def relabel_singletons(labels: DataFrame, member: str = "county", group: str = "county_groups") -> DataFrame:
@@ -210,7 +215,8 @@ def merge_groups(frame: DataFrame, specs: DataFrame, group: str = "county_groups
         mapping = allowed.groupBy("source_group").agg(F.max_by("target_group", spec_order).alias("_to"))
     else:
         mapping = allowed.groupBy("source_group").agg(F.max("target_group").alias("_to"))
-    result = (lookup_join(frame, mapping.withColumnRenamed("source_group", group), group, "left")
+    # The mapping holds at most one row per spec; AQE broadcasts it at runtime.
+    result = (frame.join(mapping.withColumnRenamed("source_group", group), group, "left")
               .withColumn(group, F.coalesce(F.col("_to"), F.col(q(group))))
               .drop("_to"))
     return MergeResult(result=result, report=report)
@@ -250,3 +256,58 @@ def impute_missing_members(samples: DataFrame, reference: DataFrame, crosswalk:
 def member_mapping(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct member rows, ordered by the given columns with nulls last."""
     return frame.select(*columns).distinct().orderBy(*[F.col(q(c)).asc_nulls_last() for c in columns])
+
+
+@dataclass(frozen=True)
+class GroupingResult:
+    rows: DataFrame
+    members: DataFrame
+    mapping: DataFrame
+    merge_report: DataFrame | None
+
+
+def build_county_groups(samples: DataFrame, zone_of: Column | None = None,
+                        zones: DataFrame | None = None, reference: DataFrame | None = None,
+                        crosswalk: DataFrame | None = None, specs: DataFrame | None = None,
+                        spec: GroupingSpec = GroupingSpec(), key: str = "county_fips5",
+                        zone: str = "R") -> GroupingResult:
+    """The whole county-group job: assign, impute missing members, attach
+    zones, split by zone, apply gated merges, list the mapping.
+
+    The chain runs on a member-level table (one row per county with its
+    first order key; imputed members sort after every sampled one),
+    checkpointed so its several uses do not recompute the sample
+    aggregates; labels are joined back to the sample rows once at the end.
+    Zones come either as an expression of the member (``zone_of``) or as a
+    lookup table (``zones``: ``key``, ``zone``).
+    """
+    s = spec
+    members = assign_groups(samples, s, keep_first="first_order")
+    rows = attach_labels(samples, members.drop("first_order"), s.member)
+    if reference is not None and crosswalk is not None:
+        rows = impute_missing_members(rows, reference, crosswalk, key=key, member=s.member,
+                                      area=s.area, group=s.group, weight=s.weight, order=s.order)
+        added = (rows.where(F.col(q(s.order)).startswith("dummy_"))
+                 .select(s.member, s.group, F.lit(None).cast(members.schema["first_order"].dataType)
+                         .alias("first_order")))
+        members = members.unionByName(added)
+    if zone_of is not None:
+        members = members.withColumn(zone, zone_of)
+    elif zones is not None:
+        keyed = rows.select(s.member, key).distinct()
+        members = members.join(keyed, s.member, "left").join(zones, key, "left").drop(key)
+    else:
+        members = members.withColumn(zone, F.lit(None).cast("string"))
+    members = members.checkpoint(eager=True)
+    members = split_by_zone(members, s.member, s.group, zone)
+    report = None
+    if specs is not None:
+        order = [F.col("first_order").isNull(), F.col("first_order")]
+        merged = merge_groups(members, specs, s.group, zone, order=order,
+                              spec_order="spec_order" if "spec_order" in specs.columns else None)
+        members, report = merged.result, merged.report
+    members = members.checkpoint(eager=True)
+    final = members.select(s.member, s.group, zone)
+    rows = rows.drop(s.group).join(final, s.member, "left")
+    mapping = member_mapping(members, [s.member, zone, s.group])
+    return GroupingResult(rows=rows, members=members, mapping=mapping, merge_report=report)

@@ -272,15 +272,17 @@ def q_assign_groups(spark: SparkSession, sf: str) -> DataFrame:
     return grp.attach_labels(b.select("bldgid", "county", "puma"), labels)
 
 
-def _grouped_with_zone(spark: SparkSession, sf: str) -> DataFrame:
+def _members_with_zone(spark: SparkSession, sf: str) -> DataFrame:
+    """Member-level table: county, label, first order key, zone
+    (checkpointed: the split reads it several times)."""
     b = samples_b(spark, sf)
-    rows = grp.attach_labels(b, grp.assign_groups(b))
-    return rows.withColumn("R", county_zone(F.col("county")))
+    members = grp.assign_groups(b, keep_first="first_order")
+    return members.withColumn("R", county_zone(F.col("county"))).checkpoint(eager=True)
 
 
 def q_split_by_attribute(spark: SparkSession, sf: str) -> DataFrame:
-    split = grp.split_by_zone(_grouped_with_zone(spark, sf))
-    return split.select("county", "R", "county_groups").distinct()
+    split = grp.split_by_zone(_members_with_zone(spark, sf))
+    return split.select("county", "R", "county_groups")
 
 
 # Merge specs are user data.  Chosen against the sf0.01 labels to hit every
@@ -298,12 +300,15 @@ MERGE_SPECS = [
 ]
 
 
+def merge_specs(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(s, t, i) for i, (s, t) in enumerate(MERGE_SPECS)],
+                                 "source_group string, target_group string, spec_order int")
+
+
 def q_gated_merge(spark: SparkSession, sf: str) -> DataFrame:
-    split = grp.split_by_zone(_grouped_with_zone(spark, sf))
-    specs = spark.createDataFrame([(s, t, i) for i, (s, t) in enumerate(MERGE_SPECS)],
-                                  "source_group string, target_group string, spec_order int")
-    res = grp.merge_groups(split, specs, order=["bldgid"], spec_order="spec_order")
-    return res.result.select("county", "county_groups").distinct()
+    split = grp.split_by_zone(_members_with_zone(spark, sf))
+    res = grp.merge_groups(split, merge_specs(spark), order=["first_order"], spec_order="spec_order")
+    return res.result.select("county", "county_groups")
 
 
 def _impute_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -333,7 +338,7 @@ def q_impute_missing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_mapping_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    split = grp.split_by_zone(_grouped_with_zone(spark, sf))
+    split = grp.split_by_zone(_members_with_zone(spark, sf))
     return grp.member_mapping(split, ["county", "R", "county_groups"])
 
 
