@@ -52,7 +52,7 @@ def _validate_states(states: Iterable[str]) -> list[str]:
 
 def select_objects(manifest: DataFrame, prefix: str = "", sel: Selection = Selection(),
                    key: str = "key") -> DataFrame:
-    """Keep manifest rows matching the selection.
+    """Keep manifest rows under ``prefix`` matching the selection.
 
     * extension: key ends with any of ``extensions`` (None keeps all);
     * version: first segment after ``prefix`` equals it;
@@ -66,8 +66,9 @@ def select_objects(manifest: DataFrame, prefix: str = "", sel: Selection = Selec
       ``state_name_tokens``).
     """
     k = F.col(key)
-    rel = F.when(k.startswith(prefix), F.substring(k, len(prefix) + 1, 1 << 30)).otherwise(k) if prefix else k
-    cond = F.lit(True)
+    rel = F.substring(k, len(prefix) + 1, 1 << 30) if prefix else k
+    # Only keys under the prefix are listed (a pushed-down StartsWith).
+    cond = k.startswith(prefix) if prefix else F.lit(True)
     if sel.extensions is not None:
         ext = F.lit(False)
         for e in sel.extensions:

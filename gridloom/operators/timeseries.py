@@ -25,8 +25,14 @@ from gridloom.functions.timefns import ceil_to, trunc_to
 
 
 def _drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # Group-by in the series tools drops rows with a null key.
-    return df.na.drop(subset=list(keys)) if keys else df
+    # Group-by in the series tools drops rows with a null key.  (An explicit
+    # filter: ``na.drop(subset=...)`` cannot address names with dots.)
+    if not keys:
+        return df
+    cond = F.col(q(keys[0])).isNotNull()
+    for k in keys[1:]:
+        cond = cond & F.col(q(k)).isNotNull()
+    return df.where(cond)
 
 
 def rollup_to_period(df: DataFrame, unit: str = "hour", ts_col: str | None = None,
@@ -152,8 +158,8 @@ def state_rollup(df: DataFrame, code_col: str, value_col: str, ts_col: str = "ti
         kept = kept.where(F.col("_parent").isin([s.strip().upper() for s in states]))
     result = (kept.groupBy(F.col("_parent").alias(parent_name), F.col(q(ts_col)).alias(ts_col))
               .agg(exact_sum(q(value_col), sum_scale).alias(value_col))
-              .select(ts_col, value_col, parent_name)
-              .orderBy(parent_name, ts_col))
+              .select(F.col(q(ts_col)), F.col(q(value_col)), F.col(q(parent_name)))
+              .orderBy(F.col(q(parent_name)), F.col(q(ts_col))))
     return StateRollup(result=result, rejected=rejected)
 
 

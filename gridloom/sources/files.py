@@ -110,14 +110,17 @@ def read_csv_tree(spark: SparkSession, root: str, glob: str = "*.csv",
 
 def read_county_series(spark: SparkSession, root: str, value_col: str,
                        glob: str = "*-gap.csv", partition: str = "county") -> DataFrame:
-    """County time-series files ``.../county=<code>/<name>-gap.csv``:
-    (timestamp text, value double, code from the parent folder).  A blank
-    or non-numeric value fails the read, as it should."""
-    schema = StructType([StructField("timestamp", StringType()), StructField(value_col, StringType())])
-    raw = (spark.read.option("header", True).option("pathGlobFilter", glob)
-           .option("recursiveFileLookup", "true").option("mode", "FAILFAST")
-           .schema(schema).csv(root)
-           .withColumn("_path", F.col("_metadata.file_path")))
+    """County time-series files ``.../county=<code>/<name>-gap.csv``.
+
+    Only ``timestamp`` (kept as text) and ``value_col`` are read, by header
+    name; the value is cast to double under ANSI rules, so a blank or
+    non-numeric value fails the job as it should.  The code comes from the
+    parent folder ``<partition>=<code>``; files in a folder without ``=``
+    get a null code (and are routed aside by the rollup)."""
+    raw = (spark.read.option("header", True).option("inferSchema", False)
+           .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+           .option("mode", "FAILFAST").csv(root)
+           .select(F.col("timestamp"), F.col(q(value_col)), F.col("_metadata.file_path").alias("_path")))
     parent = F.element_at(F.split(F.col("_path"), "/"), -2)
     code = F.when(parent.contains("="), F.split(parent, "=", 2).getItem(1))
     return raw.select(F.col("timestamp"),
