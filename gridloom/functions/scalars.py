@@ -115,13 +115,18 @@ def starts_with_safe(col: Column | str, prefix: str) -> Column:
 def exact_sum(col: Column | str, scale: int | None) -> Column:
     """Sum that does not depend on the order rows arrive in.
 
-    With ``scale`` the values are summed as decimal(38, scale) and the total
-    cast back to double, so every partitioning gives the same bits.  The sum
+    With ``scale`` every value is taken as an integer count of
+    ``10**-scale`` units (``rint(x * 10**scale)``, exact for values carrying
+    at most ``scale`` decimals), the counts are summed as ``bigint`` (exact,
+    on the fast long path, an overflow fails the query under ANSI rules)
+    and the total is scaled back to double once.  So every partitioning
+    gives the same bits, and equals a decimal sum cast to double.  The sum
     of an all-null group is 0.0 (not null), as the series tools expect.
     """
     c = _as(col)
     if scale is None:
         s = F.sum(c.cast("double"))
     else:
-        s = F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
+        unit = float(10 ** scale)
+        s = F.sum(F.rint(c.cast("double") * unit).cast("long")) / F.lit(unit)
     return F.coalesce(s, F.lit(0.0))

@@ -7,7 +7,7 @@ returns a zoned timestamp, so results are cast back to the input type.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampNTZType
 
@@ -18,6 +18,19 @@ _UNIT_INTERVAL = {
 }
 
 
+_UNIT_MICROS = {
+    "minute": 60_000_000,
+    "hour": 3_600_000_000,
+    "day": 86_400_000_000,
+}
+_UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "UTC+00:00"}
+
+
+def _session_is_utc() -> bool:
+    spark = SparkSession.getActiveSession()
+    return spark is not None and spark.conf.get("spark.sql.session.timeZone", "") in _UTC_NAMES
+
+
 def _as(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -33,9 +46,15 @@ def ceil_to(unit: str, ts: Column | str, dtype: DataType | None = None) -> Colum
 
     00:15, 00:30, 00:45 and 01:00 all map to 01:00; exact boundaries stay;
     the last quarter-hours of a year map to the next January 1st.  Written
-    as ``date_trunc(unit, ts + 1 unit - 1 microsecond)`` so it stays a
-    codegen expression.
+    as ``date_trunc(unit, ts + 1 unit - 1 microsecond)``, or, when the
+    session zone is UTC and the unit has a fixed length, as exact integer
+    arithmetic on microseconds (no per-row zone lookups); both stay inside
+    whole-stage codegen.
     """
+    if unit in _UNIT_MICROS and _session_is_utc():
+        # Exact integer form (no zone rules to apply in UTC): m + pmod(-m, u).
+        micros = F.unix_micros(_as(ts).cast("timestamp"))
+        return _keep_type(F.timestamp_micros(micros + F.pmod(-micros, F.lit(_UNIT_MICROS[unit]))), dtype)
     step = _UNIT_INTERVAL[unit]
     shifted = _as(ts) + F.expr(step) - F.expr("INTERVAL 1 MICROSECOND")
     return _keep_type(F.date_trunc(unit, shifted), dtype)
@@ -43,6 +62,9 @@ def ceil_to(unit: str, ts: Column | str, dtype: DataType | None = None) -> Colum
 
 def trunc_to(unit: str, ts: Column | str, dtype: DataType | None = None) -> Column:
     """Floor of ``ts`` to ``unit`` (hour-beginning labels)."""
+    if unit in _UNIT_MICROS and _session_is_utc():
+        micros = F.unix_micros(_as(ts).cast("timestamp"))
+        return _keep_type(F.timestamp_micros(micros - F.pmod(micros, F.lit(_UNIT_MICROS[unit]))), dtype)
     return _keep_type(F.date_trunc(unit, _as(ts)), dtype)
 
 

@@ -104,11 +104,17 @@ def assign_groups(samples: DataFrame, spec: GroupingSpec = GroupingSpec(),
     steps use, so they need not go back to the samples).
     """
     s = spec
-    pairs = _pair_weights(samples, s)
+    # One pass over the samples: weight and first order key per (member,
+    # area), null areas kept as their own key so the member's first
+    # appearance counts every row.  Checkpointed: everything below reads
+    # this pair-level table, never the samples again.
+    pf = (samples.where(F.col(q(s.member)).isNotNull())
+          .groupBy(F.col(q(s.member)).alias(s.member), F.col(q(s.area)).alias(s.area))
+          .agg(F.sum(F.col(q(s.weight))).alias("_w"), F.min(F.col(q(s.order))).alias("_first"))
+          .checkpoint(eager=True))
+    pairs = pf.where(F.col(q(s.area)).isNotNull()).select(s.member, s.area, "_w")
     chosen = dominant_area(pairs, s).select(s.member, s.area)
-    first = (samples.where(F.col(q(s.member)).isNotNull())
-             .groupBy(F.col(q(s.member)).alias(s.member))
-             .agg(F.min(F.col(q(s.order))).alias("_first")))
+    first = pf.groupBy(s.member).agg(F.min("_first").alias("_first"))
     per_area = (chosen.join(first, s.member)
                 .groupBy(s.area)
                 .agg(F.min("_first").alias("_first"), F.count(F.lit(1)).alias("_size")))

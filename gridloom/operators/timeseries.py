@@ -38,19 +38,22 @@ def _drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def rollup_to_period(df: DataFrame, unit: str = "hour", ts_col: str | None = None,
                      keys: Sequence[str] | None = None,
                      rules: MeasureRules = MeasureRules(),
-                     sum_scale: int | None = None, count_as: str | None = None) -> DataFrame:
+                     sum_scale: int | None = None, count_as: str | None = None,
+                     bucketed: bool = False) -> DataFrame:
     """Stage 1: hour-ending (period-ending) aggregate.
 
     The timestamp is ceiled to ``unit``; keys default to every string
     column + the timestamp + ``upgrade``; energy measures are summed,
     population measures averaged.  Without a timestamp column the input is
     returned unchanged; without measures only the timestamp is relabelled.
+    ``bucketed`` says the timestamp is already period-ending (see
+    ``bucket_time``), so it is not recomputed.
     """
     ts = ts_col or find_timestamp_column(df.columns)
     if ts is None:
         return df
-    dtype = df.schema[ts].dataType
-    df = df.withColumn(ts, ceil_to(unit, F.col(q(ts)), dtype))
+    if not bucketed:
+        df = bucket_time(df, unit, ts)
     group = list(keys) if keys is not None else default_group_keys(df.schema, ts)
     if ts not in group:
         group.append(ts)
@@ -64,6 +67,17 @@ def rollup_to_period(df: DataFrame, unit: str = "hour", ts_col: str | None = Non
     return _drop_null_keys(df, group).groupBy(*[F.col(q(k)) for k in group]).agg(*aggs)
 
 
+def bucket_time(df: DataFrame, unit: str = "hour", ts_col: str | None = None) -> DataFrame:
+    """Replace the timestamp by its period-ending label.  Apply it to the
+    wide table *before* a melt: the timestamp is an id column, so the result
+    is the same and the label is computed once per wide row instead of once
+    per end use."""
+    ts = ts_col or find_timestamp_column(df.columns)
+    if ts is None:
+        return df
+    return df.withColumn(ts, ceil_to(unit, F.col(q(ts)), df.schema[ts].dataType))
+
+
 def rollup_across(df: DataFrame, drop_key: str | None = None, ts_col: str | None = None,
                   keys: Sequence[str] | None = None,
                   rules: MeasureRules = MeasureRules(),
@@ -93,16 +107,18 @@ def long_end_use(df: DataFrame, unit: str | None = "hour", by_building_type: boo
                  ts_col: str | None = None, building_type_col: str | None = None,
                  keys: Sequence[str] | None = None,
                  rules: MeasureRules = MeasureRules(),
-                 sum_scale: int | None = None) -> DataFrame:
+                 sum_scale: int | None = None, bucketed: bool = False) -> DataFrame:
     """Roll a melted end-use table up: stage 1 to ``unit`` (``None`` keeps
     the 15-minute grain and does no aggregation), stage 2 across building
-    types unless ``by_building_type``."""
+    types unless ``by_building_type``.  ``bucketed``: the timestamp was
+    already labelled by ``bucket_time`` before the melt."""
     if unit is None:
         return df
     ts = ts_col or find_timestamp_column(df.columns)
     if ts is None:
         return df
-    out = rollup_to_period(df, unit=unit, ts_col=ts, keys=keys, rules=rules, sum_scale=sum_scale)
+    out = rollup_to_period(df, unit=unit, ts_col=ts, keys=keys, rules=rules, sum_scale=sum_scale,
+                           bucketed=bucketed)
     if by_building_type:
         return out
     return rollup_across(out, drop_key=building_type_col, ts_col=ts,

@@ -34,7 +34,7 @@ from gridloom.operators.ranking import dense_ordinal, first_seen_ordinal, pick_p
 from gridloom.operators.reshape import melt_end_uses
 from gridloom.operators.sets import append_and_count, last_per_key, union_by_name
 from gridloom.operators.timeseries import (
-    distinct_keys, long_end_use, merge_partials, month_hour_profile,
+    bucket_time, distinct_keys, long_end_use, merge_partials, month_hour_profile,
     rollup_to_period, share_of_total, state_rollup, sum_by_truncated_time,
 )
 from gridloom.plans.bases import county_zone, documents_manifest, idiv, samples_b
@@ -45,8 +45,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _gwh(col: str = "value") -> "F.Column":
-    # SUM(value / 1e6) computed as an exact decimal sum, then scaled.
-    return F.sum(F.col(col).cast("decimal(38,2)")).cast("double") / F.lit(1e6)
+    # SUM(value / 1e6) computed as an exact sum of cents, then scaled.
+    return exact_sum(col, 2) / F.lit(1e6)
 
 
 # ---------------------------------------------------------------- reshape / C1
@@ -57,12 +57,13 @@ def q_long_end_use(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").select(
         "l_shipdate", "l_returnflag", "l_linestatus", "l_discount",
         "l_quantity", "l_extendedprice", "l_tax")
+    li = bucket_time(li, "day", "l_shipdate")  # once per wide row, before the melt
     melted = melt_end_uses(li, value_columns=["l_quantity", "l_extendedprice", "l_tax"],
                            label=token_after("_"), drop_prefix=None, exclude_substring=None,
                            value_name="kwh")
     rules = MeasureRules(energy_marker="kwh", population=("l_discount",))
     out = long_end_use(melted, unit="day", ts_col="l_shipdate", building_type_col="l_linestatus",
-                       rules=rules, sum_scale=2)
+                       rules=rules, sum_scale=2, bucketed=True)
     return out.withColumn("l_discount", F.round("l_discount", 6))
 
 
