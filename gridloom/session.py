@@ -41,9 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch folder is made.
     """
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="gridloom-ckpt-")

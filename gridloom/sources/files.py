@@ -59,14 +59,19 @@ def _first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
 
     schema = StructType([StructField("path", StringType()), StructField("header", StringType())])
 
+    def first_line(p: str) -> str:
+        if p.startswith("file:") or "://" not in p:
+            local = p[5:] if p.startswith("file:") else p
+            with open(local, encoding="utf-8", newline="") as fh:
+                return fh.readline().rstrip("\r\n")
+        import fsspec  # object stores: optional dependency
+
+        with fsspec.open(p, "rt", encoding="utf-8", newline="") as fh:
+            return fh.readline().rstrip("\r\n")
+
     def heads(batches):
         for pdf in batches:
-            out = []
-            for p in pdf["path"]:
-                local = p[5:] if p.startswith("file:") else p
-                with open(local, encoding="utf-8", newline="") as fh:
-                    out.append(fh.readline().rstrip("\r\n"))
-            yield pd.DataFrame({"path": pdf["path"], "header": out})
+            yield pd.DataFrame({"path": pdf["path"], "header": [first_line(p) for p in pdf["path"]]})
 
     listing = spark.createDataFrame([(p,) for p in paths], "path string")
     rows = listing.mapInPandas(heads, schema).groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
