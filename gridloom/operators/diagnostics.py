@@ -44,7 +44,8 @@ def first_n_per_group(df: DataFrame, group: str, value: str, n: int, rank_name:
     w = Window.partitionBy(F.col(q(group))).orderBy(F.col(q(value)).asc())
     return (df.select(group, value).distinct()
             .withColumn(rank_name, F.row_number().over(w))
-            .where(F.col(rank_name) <= n))
+            .where(F.col(rank_name) <= n)
+            .withColumn(rank_name, F.col(rank_name).cast("long")))
 
 
 def validity_report(df: DataFrame, code: Column, by: str, length: int = 5) -> DataFrame:

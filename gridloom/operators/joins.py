@@ -55,14 +55,20 @@ def lookup_join(left: DataFrame, lookup: DataFrame, on: str | Sequence[str], how
 
 def anti_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose non-null key is absent from ``right``.
-    Rows with a null key are excluded first, as a set difference of keys."""
+    Rows with a null key are excluded first, as a set difference of keys.
+    The right side is reduced to its distinct keys first (a partial
+    aggregate in every map task), so a large right side ships each key
+    once per task rather than once per row."""
     keys = [on] if isinstance(on, str) else list(on)
-    return left.na.drop(subset=keys).join(right.select(*keys).na.drop(), on=keys, how="left_anti")
+    right_keys = right.select(*keys).na.drop().distinct()
+    return left.na.drop(subset=keys).join(right_keys, on=keys, how="left_anti")
 
 
 def semi_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Rows of ``left`` whose key occurs in ``right`` (right reduced to
+    distinct keys first)."""
     keys = [on] if isinstance(on, str) else list(on)
-    return left.join(right.select(*keys), on=keys, how="left_semi")
+    return left.join(right.select(*keys).distinct(), on=keys, how="left_semi")
 
 
 def key_audit(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

@@ -14,7 +14,7 @@ from gridloom.operators import grouping as grp
 from gridloom.operators import manifest as mf
 from gridloom.operators.reshape import melt_end_uses
 from gridloom.operators.timeseries import bucket_time, long_end_use, state_rollup
-from gridloom.sinks import writers
+from gridloom.sinks import layout, writers
 from gridloom.sources import files
 from gridloom.sources.census import read_county_reference, read_tract_crosswalk
 
@@ -76,13 +76,26 @@ def county_groups(spark: SparkSession, samples_path: str, county_ref_path: str,
 
 
 def annual_extract(spark: SparkSession, input_dir: str, out: str | None = None,
-                   state: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
+                   state: str | None = None, partition_by: Sequence[str] = (),
+                   write: bool = True) -> tuple[DataFrame, str]:
     """Partitioned Parquet tree -> one normalised extract (optionally one
-    state, pruned at listing when ``state`` is a partition column)."""
+    state, pruned at listing when ``state`` is a partition column).
+
+    Without ``out`` the extract goes to
+    ``<input>/<aggregation>/<version>/<name>[_<STATE>]`` inferred from the
+    tree.  Returns the extract frame and its output path."""
     df = writers.normalise_for_sink(files.read_parquet_tree(spark, input_dir, state=state))
-    if out:
+    if out is None:
+        root = input_dir.rstrip("/")
+        first = (files.list_files(spark, root, "*.parquet").select("path")
+                 .orderBy("path").limit(1).collect())
+        first_path = first[0]["path"].split(":", 1)[-1] if first else None
+        if first_path and first_path.startswith("//"):
+            first_path = first_path[2:]
+        out = f"{layout.infer_output_folder(root, first_path)}/{layout.extract_name(root, state)}"
+    if write:
         writers.write_extract(df, out, partition_by)
-    return df
+    return df, out
 
 
 def select_and_report(manifest: DataFrame, prefix: str, sel: mf.Selection,

@@ -77,8 +77,10 @@ def test_county_groups_job(spark, tmp_dir):
 def test_annual_extract_and_selection(spark, tmp_dir):
     df = spark.createDataFrame([(1, 2.5, "AL"), (2, float("nan"), "CA")], "id int, v float, state string")
     df.write.partitionBy("state").parquet(f"{tmp_dir}/tree")
-    out = jobs.annual_extract(spark, f"{tmp_dir}/tree", f"{tmp_dir}/extract", state="CA")
-    assert [(r.id, r.v) for r in out.collect()] == [(2, None)]
+    out, path = jobs.annual_extract(spark, f"{tmp_dir}/tree", f"{tmp_dir}/extract", state="CA")
+    assert [(r.id, r.v) for r in out.collect()] == [(2, None)] and path == f"{tmp_dir}/extract"
+    _, default = jobs.annual_extract(spark, f"{tmp_dir}/tree", state="CA", write=False)
+    assert default == f"{tmp_dir}/tree/full/tree_CA"
     listing = spark.createDataFrame([("p/upgrade=0/state=AL/a.csv", 5), ("p/upgrade=1/state=AL/b.csv", 7)],
                                     "key string, size long")
     fails = spark.createDataFrame([("p/upgrade=0/state=AL/a.csv",)], "key string")
@@ -87,3 +89,13 @@ def test_annual_extract_and_selection(spark, tmp_dir):
     assert tot.collect()[0].n_files == 1
     assert {r.status: r.n_files for r in rep.collect()} == {"error": 1}
     assert open(glob.glob(f"{tmp_dir}/failed/*.txt")[0]).read().strip() == "p/upgrade=0/state=AL/a.csv"
+
+
+def test_output_layout():
+    from gridloom.sinks.layout import extract_name, infer_output_folder
+    assert infer_output_folder("/d/agg", "/d/agg/by_state/basic/state=AL/a.parquet") == "/d/agg/by_state/basic"
+    assert infer_output_folder("/d/by_state_and_puma/full", "/d/by_state_and_puma/full/x.parquet") == \
+        "/d/by_state_and_puma/full"
+    assert infer_output_folder("/d/by_state", "/d/by_state/state=AL/a.parquet") == "/d/by_state/full"
+    assert infer_output_folder("/d/x", None) == "/d/x/full"
+    assert extract_name("/d/by_state", "AL") == "by_state_AL"
