@@ -38,3 +38,24 @@ def test_filter_and_projection_reach_the_scan(spark):
     plan = _plan(q_scan_filter_project(spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,click)]" in plan
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string,value:double>" in plan
+
+
+def test_stream_incremental_files_update_open_hours(spark, tmp_dir):
+    import datetime as dt
+
+    from gridloom.streaming.hourly import current_result, run_available
+
+    schema = "ts timestamp_ntz, event_type string, value double"
+    src, out, ck = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    t = dt.datetime(2024, 1, 1, 0, 10)
+    first = [(t, "a", 1.25), (t + dt.timedelta(minutes=50), "a", 2.0), (t, "b", 4.0)]   # 00:10, 01:00
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{src}/part1")
+    run_available(spark, f"{src}/part1", spark.createDataFrame([], schema).schema, out, ck, "ts", ["event_type"], "value")
+    # a later file: more rows for the 01:00 hour of 'a', and a new hour
+    later = [(t + dt.timedelta(minutes=20), "a", 0.5), (t + dt.timedelta(hours=2), "a", 3.0)]
+    spark.createDataFrame(later, schema).coalesce(1).write.mode("append").parquet(f"{src}/part1")
+    run_available(spark, f"{src}/part1", spark.createDataFrame([], schema).schema, out, ck, "ts", ["event_type"], "value")
+    got = {(r.ts, r.event_type): (r.sum_value, r.n_rows) for r in current_result(spark, out, "ts", ["event_type"], "value").collect()}
+    assert got == {(dt.datetime(2024, 1, 1, 1, 0), "a"): (3.75, 3),
+                   (dt.datetime(2024, 1, 1, 1, 0), "b"): (4.0, 1),
+                   (dt.datetime(2024, 1, 1, 3, 0), "a"): (3.0, 1)}
