@@ -211,3 +211,80 @@ def share_of_total(agg: DataFrame, value_col: str, partition: Sequence[str],
     return (agg.join(totals, on=list(partition), how="inner")
             .withColumn(out, F.col(q(value_col)) / F.col("_total"))
             .drop("_total"))
+
+
+def melt_rollup(df: DataFrame, end_uses=None, unit: str | None = "hour", by_building_type: bool = False,
+                ts_col: str | None = None, building_type_col: str | None = None,
+                rules: MeasureRules = MeasureRules(), sum_scale: int | None = None,
+                label=None, value_prefix: str | None = None, drop_prefix: str | None = "out.",
+                exclude_substring: str | None = "savings", value_columns=None,
+                var_name: str = "end_use", value_name: str = "kWh") -> DataFrame:
+    """Melt + hour-ending rollup + roll-up across building types, computed
+    on the *wide* table and melted last.
+
+    Same result as ``long_end_use(melt_end_uses(df))``: each wide row
+    gives exactly one long row per end use, so a per-(keys, end use) sum
+    is a column sum over wide rows and a population mean per (keys, end
+    use) is the mean over wide rows.  Aggregating first means the shuffles
+    carry one wide row per key and period instead of one row per end use
+    (key columns are not repeated), the hash tables hold fewer keys, and
+    the unpivot only expands the final aggregates.  End-use columns sharing
+    a label are summed column-wise before the melt.
+    """
+    from gridloom.functions.columns import (
+        ELECTRICITY_PREFIX, classify_wide, end_use_label, q as _q,
+    )
+    from gridloom.operators.reshape import melt_end_uses, normalise_allow_list
+
+    label = label or end_use_label
+    layout = classify_wide(df.columns, value_prefix=value_prefix or ELECTRICITY_PREFIX,
+                           drop_prefix=drop_prefix, exclude_substring=exclude_substring,
+                           value_columns=value_columns)
+    allow = normalise_allow_list(end_uses)
+    pairs = [(c, label(c)) for c in layout.values]
+    if allow is not None:
+        pairs = [(c, lab) for c, lab in pairs if lab.lower() in allow]
+    ts = ts_col or find_timestamp_column(df.columns)
+    melt_kw = dict(label=label, value_prefix=value_prefix or ELECTRICITY_PREFIX, drop_prefix=drop_prefix,
+                   exclude_substring=exclude_substring, var_name=var_name, value_name=value_name)
+    if unit is None or ts is None or not pairs:
+        long = melt_end_uses(df.select(*[F.col(_q(c)) for c in layout.ids + [p for p, _ in pairs]]),
+                             end_uses=end_uses, value_columns=[p for p, _ in pairs], **melt_kw)
+        return long if unit is None or ts is None else long_end_use(
+            long, unit=unit, by_building_type=by_building_type, ts_col=ts,
+            building_type_col=building_type_col, rules=rules, sum_scale=sum_scale)
+
+    ids = df.select(*[F.col(_q(c)) for c in layout.ids])
+    keys1 = [k for k in default_group_keys(ids.schema, ts)]
+    id_energy, pop = rules.split(layout.ids, keys1)
+    wide = bucket_time(df.select(*[F.col(_q(c)) for c in layout.ids + [p for p, _ in pairs]]), unit, ts)
+    slots = [f"_v{i}" for i in range(len(pairs))]
+    aggs = [exact_sum(_q(c), sum_scale).alias(s) for (c, _), s in zip(pairs, slots)]
+    aggs += [exact_sum(_q(c), sum_scale).alias(c) for c in id_energy]
+    aggs += [F.avg(F.col(_q(c))).alias(c) for c in pop]
+    out = _drop_null_keys(wide, keys1).groupBy(*[F.col(_q(k)) for k in keys1]).agg(*aggs)
+    keys = keys1
+    bt = building_type_col or find_building_type_column(layout.ids)
+    if not by_building_type and bt is not None and bt in keys1:
+        keys = [k for k in keys1 if k != bt]
+        aggs2 = [exact_sum(s, sum_scale).alias(s) for s in slots]
+        aggs2 += [exact_sum(_q(c), sum_scale).alias(c) for c in id_energy]
+        aggs2 += [exact_sum(_q(c), None).alias(c) for c in pop]
+        out = out.groupBy(*[F.col(_q(k)) for k in keys]).agg(*aggs2)
+    # one column per distinct label (duplicates summed), then the melt
+    by_label: dict[str, list[str]] = {}
+    for (_, lab), s in zip(pairs, slots):
+        by_label.setdefault(lab, []).append(s)
+    summed = []
+    for i, (lab, cols) in enumerate(by_label.items()):
+        expr = F.col(cols[0])
+        for c in cols[1:]:
+            expr = expr + F.col(c)
+        summed.append(expr.alias(f"_l{i}"))
+    labelled = out.select(*[F.col(_q(k)) for k in keys + id_energy + pop], *summed)
+    names = list(by_label)
+    long = labelled.unpivot([F.col(_q(k)) for k in keys + id_energy + pop],
+                            [F.col(f"_l{i}") for i in range(len(names))], "_slot", value_name)
+    lab_map = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(f"_l{i}"), F.lit(n))])
+    return long.select(*[F.col(_q(k)) for k in keys], F.element_at(lab_map, F.col("_slot")).alias(var_name),
+                       F.col(_q(value_name)), *[F.col(_q(c)) for c in id_energy + pop])

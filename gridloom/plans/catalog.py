@@ -27,17 +27,15 @@ from gridloom.functions.timefns import ceil_to, parse_timestamp, trunc_to
 from gridloom.operators import diagnostics as diag
 from gridloom.operators import grouping as grp
 from gridloom.operators import manifest as mf
-from gridloom.operators.joins import (
-    anti_join, key_audit, lookup_join, maybe_broadcast, semi_join,
-)
+from gridloom.operators.joins import anti_join, key_audit, lookup_join, semi_join
 from gridloom.operators.ranking import dense_ordinal, first_seen_ordinal, pick_per_group
 from gridloom.operators.reshape import melt_end_uses
 from gridloom.operators.sets import append_and_count, last_per_key, union_by_name
 from gridloom.operators.timeseries import (
-    bucket_time, distinct_keys, long_end_use, merge_partials, month_hour_profile,
+    distinct_keys, long_end_use, melt_rollup, merge_partials, month_hour_profile,
     rollup_to_period, share_of_total, state_rollup, sum_by_truncated_time,
 )
-from gridloom.plans.bases import county_zone, documents_manifest, idiv, samples_b
+from gridloom.plans.bases import county_zone, documents_manifest, samples_b
 from gridloom.sinks.writers import normalise_for_sink
 from gridloom.sources.tables import table
 
@@ -53,17 +51,16 @@ def _gwh(col: str = "value") -> "F.Column":
 
 def q_long_end_use(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: melt three measures, ceil to day, mean-then-sum the
-    population measure, roll up across the 'building type'."""
+    population measure, roll up across the 'building type'.  Aggregated on
+    the wide rows, melted last (``melt_rollup``)."""
     li = table(spark, sf, "lineitem").select(
         "l_shipdate", "l_returnflag", "l_linestatus", "l_discount",
         "l_quantity", "l_extendedprice", "l_tax")
-    li = bucket_time(li, "day", "l_shipdate")  # once per wide row, before the melt
-    melted = melt_end_uses(li, value_columns=["l_quantity", "l_extendedprice", "l_tax"],
-                           label=token_after("_"), drop_prefix=None, exclude_substring=None,
-                           value_name="kwh")
     rules = MeasureRules(energy_marker="kwh", population=("l_discount",))
-    out = long_end_use(melted, unit="day", ts_col="l_shipdate", building_type_col="l_linestatus",
-                       rules=rules, sum_scale=2, bucketed=True)
+    out = melt_rollup(li, unit="day", ts_col="l_shipdate", building_type_col="l_linestatus",
+                      rules=rules, sum_scale=2, label=token_after("_"),
+                      value_columns=["l_quantity", "l_extendedprice", "l_tax"],
+                      drop_prefix=None, exclude_substring=None, value_name="kwh")
     return out.withColumn("l_discount", F.round("l_discount", 6))
 
 

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.columns import find_timestamp_column
 from gridloom.operators import grouping as grp
 from gridloom.operators import manifest as mf
-from gridloom.operators.reshape import melt_end_uses
-from gridloom.operators.timeseries import bucket_time, long_end_use, state_rollup
+from gridloom.operators.timeseries import melt_rollup, state_rollup
 from gridloom.sinks import layout, writers
 from gridloom.sources import files
 from gridloom.sources.census import read_county_reference, read_tract_crosswalk
@@ -30,11 +29,8 @@ def long_end_use_table(spark: SparkSession, input_dir: str, glob: str = "*.csv",
     ts = find_timestamp_column(raw.columns)
     if ts is not None:
         raw = raw.withColumn(ts, F.to_timestamp(F.col(f"`{ts}`")).cast("timestamp_ntz"))
-    if not keep_15min:
-        raw = bucket_time(raw, "hour", ts)
-    long = melt_end_uses(raw, end_uses=end_uses)
-    return long_end_use(long, unit=None if keep_15min else "hour", by_building_type=by_building_type,
-                        bucketed=True)
+    return melt_rollup(raw, end_uses=end_uses, unit=None if keep_15min else "hour",
+                       by_building_type=by_building_type)
 
 
 def write_long_end_use(df: DataFrame, out: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:

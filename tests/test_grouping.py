@@ -1,7 +1,6 @@
 """County grouping: Spark plans against the row-loop rules, invariants,
 order and partitioning invariance, gate branches, imputation."""
 
-import random
 
 import pytest
 from pyspark.sql import functions as F

@@ -5,7 +5,6 @@ import datetime as dt
 import glob
 import os
 
-from pyspark.sql import functions as F
 
 from gridloom.operators import manifest as mf
 from gridloom.plans import jobs

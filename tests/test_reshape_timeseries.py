@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators.reshape import melt_end_uses
 from gridloom.operators.timeseries import (
-    long_end_use, merge_partials, rollup_to_period, share_of_total, state_rollup,
+    long_end_use, melt_rollup, merge_partials, rollup_to_period, share_of_total, state_rollup,
 )
 
 E1 = "out.electricity.cooling.energy_consumption.kwh"
@@ -117,3 +117,18 @@ def test_share_of_total(spark):
     df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 3.0), ("b", 1, 2.0)], "k string, h int, v double")
     got = {(r.k, r.h): r.share for r in share_of_total(df, "v", ["k"]).collect()}
     assert got == {("a", 1): 0.25, ("a", 2): 0.75, ("b", 1): 1.0}
+
+
+@pytest.mark.parametrize("by_bt", [False, True])
+def test_melt_rollup_equals_melt_then_rollup(spark, by_bt):
+    df = wide(spark)
+    dup = df.withColumn("out.electricity.cooling.peak_demand.kwh", F.col(f"`{E1}`") * 2)
+    for frame in (df, dup):
+        a = long_end_use(melt_end_uses(frame), unit="hour", by_building_type=by_bt)
+        b = melt_rollup(frame, unit="hour", by_building_type=by_bt)
+        cols = sorted(a.columns)
+        assert sorted(b.columns) == cols
+        rows = lambda d: sorted(tuple(r[c] for c in cols) for r in d.collect())
+        assert rows(a) == rows(b)
+    assert melt_rollup(df, end_uses=["heating"]).select("end_use").distinct().collect()[0][0] == "heating"
+    assert melt_rollup(df.select("timestamp", "`in.state`")).count() == 0

@@ -4,7 +4,6 @@ import csv
 import glob
 import os
 
-from pyspark.sql import functions as F
 
 from gridloom.sinks import writers
 from gridloom.sources import files
