@@ -66,7 +66,7 @@ def test_classifier():
     assert lay.excluded == ["out.electricity.cooling.energy_savings.kwh"]
     assert lay.dropped == ["out.natural_gas.heating.kwh"]
     assert lay.ids == ["timestamp", "in.state", "units_represented"]
-    assert find_building_type_column(["x", "in.comstock_building_type"]) == "in.comstock_building_type"
+    assert find_building_type_column(["x_building_type", "in.geometry_building_type_recs"]) == "in.geometry_building_type_recs"
     assert find_building_type_column(["my_building_type_v2"]) == "my_building_type_v2"
 
 

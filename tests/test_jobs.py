@@ -19,7 +19,7 @@ def write(path, header, rows, sep=","):
 
 
 def test_long_end_use_job(spark, tmp_dir):
-    hdr = ["timestamp", "in.state", "in.comstock_building_type", "upgrade", "units_represented",
+    hdr = ["timestamp", "in.state", "in.geometry_building_type_recs", "upgrade", "units_represented",
            "out.electricity.cooling.energy_consumption.kwh", "out.natural_gas.heating.energy_consumption.kwh"]
     rows = [["2018-01-01 00:15:00", "AL", bt, 0, 10, 1.0, 9.0] for bt in ("Office", "School")]
     rows += [["2018-01-01 00:30:00", "AL", bt, 0, 20, 2.0, 9.0] for bt in ("Office", "School")]

@@ -16,7 +16,7 @@ E1 = "out.electricity.cooling.energy_consumption.kwh"
 E2 = "out.electricity.heating.energy_consumption..kwh"
 E3 = "out.electricity.cooling.energy_savings.kwh"
 G1 = "out.natural_gas.heating.energy_consumption.kwh"
-BT = "in.comstock_building_type"
+BT = "in.geometry_building_type_recs"
 
 
 def wide(spark):
