@@ -28,7 +28,8 @@ _UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "UTC+00:00"}
 
 def _session_is_utc() -> bool:
     spark = SparkSession.getActiveSession()
-    return spark is not None and spark.conf.get("spark.sql.session.timeZone", "") in _UTC_NAMES
+    # (no default argument: Spark validates a default against the zone rules)
+    return spark is not None and spark.conf.get("spark.sql.session.timeZone") in _UTC_NAMES
 
 
 def _as(col: Column | str) -> Column:

@@ -23,6 +23,7 @@ from gridloom.functions.codes import county_fips5
 from gridloom.functions.columns import q, require_columns
 from gridloom.operators.joins import anti_join
 from gridloom.operators.ranking import global_sequence, pick_per_group
+from gridloom.session import materialize
 
 GROUP_PREFIX = "county_group_"
 INDEPENDENT_PREFIX = "independent_county_"
@@ -106,12 +107,12 @@ def assign_groups(samples: DataFrame, spec: GroupingSpec = GroupingSpec(),
     s = spec
     # One pass over the samples: weight and first order key per (member,
     # area), null areas kept as their own key so the member's first
-    # appearance counts every row.  Checkpointed: everything below reads
+    # appearance counts every row.  Materialised: everything below reads
     # this pair-level table, never the samples again.
-    pf = (samples.where(F.col(q(s.member)).isNotNull())
-          .groupBy(F.col(q(s.member)).alias(s.member), F.col(q(s.area)).alias(s.area))
-          .agg(F.sum(F.col(q(s.weight))).alias("_w"), F.min(F.col(q(s.order))).alias("_first"))
-          .checkpoint(eager=True))
+    pf = materialize(samples.where(F.col(q(s.member)).isNotNull())
+                     .groupBy(F.col(q(s.member)).alias(s.member), F.col(q(s.area)).alias(s.area))
+                     .agg(F.sum(F.col(q(s.weight))).alias("_w"), F.min(F.col(q(s.order))).alias("_first")),
+                     "pairs")
     pairs = pf.where(F.col(q(s.area)).isNotNull()).select(s.member, s.area, "_w")
     chosen = dominant_area(pairs, s).select(s.member, s.area)
     first = pf.groupBy(s.member).agg(F.min("_first").alias("_first"))
@@ -282,7 +283,7 @@ def build_county_groups(samples: DataFrame, zone_of: Column | None = None,
 
     The chain runs on a member-level table (one row per county with its
     first order key; imputed members sort after every sampled one),
-    checkpointed so its several uses do not recompute the sample
+    materialised so its several uses do not recompute the sample
     aggregates; labels are joined back to the sample rows once at the end.
     Zones come either as an expression of the member (``zone_of``) or as a
     lookup table (``zones``: ``key``, ``zone``).
@@ -304,7 +305,7 @@ def build_county_groups(samples: DataFrame, zone_of: Column | None = None,
         members = members.join(keyed, s.member, "left").join(zones, key, "left").drop(key)
     else:
         members = members.withColumn(zone, F.lit(None).cast("string"))
-    members = members.checkpoint(eager=True)
+    members = materialize(members, "members")
     members = split_by_zone(members, s.member, s.group, zone)
     report = None
     if specs is not None:
@@ -312,7 +313,7 @@ def build_county_groups(samples: DataFrame, zone_of: Column | None = None,
         merged = merge_groups(members, specs, s.group, zone, order=order,
                               spec_order="spec_order" if "spec_order" in specs.columns else None)
         members, report = merged.result, merged.report
-    members = members.checkpoint(eager=True)
+    members = materialize(members, "members_final")
     final = members.select(s.member, s.group, zone)
     rows = rows.drop(s.group).join(final, s.member, "left")
     mapping = member_mapping(members, [s.member, zone, s.group])

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import q
-from gridloom.session import ensure_checkpoint_dir
+from gridloom.session import ensure_checkpoint_dir, materialize
 
 
 def _col(c: Column | str) -> Column:
@@ -51,21 +51,24 @@ def global_sequence(df: DataFrame, order: Sequence[Column | str], out: str = "se
     """Append ``out`` = position of each row in ``order`` (``start``-based).
 
     Rows are range-partitioned and sorted on ``order``; inside a task the
-    position is derived from ``monotonically_increasing_id`` (partition
-    index in the upper bits), the frame is checkpointed so partition bounds
-    cannot change between the two uses, and a one-row-per-partition offset
-    table (bounded by the partition count) is broadcast back.
+    partition index and the position in it are stored as columns
+    (``spark_partition_id``, ``monotonically_increasing_id``) and the frame
+    is written as a table, so the sampled range bounds cannot change
+    between the two uses below (adaptive execution may merge neighbouring
+    ranges, which keeps the order).  A one-row-per-partition offset table
+    (bounded by the partition count) is broadcast back.
     ``order`` should be a total order (add a unique tie-break column).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     cols = [_col(c) for c in order]
-    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    # Without an explicit count adaptive execution sizes the ranges to the data.
+    spread = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    ranged = (spread.sortWithinPartitions(*cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    ranged = ranged.checkpoint(eager=True)
+    ranged = materialize(ranged, "sequence")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -36,6 +36,7 @@ from gridloom.operators.timeseries import (
     rollup_to_period, share_of_total, state_rollup, sum_by_truncated_time,
 )
 from gridloom.plans.bases import county_zone, documents_manifest, samples_b
+from gridloom.session import materialize
 from gridloom.sinks.writers import normalise_for_sink
 from gridloom.sources.tables import table
 
@@ -272,10 +273,10 @@ def q_assign_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 def _members_with_zone(spark: SparkSession, sf: str) -> DataFrame:
     """Member-level table: county, label, first order key, zone
-    (checkpointed: the split reads it several times)."""
+    (materialised: the split reads it several times)."""
     b = samples_b(spark, sf)
     members = grp.assign_groups(b, keep_first="first_order")
-    return members.withColumn("R", county_zone(F.col("county"))).checkpoint(eager=True)
+    return materialize(members.withColumn("R", county_zone(F.col("county"))), "members")
 
 
 def q_split_by_attribute(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -58,6 +58,18 @@ def scratch_table_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/gridloom-tables/{name}-{os.getpid()}-{next(_counter)}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table under the checkpoint folder and read
+    it back: cuts the lineage (a lost executor recomputes from the table,
+    not from the source), goes through adaptive execution so small results
+    are written as few files, and gives the optimizer the table's real size
+    for later join decisions.  Preferred over ``Dataset.checkpoint``, which
+    keeps every shuffle partition as written."""
+    path = scratch_table_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _count():
     n = 0
     while True:
