@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gridloom.functions.codes import zfill
+from gridloom.functions.scalars import null_tokens_to_null
 from gridloom.functions.columns import q, resolve_column
 from gridloom.operators.sets import union_by_name
 
@@ -85,16 +86,77 @@ def list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
             .option("recursiveFileLookup", "true").load(root).select("path", "length"))
 
 
+_TRUE_FALSE = ["True", "False", "true", "false", "TRUE", "FALSE"]
+
+
+def infer_text_types(df: DataFrame, columns: Sequence[str] | None = None,
+                     sample_fraction: float | None = None) -> dict[str, str]:
+    """Type of each text column from its values, the way tabular readers
+    infer CSV columns: every non-missing value an integer -> ``bigint``,
+    a number -> ``double``, True/False -> ``boolean``, else ``string``; a
+    column with no value at all -> ``double``.  Missing-value spellings
+    (``NA``, ``None``, ``null``, ``NaN``, empty, ...) count as missing.
+
+    One distributed aggregate over the rows (or a ``sample_fraction`` of
+    them); the driver receives one row of flags, bounded by the schema width.
+    """
+    cols = list(columns) if columns is not None else [
+        f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    if not cols:
+        return {}
+    src = df.sample(fraction=sample_fraction, seed=17) if sample_fraction else df
+    aggs = []
+    for i, c in enumerate(cols):
+        v = null_tokens_to_null(F.col(q(c)))
+        present = v.isNotNull()
+        aggs += [F.count_if(present).alias(f"n{i}"),
+                 F.count_if(present & v.try_cast("bigint").isNull()).alias(f"i{i}"),
+                 F.count_if(present & v.try_cast("double").isNull()).alias(f"d{i}"),
+                 F.count_if(present & ~v.isin(_TRUE_FALSE)).alias(f"b{i}")]
+    row = src.agg(*aggs).collect()[0]
+    out = {}
+    for i, c in enumerate(cols):
+        if row[f"n{i}"] == 0:
+            out[c] = "double"
+        elif row[f"i{i}"] == 0:
+            out[c] = "bigint"
+        elif row[f"d{i}"] == 0:
+            out[c] = "double"
+        elif row[f"b{i}"] == 0:
+            out[c] = "boolean"
+        else:
+            out[c] = "string"
+    return out
+
+
+def apply_text_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Missing-value spellings -> null on text columns, then the given
+    casts (values that do not parse become null)."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(q(f.name))
+        if isinstance(f.dataType, StringType):
+            c = null_tokens_to_null(c)
+            t = types.get(f.name, "string")
+            if t == "boolean":
+                c = F.when(c.isNull(), F.lit(None).cast("boolean")).otherwise(c.isin(["True", "true", "TRUE"]))
+            elif t != "string":
+                c = c.try_cast(t)
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
 def read_csv_tree(spark: SparkSession, root: str, glob: str = "*.csv",
-                  schema_hint: dict[str, str] | None = None) -> DataFrame:
+                  schema_hint: dict[str, str] | None = None, infer: bool = True,
+                  sample_fraction: float | None = None) -> DataFrame:
     """All CSV files under ``root`` as one frame, columns matched by *name*.
 
     Spark maps the columns of every file to the first header by position;
     files whose headers differ would silently swap values.  Files are
     therefore grouped by header line, each group is read with its own
     header, and the groups are unioned by name (missing columns null).
-    ``schema_hint`` types named columns; others are read as text and cast
-    later by the caller.
+    Missing-value spellings become null; column types are inferred from
+    the values (``infer_text_types``) unless ``schema_hint`` names them.
     """
     files = [r["path"] for r in list_files(spark, root, glob).select("path").collect()]
     if not files:
@@ -108,9 +170,13 @@ def read_csv_tree(spark: SparkSession, root: str, glob: str = "*.csv",
         cols = next(iter(__import__("csv").reader([header])))
         schema = StructType([StructField(c, StringType()) for c in cols])
         df = spark.read.option("header", True).option("enforceSchema", True).schema(schema).csv(sorted(paths))
-        df = df.select(*[F.col(q(c)).cast(hint[c]).alias(c) if c in hint else F.col(q(c)) for c in cols])
         frames.append(df)
-    return union_by_name(frames)
+    merged = union_by_name(frames)
+    types = dict(hint)
+    if infer:
+        rest = [c for c in merged.columns if c not in hint]
+        types.update(infer_text_types(merged, rest, sample_fraction))
+    return apply_text_types(merged, types)
 
 
 def read_county_series(spark: SparkSession, root: str, value_col: str,

@@ -20,14 +20,13 @@ def write(path, header, rows, sep=","):
 
 def test_long_end_use_job(spark, tmp_dir):
     hdr = ["timestamp", "in.state", "in.geometry_building_type_recs", "upgrade", "units_represented",
-           "out.electricity.cooling.energy_consumption.kwh", "out.natural_gas.heating.energy_consumption.kwh"]
-    rows = [["2018-01-01 00:15:00", "AL", bt, 0, 10, 1.0, 9.0] for bt in ("Office", "School")]
-    rows += [["2018-01-01 00:30:00", "AL", bt, 0, 20, 2.0, 9.0] for bt in ("Office", "School")]
+           "in.sqft", "out.electricity.cooling.energy_consumption.kwh", "out.natural_gas.heating.energy_consumption.kwh"]
+    # in.sqft is numeric: neither key nor measure, so the rollup drops it
+    rows = [["2018-01-01 00:15:00", "AL", bt, 0, 10, 100 + i, 1.0, 9.0] for i, bt in enumerate(("Office", "School"))]
+    rows += [["2018-01-01 00:30:00", "AL", bt, 0, 20, 300 + i, 2.0, "NA"] for i, bt in enumerate(("Office", "School"))]
     write(f"{tmp_dir}/upgrade=0/state=AL/up0-al-a.csv", hdr, rows)
-    df = jobs.long_end_use_table(spark, tmp_dir, numeric_hint={
-        "upgrade": "int", "units_represented": "double",
-        "out.electricity.cooling.energy_consumption.kwh": "double",
-        "out.natural_gas.heating.energy_consumption.kwh": "double"})
+    df = jobs.long_end_use_table(spark, tmp_dir)
+    assert "in.sqft" not in df.columns
     got = [r.asDict() for r in df.collect()]
     assert len(got) == 1
     r = got[0]

@@ -88,3 +88,18 @@ def test_manifest_from_files(spark, tmp_dir):
     m = manifest_from_files(spark, f"{tmp_dir}/m")
     got = [(r.key, r.size) for r in m.collect()]
     assert got[0][0] == "upgrade=0/state=AL/a.csv" and got[0][1] > 0
+
+
+def test_csv_tree_types_and_null_tokens(spark, tmp_dir):
+    write_csv(f"{tmp_dir}/t/a.csv", ["id", "x", "flag", "name", "empty", "mixed"],
+              [["1", "1.5", "True", "NA", "", "3"], ["2", "NaN", "False", "b", "None", "z"],
+               ["null", "2", "", "c", "NA", "4"]])
+    df = files.read_csv_tree(spark, f"{tmp_dir}/t")
+    types = dict(df.dtypes)
+    assert types == {"id": "bigint", "x": "double", "flag": "boolean", "name": "string",
+                     "empty": "double", "mixed": "string"}
+    rows = sorted(df.collect(), key=lambda r: (r.id is None, r.id or 0))
+    assert [r.id for r in rows] == [1, 2, None]
+    assert [r.x for r in rows] == [1.5, None, 2.0]
+    assert [r.flag for r in rows] == [True, False, None]
+    assert [r.name for r in rows] == [None, "b", "c"]
