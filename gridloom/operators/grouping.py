@@ -186,6 +186,19 @@ class MergeResult:
     report: DataFrame
 
 
+def zone_violations(frame: DataFrame, member: str = "county", group: str = "county_groups",
+                    zone: str = "R") -> DataFrame:
+    """Groups whose members lie in more than one (non-null) zone, with the
+    zones.  After the split only ``independent_county_*`` groups that
+    absorbed imputed members can appear here; they are reported, not
+    changed."""
+    level = frame.select(member, group, zone).where(F.col(q(zone)).isNotNull()).distinct()
+    return (level.groupBy(group)
+            .agg(F.countDistinct(F.col(q(zone))).alias("n_zones"),
+                 F.array_join(F.sort_array(F.collect_set(F.col(q(zone)))), ",").alias("zones"))
+            .where(F.col("n_zones") > 1))
+
+
 def group_zones(frame: DataFrame, group: str = "county_groups", zone: str = "R",
                 order: Sequence[Column | str] = ()) -> DataFrame:
     """Zone of each group: its first non-null zone in ``order`` (lowest zone

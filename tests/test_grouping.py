@@ -122,3 +122,11 @@ def test_build_county_groups_end_to_end(spark):
     per_member = rows.groupBy("county").agg(F.countDistinct("county_groups").alias("n"))
     assert per_member.where("n != 1").count() == 0
     assert res.mapping.count() == b.select("county").distinct().count()
+
+
+def test_zone_violations_reported(spark):
+    rows = [("c1", "independent_county_c1", "Z1"), ("c2", "independent_county_c1", "Z2"),
+            ("c3", "county_group_1", "Z1"), ("c4", "county_group_1", None)]
+    df = spark.createDataFrame(rows, "county string, county_groups string, R string")
+    got = [(r.county_groups, r.n_zones, r.zones) for r in grp.zone_violations(df).collect()]
+    assert got == [("independent_county_c1", 2, "Z1,Z2")]

@@ -59,3 +59,23 @@ def test_stream_incremental_files_update_open_hours(spark, tmp_dir):
     assert got == {(dt.datetime(2024, 1, 1, 1, 0), "a"): (3.75, 3),
                    (dt.datetime(2024, 1, 1, 1, 0), "b"): (4.0, 1),
                    (dt.datetime(2024, 1, 1, 3, 0), "a"): (3.0, 1)}
+
+
+def test_no_unpartitioned_window_over_data(spark):
+    """A window without PARTITION BY runs in one task.  The only one allowed
+    is the offsets window over one row per partition (``_pid``)."""
+    import re
+
+    seen = 0
+    for name, fn in entry.queries().items():
+        if name == "stream_hourly":
+            continue
+        df = fn(spark, SF_SMALL)
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        for spec in re.findall(r"windowspecdefinition\((.*?), specifiedwindowframe", plan):
+            seen += 1
+            first = spec.split(", ")[0]
+            partitioned = not re.search(r" (ASC|DESC) NULLS (FIRST|LAST)$", first)
+            assert partitioned or first.startswith("_pid"), (name, spec)
+    assert seen > 0
