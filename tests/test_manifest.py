@@ -83,3 +83,11 @@ def test_dedupe_status_totals(spark, listing):
 def test_expand_prefixes():
     assert mf.expand_prefixes("ts/", upgrade=["0", "1"], state=["AL"]) == [
         "ts/upgrade=0/state=AL/", "ts/upgrade=1/state=AL/"]
+
+
+def test_upgrade_from_file_name(spark):
+    df = spark.createDataFrame([("p/AL_upgrade0_agg.parquet", 1), ("p/upgrade10.parquet", 2),
+                                ("p/up0-al-x.csv", 3), ("p/AL_upgrade1_agg.parquet", 4)], "key string, size long")
+    sel = mf.Selection(upgrades=["0", "10"], extensions=None)
+    assert keys(mf.select_objects(df, "p/", sel)) == ["p/AL_upgrade0_agg.parquet", "p/up0-al-x.csv",
+                                                      "p/upgrade10.parquet"]
