@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from gridloom.functions.columns import find_timestamp_column
 from gridloom.operators import grouping as grp
 from gridloom.operators import manifest as mf
-from gridloom.operators.timeseries import melt_rollup, state_rollup
+from gridloom.functions.scalars import last_token_label
+from gridloom.operators.diagnostics import collect_members, drill_rollup
+from gridloom.operators.joins import key_audit
+from gridloom.operators.timeseries import (
+    melt_rollup, month_hour_profile, share_of_total, state_rollup, sum_by_truncated_time,
+)
 from gridloom.sinks import layout, writers
 from gridloom.sources import files
 from gridloom.sources.census import read_county_reference, read_tract_crosswalk
@@ -106,3 +111,35 @@ def select_and_report(manifest: DataFrame, prefix: str, sel: mf.Selection,
     if failed_keys_out:
         writers.write_key_list(statuses, failed_keys_out)
     return selected, totals, mf.status_report(statuses)
+
+
+def state_series_views(series: DataFrame, ts_col: str = "timestamp", value_col: str = GAP_ENERGY_COL,
+                       state_col: str = "State") -> dict[str, DataFrame]:
+    """The saved views over the state series: GWh by truncated hour and
+    state, GWh by month x hour of day and state, and each month x hour
+    cell's share of its state's total."""
+    ts = F.col(f"`{ts_col}`")
+    rows = series.select(F.to_timestamp(ts).cast("timestamp_ntz").alias("ts"),
+                         F.col(f"`{value_col}`").alias("kwh"), F.col(f"`{state_col}`").alias("state"))
+    gwh = F.sum(F.col("kwh") / F.lit(1e6))
+    by_hour = sum_by_truncated_time(rows, "ts", gwh, keys=["state"])
+    profile = month_hour_profile(rows, "ts", gwh, keys=["state"])
+    share = share_of_total(profile, "gwh", ["state"])
+    return {"gwh_by_hour": by_hour, "month_hour_profile": profile, "share_of_state_total": share}
+
+
+def mapping_views(mapping: DataFrame, boundaries: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The saved views over the county-group mapping: a short group label
+    (``i`` for independent counties) with its set flag, member lists per
+    group, drill-path counts (group > county name > state), and, given
+    county boundary attributes, the key audit of ``county_fips5 = GEOID``."""
+    labelled = mapping.withColumn("group_label", last_token_label(F.col("county_groups"), marker="group")) \
+                      .withColumn("is_independent", F.col("group_label") == "i")
+    views = {
+        "labelled": labelled,
+        "members": collect_members(mapping, "county_groups", "county_fips5"),
+        "drill": drill_rollup(mapping, ["county_groups", "county_name", "state"], {"n_counties": F.count(F.lit(1))}),
+    }
+    if boundaries is not None:
+        views["key_audit"] = key_audit(mapping, boundaries, "county_fips5", "GEOID")
+    return views

@@ -97,3 +97,24 @@ def test_output_layout():
     assert infer_output_folder("/d/by_state", "/d/by_state/state=AL/a.parquet") == "/d/by_state/full"
     assert infer_output_folder("/d/x", None) == "/d/x/full"
     assert extract_name("/d/by_state", "AL") == "by_state_AL"
+
+
+def test_views(spark):
+    series = spark.createDataFrame([("2018-01-01 01:00:00", 1e6, "AL"), ("2018-01-01 02:00:00", 3e6, "AL"),
+                                    ("2018-02-01 01:00:00", 2e6, "AK")],
+                                   f"timestamp string, `{jobs.GAP_ENERGY_COL}` double, State string")
+    v = jobs.state_series_views(series)
+    share = {(r.state, r.month, r.hour): r.share for r in v["share_of_state_total"].collect()}
+    assert share == {("AL", 1, 1): 0.25, ("AL", 1, 2): 0.75, ("AK", 2, 1): 1.0}
+    assert v["gwh_by_hour"].count() == 3
+    mapping = spark.createDataFrame([("AL", "G0100010", "A", "01001", "p1", "county_group_12"),
+                                     ("AL", "G0100030", "B", "01003", "p1", "county_group_12"),
+                                     ("AL", "G0100050", "C", "01005", "p2", "independent_county_G0100050")],
+                                    "state string, county string, county_name string, county_fips5 string, R string, county_groups string")
+    bounds = spark.createDataFrame([("01001",), ("01003",), ("01999",)], "GEOID string")
+    mv = jobs.mapping_views(mapping, bounds)
+    assert {r.county_groups: r.group_label for r in mv["labelled"].collect()} == {
+        "county_group_12": "12", "independent_county_G0100050": "i"}
+    assert {r.county_groups: r.members for r in mv["members"].collect()}["county_group_12"] == "01001,01003"
+    audit = {(r.county_fips5, r.GEOID) for r in mv["key_audit"].collect()}
+    assert audit == {("01001", "01001"), ("01003", "01003"), ("01005", None), (None, "01999")}
