@@ -53,9 +53,9 @@ def global_sequence(df: DataFrame, order: Sequence[Column | str], out: str = "se
     Rows are range-partitioned and sorted on ``order``; inside a task the
     partition index and the position in it are stored as columns
     (``spark_partition_id``, ``monotonically_increasing_id``) and the frame
-    is written as a table, so the sampled range bounds cannot change
-    between the two uses below (adaptive execution may merge neighbouring
-    ranges, which keeps the order).  A one-row-per-partition offset table
+    is checkpointed, so the sampled range bounds cannot change between the
+    two uses below (adaptive execution may merge neighbouring ranges,
+    which keeps the order).  A one-row-per-partition offset table
     (bounded by the partition count) is broadcast back.
     ``order`` should be a total order (add a unique tie-break column).
     """
