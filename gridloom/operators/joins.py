@@ -77,3 +77,17 @@ def key_audit(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
     lk = left.select(F.col(q(left_key)).alias(left_key)).distinct()
     rk = right.select(F.col(q(right_key)).alias(right_key)).distinct()
     return lk.join(rk, lk[left_key] == rk[right_key], "full_outer").select(left_key, right_key)
+
+
+def route_by_lookup(df: DataFrame, lookup: DataFrame, on: str, value: str,
+                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Split ``df`` by whether its key is known to ``lookup``.
+
+    Returns (matched rows with ``value`` attached, rejected row counts per
+    key): unknown codes are counted and set aside with a report instead of
+    being dropped silently or failing the job."""
+    tagged = lookup_join(df, lookup.select(on, value), on, "left", max_broadcast_rows)
+    matched = tagged.where(F.col(q(value)).isNotNull())
+    rejected = (tagged.where(F.col(q(value)).isNull())
+                .groupBy(F.col(q(on)).alias(on)).agg(F.count(F.lit(1)).alias("n_rows")))
+    return matched, rejected

@@ -27,7 +27,7 @@ from gridloom.functions.timefns import ceil_to, parse_timestamp, trunc_to
 from gridloom.operators import diagnostics as diag
 from gridloom.operators import grouping as grp
 from gridloom.operators import manifest as mf
-from gridloom.operators.joins import anti_join, key_audit, lookup_join, semi_join
+from gridloom.operators.joins import anti_join, key_audit, lookup_join, route_by_lookup, semi_join
 from gridloom.operators.ranking import dense_ordinal, first_seen_ordinal, pick_per_group
 from gridloom.operators.reshape import melt_end_uses
 from gridloom.operators.sets import append_and_count, last_per_key, union_by_name
@@ -147,10 +147,9 @@ def q_reject_unknown(spark: SparkSession, sf: str) -> DataFrame:
     regions 0-3: routed aside and counted per nation."""
     lookup_tbl = (table(spark, sf, "nation").where(F.col("n_regionkey") != 4)
                   .select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("parent")))
-    cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    rows = lookup_join(cust, lookup_tbl, "c_nationkey")
-    return state_rollup(rows, code_col="c_nationkey", value_col="c_acctbal", ts_col="c_custkey",
-                        parent=F.col("parent").cast("string")).rejected
+    cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    _, rejected = route_by_lookup(cust, lookup_tbl, "c_nationkey", "parent")
+    return rejected
 
 
 def q_hour_trunc_sum(spark: SparkSession, sf: str) -> DataFrame:
