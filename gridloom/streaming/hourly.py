@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gridloom.functions.columns import q
+from gridloom.functions.scalars import exact_sum
 
 
 def hourly_stream(source: DataFrame, ts_col: str, keys: Sequence[str], value_col: str,
                   watermark: str = "2 hours", sum_scale: int | None = 2) -> DataFrame:
     """Streaming aggregate: (hour-ending ts, keys) -> sum, count."""
     shifted = F.col(q(ts_col)) - F.expr("INTERVAL 1 MICROSECOND")
-    v = F.col(q(value_col))
-    summed = F.sum(v.cast(f"decimal(38,{sum_scale})")) if sum_scale is not None else F.sum(v)
+    summed = exact_sum(value_col, sum_scale)
     return (source.withColumn("_t", shifted.cast("timestamp"))
             .withWatermark("_t", watermark)
             .groupBy(F.window("_t", "1 hour"), *[F.col(q(k)) for k in keys])
