@@ -108,13 +108,15 @@ def q_two_stage_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_partial_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Aggregate two halves of the input separately (as two chunks would
-    be), union the partial results, merge them with (sum, count)."""
-    ev = table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
+    """Aggregate two chunks of the input separately, as an incremental run
+    would, union the partial results and merge them with (sum, count).
+    The chunks split the whole table at its mean value, so nearly every
+    (hour, type) key receives partials from both."""
+    ev = table(spark, sf, "events").select("ts", "event_type", "value")
+    cut = ev.agg(F.avg("value")).first()[0]
     hour = ceil_to("hour", F.col("ts"), ev.schema["ts"].dataType)
     parts = []
-    for half in (0, 1):
-        chunk = ev.where(F.pmod(F.col("event_id"), F.lit(2)) == half)
+    for chunk in (ev.where(F.col("value") <= cut), ev.where(~(F.col("value") <= cut) | F.col("value").isNull())):
         parts.append(chunk.groupBy(hour.alias("ts"), "event_type")
                      .agg(exact_sum("value", 2).alias("value"), F.count(F.lit(1)).alias("n_rows")))
     merged = merge_partials(parts[0].unionByName(parts[1]), ["ts", "event_type"], ["value", "n_rows"],
