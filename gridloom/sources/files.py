@@ -204,3 +204,14 @@ def partition_values(path_col: str, names: Sequence[str]) -> list:
     """``k=v`` values of a path column (last occurrence wins), as text."""
     c = F.col(q(path_col))
     return [F.nullif(F.regexp_extract(c, rf"(?:^|.*/){n}=([^/]*)/", 1), F.lit("")).alias(n) for n in names]
+
+
+def distinct_partition_values(paths: DataFrame, name: str, path_col: str = "path") -> DataFrame:
+    """Distinct ``name=`` values found anywhere in the paths, numbered in
+    numeric-then-text order (``0, 1, 2, 10, ..., then names``)."""
+    from gridloom.functions.scalars import numeric_then_lexical
+    from gridloom.operators.ranking import dense_ordinal
+
+    c = F.col(q(path_col))
+    vals = paths.select(F.explode(F.regexp_extract_all(c, F.lit(rf"(?:^|/){name}=([^/]+)"), F.lit(1))).alias(name))
+    return dense_ordinal(vals, name, by=numeric_then_lexical(name)[:2], out="rank")

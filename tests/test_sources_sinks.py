@@ -103,3 +103,10 @@ def test_csv_tree_types_and_null_tokens(spark, tmp_dir):
     assert [r.x for r in rows] == [1.5, None, 2.0]
     assert [r.flag for r in rows] == [True, False, None]
     assert [r.name for r in rows] == [None, "b", "c"]
+
+
+def test_distinct_partition_values(spark):
+    paths = spark.createDataFrame([("r/upgrade=10/state=AL/a.csv",), ("r/upgrade=2/state=AL/b.csv",),
+                                   ("r/upgrade=2/x.csv",), ("r/upgrade=baseline/y.csv",), ("r/none/z.csv",)], "path string")
+    got = [r.upgrade for r in files.distinct_partition_values(paths, "upgrade").orderBy("rank").collect()]
+    assert got == ["2", "10", "baseline"]
