@@ -4,7 +4,7 @@ New files arriving in a folder are rolled up to hour-ending sums and
 counts per key.  Spark windows are start-inclusive ``[h, h+1)``, and the
 hour-ending label needs ``(h-1, h]``, so rows are windowed on
 ``ts - 1 microsecond`` and labelled by the window end.  The state store
-keeps one running (sum, count) per open (hour, key); each micro-batch
+keeps one running (sum, count) per (hour, key); each micro-batch
 writes its updated rows to a Parquet change log, and the current result
 is the latest version of each row.  Restarting from the checkpoint is
 exactly-once: a replayed batch rewrites its own ``batch_id`` folder.
@@ -23,12 +23,21 @@ from gridloom.functions.scalars import exact_sum
 
 
 def hourly_stream(source: DataFrame, ts_col: str, keys: Sequence[str], value_col: str,
-                  watermark: str = "2 hours", sum_scale: int | None = 2) -> DataFrame:
-    """Streaming aggregate: (hour-ending ts, keys) -> sum, count."""
+                  watermark: str | None = None, sum_scale: int | None = 2) -> DataFrame:
+    """Streaming aggregate: (hour-ending ts, keys) -> sum, count.
+
+    Without ``watermark`` no row is ever dropped: a file arriving late
+    still updates its hours (as merging chunk results in any order does),
+    and the state holds one (sum, count) per (hour, key), as many as the
+    output has rows.  A watermark (e.g. ``"2 hours"``) bounds the state
+    for data that arrives in time order, at the price of dropping rows
+    older than it."""
     shifted = F.col(q(ts_col)) - F.expr("INTERVAL 1 MICROSECOND")
     summed = exact_sum(value_col, sum_scale)
-    return (source.withColumn("_t", shifted.cast("timestamp"))
-            .withWatermark("_t", watermark)
+    timed = source.withColumn("_t", shifted.cast("timestamp"))
+    if watermark:
+        timed = timed.withWatermark("_t", watermark)
+    return (timed
             .groupBy(F.window("_t", "1 hour"), *[F.col(q(k)) for k in keys])
             .agg(summed.alias("_sum"), F.count(F.lit(1)).alias("n_rows"))
             .select(F.col("window.end").alias(ts_col), *keys, "_sum", "n_rows"))
@@ -36,7 +45,8 @@ def hourly_stream(source: DataFrame, ts_col: str, keys: Sequence[str], value_col
 
 def run_available(spark: SparkSession, source_path: str, schema: StructType, out_path: str,
                   checkpoint: str, ts_col: str, keys: Sequence[str], value_col: str,
-                  glob: str | None = None, max_files_per_trigger: int | None = None) -> None:
+                  glob: str | None = None, max_files_per_trigger: int | None = None,
+                  watermark: str | None = None) -> None:
     """Process every file now in ``source_path`` (``availableNow``) and
     append the updated aggregates of each micro-batch to ``out_path``."""
     reader = spark.readStream.schema(schema)
@@ -45,7 +55,7 @@ def run_available(spark: SparkSession, source_path: str, schema: StructType, out
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.parquet(source_path)
-    agg = hourly_stream(src, ts_col, keys, value_col)
+    agg = hourly_stream(src, ts_col, keys, value_col, watermark=watermark)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))

@@ -79,3 +79,20 @@ def test_no_unpartitioned_window_over_data(spark):
             partitioned = not re.search(r" (ASC|DESC) NULLS (FIRST|LAST)$", first)
             assert partitioned or first.startswith("_pid"), (name, spec)
     assert seen > 0
+
+
+def test_stream_keeps_late_files(spark, tmp_dir):
+    import datetime as dt
+
+    from gridloom.streaming.hourly import current_result, run_available
+
+    schema = "ts timestamp_ntz, event_type string, value double"
+    empty = spark.createDataFrame([], schema).schema
+    src, out, ck = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    spark.createDataFrame([(dt.datetime(2024, 3, 1, 12, 30), "a", 1.0)], schema).write.parquet(src)
+    run_available(spark, src, empty, out, ck, "ts", ["event_type"], "value")
+    # a file from two months earlier arrives afterwards: still counted
+    spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 30), "a", 2.0)], schema).write.mode("append").parquet(src)
+    run_available(spark, src, empty, out, ck, "ts", ["event_type"], "value")
+    got = {r.ts: r.sum_value for r in current_result(spark, out, "ts", ["event_type"], "value").collect()}
+    assert got == {dt.datetime(2024, 3, 1, 13, 0): 1.0, dt.datetime(2024, 1, 1, 1, 0): 2.0}
