@@ -55,7 +55,9 @@ class GroupingSpec:
     group: str = "county_groups"
 
 
-def _pair_weights(samples: DataFrame, s: GroupingSpec) -> DataFrame:
+def pair_weights(samples: DataFrame, s: GroupingSpec = GroupingSpec()) -> DataFrame:
+    """Summed weight per (member, area), rows with a null member or area
+    left out."""
     return (samples.na.drop(subset=[s.member, s.area])
             .groupBy(F.col(q(s.member)).alias(s.member), F.col(q(s.area)).alias(s.area))
             .agg(F.sum(F.col(q(s.weight))).alias("_w")))

@@ -262,7 +262,7 @@ def q_forall_group(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_argmax_assign(spark: SparkSession, sf: str) -> DataFrame:
     b = samples_b(spark, sf)
-    pairs = grp._pair_weights(b, _SPEC)
+    pairs = grp.pair_weights(b, _SPEC)
     return grp.dominant_area(pairs).select("county", "puma", F.col("_w").cast("double").alias("weight"))
 
 
