@@ -91,3 +91,43 @@ def route_by_lookup(df: DataFrame, lookup: DataFrame, on: str, value: str,
     rejected = (tagged.where(F.col(q(value)).isNull())
                 .groupBy(F.col(q(on)).alias(on)).agg(F.count(F.lit(1)).alias("n_rows")))
     return matched, rejected
+
+
+def hot_keys(df: DataFrame, on: str, min_fraction: float = 0.01, max_keys: int = 1000) -> list:
+    """Keys holding at least ``min_fraction`` of the rows (at most
+    ``max_keys`` of them, the heaviest first).  One partial+final count
+    per key; only the bounded list reaches the driver."""
+    total = df.count()
+    if total == 0:
+        return []
+    threshold = max(1, int(total * min_fraction))
+    counts = df.groupBy(F.col(q(on)).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = counts.where(F.col("_n") >= threshold).orderBy(F.col("_n").desc()).limit(max_keys).collect()
+    return [r["_k"] for r in rows if r["_k"] is not None]
+
+
+def split_hot_join(big: DataFrame, other: DataFrame, on: str, how: str = "inner",
+                   keys: list | None = None, buckets: int = 32, min_fraction: float = 0.01) -> DataFrame:
+    """Equi-join that spreads hot keys of ``big`` over ``buckets`` tasks.
+
+    Rows of ``big`` with a hot key get a salt from a hash of the whole row
+    (deterministic, so a retried task salts the same way); the matching
+    rows of ``other`` are replicated once per salt; the rest joins
+    normally.  The union equals the plain join for ``inner`` and ``left``
+    (``big`` on the left).  Hot keys come from ``hot_keys`` unless given;
+    any key not in the list takes the ordinary path, so the result stays
+    exact whatever the list holds.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("split_hot_join supports inner and left joins")
+    hot = keys if keys is not None else hot_keys(big, on, min_fraction)
+    if not hot:
+        return big.join(other, on, how)
+    is_hot = F.col(q(on)).isin(hot)
+    salt = F.pmod(F.xxhash64(*[F.col(q(c)) for c in big.columns]), F.lit(buckets))
+    big_hot = big.where(is_hot).withColumn("_salt", salt)
+    other_hot = (other.where(is_hot)
+                 .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))))
+    hot_part = big_hot.join(other_hot, [on, "_salt"], how).drop("_salt")
+    cold_part = big.where(~is_hot | F.col(q(on)).isNull()).join(other.where(~is_hot | F.col(q(on)).isNull()), on, how)
+    return hot_part.unionByName(cold_part)
