@@ -98,31 +98,41 @@ def infer_text_types(df: DataFrame, columns: Sequence[str] | None = None,
     (``NA``, ``None``, ``null``, ``NaN``, empty, ...) count as missing.
 
     One distributed aggregate over the rows (or a ``sample_fraction`` of
-    them); the driver receives one row of flags, bounded by the schema width.
+    them); the driver receives one row of counts per column, bounded by the
+    schema width.
     """
     cols = list(columns) if columns is not None else [
         f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     if not cols:
         return {}
     src = df.sample(fraction=sample_fraction, seed=17) if sample_fraction else df
-    aggs = []
-    for i, c in enumerate(cols):
-        v = null_tokens_to_null(F.col(q(c)))
-        present = v.isNotNull()
-        aggs += [F.count_if(present).alias(f"n{i}"),
-                 F.count_if(present & v.try_cast("bigint").isNull()).alias(f"i{i}"),
-                 F.count_if(present & v.try_cast("double").isNull()).alias(f"d{i}"),
-                 F.count_if(present & ~v.isin(_TRUE_FALSE)).alias(f"b{i}")]
-    row = src.agg(*aggs).collect()[0]
+    # Tall form: one (column, value) row per cell via a single unpivot, the
+    # missing-value mapping applied once to the value column, then a
+    # small aggregate per column: the plan stays small whatever the width.
+    tall = (src.select(*[F.col(q(c)).alias(f"c{i}") for i, c in enumerate(cols)])
+            .unpivot([], [F.col(f"c{i}") for i in range(len(cols))], "c", "v")
+            .withColumn("v", null_tokens_to_null("v"))
+            .where(F.col("v").isNotNull()))
+    v = F.col("v")
+    # An integer pattern first: a failed string->bigint cast is costly per
+    # value, and And only evaluates the cast for integer-looking text.
+    is_int = v.rlike(r"^\s*[+-]?[0-9]+\s*$") & v.try_cast("bigint").isNotNull()
+    stats = (tall.groupBy("c")
+             .agg(F.count_if(~is_int).alias("i"),
+                  F.count_if(F.col("v").try_cast("double").isNull()).alias("d"),
+                  F.count_if(~F.col("v").isin(_TRUE_FALSE)).alias("b"))
+             .collect())
+    found = {int(r["c"][1:]): r for r in stats}
     out = {}
     for i, c in enumerate(cols):
-        if row[f"n{i}"] == 0:
+        r = found.get(i)
+        if r is None:
             out[c] = "double"
-        elif row[f"i{i}"] == 0:
+        elif r["i"] == 0:
             out[c] = "bigint"
-        elif row[f"d{i}"] == 0:
+        elif r["d"] == 0:
             out[c] = "double"
-        elif row[f"b{i}"] == 0:
+        elif r["b"] == 0:
             out[c] = "boolean"
         else:
             out[c] = "string"
