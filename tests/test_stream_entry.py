@@ -96,3 +96,19 @@ def test_stream_keeps_late_files(spark, tmp_dir):
     run_available(spark, src, empty, out, ck, "ts", ["event_type"], "value")
     got = {r.ts: r.sum_value for r in current_result(spark, out, "ts", ["event_type"], "value").collect()}
     assert got == {dt.datetime(2024, 3, 1, 13, 0): 1.0, dt.datetime(2024, 1, 1, 1, 0): 2.0}
+
+
+def test_flagship_plan_shape(spark):
+    """Melt last, two exchanges, each after a map-side partial aggregate,
+    and a scan that reads only the used columns."""
+    df = entry.entry(spark)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("Expand") == 1
+    lines = [ln.strip() for ln in plan.splitlines()]
+    expand_at = next(i for i, ln in enumerate(lines) if "Expand" in ln)
+    first_agg = next(i for i, ln in enumerate(lines) if "HashAggregate" in ln)
+    assert expand_at < first_agg           # printed top-down: Expand sits above the aggregates
+    assert "partial_sum" in plan and "partial_avg" in plan
+    assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_discount:double" in plan
+    assert "l_orderkey" not in plan and "l_partkey" not in plan    # unused columns are not read
