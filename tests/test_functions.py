@@ -85,3 +85,17 @@ def test_rstrip_and_numeric_sort(spark):
     assert sorted(r[0] for r in df.select(rstrip_chars("s", "0")).collect()) == ["1", "1", "12", "9", "a", "b"]
     ordered = [r[0] for r in df.orderBy(*numeric_then_lexical("s")).collect()]
     assert ordered == ["9", "10", "100", "1200", "a", "b"]
+
+
+def test_exact_sum_is_partition_invariant(spark):
+    import random
+
+    from gridloom.functions.scalars import exact_sum
+
+    rng = random.Random(5)
+    vals = [(round(rng.uniform(-1e6, 1e6), 2),) for _ in range(5000)]
+    df = spark.createDataFrame(vals, "v double")
+    results = {df.repartition(n).agg(exact_sum("v", 2).alias("s")).collect()[0].s for n in (1, 3, 7, 16)}
+    assert len(results) == 1
+    from decimal import Decimal
+    assert results.pop() == float(sum(Decimal(str(v[0])) for v in vals))
