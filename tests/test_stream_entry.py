@@ -112,3 +112,12 @@ def test_flagship_plan_shape(spark):
     assert "partial_sum" in plan and "partial_avg" in plan
     assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_discount:double" in plan
     assert "l_orderkey" not in plan and "l_partkey" not in plan    # unused columns are not read
+
+
+def test_orders_are_pre_aggregated_before_the_customer_join(spark):
+    import re
+
+    from gridloom.plans.catalog import q_sum_by_parent_time
+
+    plan = _plan(q_sum_by_parent_time(spark, SF_SMALL))
+    assert re.search(r"HashAggregate\(keys=\[o_custkey#\d+L?, o_orderdate#\d+\], functions=\[partial_sum", plan)
