@@ -61,7 +61,8 @@ def county_groups(spark: SparkSession, samples_path: str, county_ref_path: str,
                   ) -> grp.GroupingResult:
     """Sample table -> county groups constrained to one zone each, with
     missing counties imputed and gated merges applied; writes the grouped
-    samples and the mapping as fully quoted CSVs when ``out_dir`` is given."""
+    samples (one file per task) and the mapping (one file) as fully quoted
+    CSVs when ``out_dir`` is given."""
     samples = grp.add_county_fips5(grp.load_samples(spark.read.parquet(samples_path)))
     reference = read_county_reference(spark, county_ref_path)
     names = reference.select("county_fips5", "county_name").dropDuplicates(["county_fips5"])
@@ -71,7 +72,9 @@ def county_groups(spark: SparkSession, samples_path: str, county_ref_path: str,
     res = grp.build_county_groups(samples, zones=zones, reference=reference, crosswalk=crosswalk,
                                   specs=specs)
     if out_dir:
-        writers.write_quoted_csv(res.rows, f"{out_dir}/grouped_samples")
+        # samples: one row per building, written by every task in parallel;
+        # the mapping has one row per county and stays a single file
+        writers.write_quoted_csv(res.rows, f"{out_dir}/grouped_samples", single_file=False)
         writers.write_quoted_csv(res.mapping, f"{out_dir}/county_group_mapping")
     return res
 

@@ -33,7 +33,8 @@ def write_long_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
 
 def write_quoted_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
     """Every field quoted so codes stay text in spreadsheet tools; null is
-    written as ``""``."""
+    written as ``""``.  ``single_file`` funnels the output through one
+    task: use it for report-sized frames only."""
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).option("quoteAll", True).csv(path)
 
