@@ -96,10 +96,12 @@ _EVENT_RULES = MeasureRules(energy_marker=None, population=("mean_value",), extr
 
 
 def q_hourly_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    ev = _events(spark, sf).withColumn("mean_value", F.col("value"))
-    out = rollup_to_period(ev, unit="hour", ts_col="ts", rules=_EVENT_RULES, sum_scale=2,
-                           count_as="n_rows")
-    return out.withColumn("mean_value", F.round("mean_value", 6))
+    """Hour-ending sum and row count per event type; the mean is the exact
+    sum over the count (no rounding: identical bits in every engine)."""
+    ev = _events(spark, sf)
+    rules = MeasureRules(energy_marker=None, population=(), extra_energy=("value",))
+    out = rollup_to_period(ev, unit="hour", ts_col="ts", rules=rules, sum_scale=2, count_as="n_rows")
+    return out.withColumn("mean_value", F.col("value") / F.col("n_rows"))
 
 
 def q_two_stage_rollup(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,8 +125,7 @@ def q_partial_merge(spark: SparkSession, sf: str) -> DataFrame:
                      .agg(exact_sum("value", 2).alias("value"), F.count(F.lit(1)).alias("n_rows")))
     merged = merge_partials(parts[0].unionByName(parts[1]), ["ts", "event_type"], ["value", "n_rows"],
                             means={"mean_value": ("value", "n_rows")}, sum_scale=2)
-    return merged.withColumn("n_rows", F.col("n_rows").cast("long")).withColumn(
-        "mean_value", F.round("mean_value", 6))
+    return merged.withColumn("n_rows", F.col("n_rows").cast("long"))
 
 
 def q_distinct_keys(spark: SparkSession, sf: str) -> DataFrame:

@@ -137,7 +137,7 @@ UNION ALL SELECT l_orderkey, l_linenumber, 'tax', l_tax FROM lineitem""",
 
     "hourly_rollup": f"""
 SELECT event_type, {ceil_ts('hour', 'ts')} AS ts, {xsum('value')} AS value,
-       round(avg(value), 6) AS mean_value, count(*) AS n_rows
+       {xsum('value')} / count(*) AS mean_value, count(*) AS n_rows
 FROM events GROUP BY 1, 2""",
 
     "two_stage_rollup": f"""
@@ -149,7 +149,7 @@ FROM s1 GROUP BY ts""",
 
     "partial_merge": f"""
 SELECT {ceil_ts('hour', 'ts')} AS ts, event_type, {xsum('value')} AS value, count(*) AS n_rows,
-       round({xsum('value')} / count(*), 6) AS mean_value
+       {xsum('value')} / count(*) AS mean_value
 FROM events GROUP BY 1, 2""",
 
     "distinct_keys": "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders",
