@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import mixing, url_filter, warc
+from gridloom.llm import mixing, toxicity, url_filter, warc
 from gridloom.llm.common import store
 from gridloom.sources.tables import table
 
@@ -31,8 +31,17 @@ def op9_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op9_url_filter": op9_url_filter,
+    "op10_toxicity": op10_toxicity,
 }
