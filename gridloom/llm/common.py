@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +36,23 @@ def shuffle_partitions(df: DataFrame) -> int:
 
 def null_safe(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows with at most ``max_bytes`` of text (a
+    longer text is a run of its own), so a task's memory does not grow with
+    the batch."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        before, at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(before, before[at] + max_bytes, "right")) - 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A bijective mixer of 64-bit words."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import mixing, toxicity, url_filter, warc
+from gridloom.llm import mixing, ngram_join, toxicity, url_filter, warc
 from gridloom.llm.common import store
 from gridloom.sources.tables import table
 
@@ -15,6 +15,10 @@ URL_RULES = url_filter.parse_rules([
     ("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")])
 
 
+def op2_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, sf, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "copies", "shards")
@@ -40,6 +44,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_ngram_join": op2_ngram_join,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op9_url_filter": op9_url_filter,
