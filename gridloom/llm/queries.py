@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import mixing, ngram_join, toxicity, url_filter, warc
+from gridloom.llm import decontam, mixing, ngram_join, toxicity, url_filter, warc
 from gridloom.llm.common import store
 from gridloom.sources.tables import table
 
@@ -30,6 +30,16 @@ def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
 
 
+def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontam.find_contamination(docs, table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", F.col("n_words").cast("long").alias("n_words"), F.col("n_hit").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op9_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     judged = url_filter.judge_urls(table(spark, sf, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -47,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_join": op2_ngram_join,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
+    "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
 }
