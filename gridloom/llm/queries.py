@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import decontam, mixing, ngram_join, toxicity, url_filter, warc
+from gridloom.llm import decontam, mixing, ngram_join, secret_scan, toxicity, url_filter, warc
 from gridloom.llm.common import store
 from gridloom.sources.tables import table
 
@@ -19,6 +19,18 @@ def op2_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.train(secret_scan.labelled_samples(docs)))
+    def count(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(secret_scan.KINDS[:3])]
+    return found.select("doc_id", *counts,
+                        F.sha2(secret_scan.span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        secret_scan.span_text(F.col("spans")).alias("spans"))
+
+
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, sf, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "copies", "shards")
@@ -55,6 +67,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_join": op2_ngram_join,
+    "op3_secret_scan": op3_secret_scan,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op8_decontamination": op8_decontamination,
