@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import mix64, shuffle_partitions, store, text_slices
+from gridloom.llm.common import mix64, null_safe, shuffle_partitions, store, text_slices
 from gridloom.llm.components import connected_components
 
 K = 5
@@ -89,7 +89,8 @@ def _ship(fragments: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text", BATCH_BYTES):
             texts = pc.fill_null(batch.column("text"), "")
-            keys = np.fromiter((xxhash.xxh64_intdigest(t) for t in texts.to_pylist()), np.uint64, len(texts)).view(np.int64)
+            keys = np.fromiter((xxhash.xxh64_intdigest(t, seed=42) for t in texts.to_pylist()), np.uint64,
+                               len(texts)).view(np.int64)  # as xxhash64() of SQL
             # repeated rows of the batch are one document with copies
             ids = batch.column("doc_id").to_pylist()
             place: dict = {}
@@ -263,8 +264,10 @@ def _near(one: str, other: str) -> Column:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
-    """One row per document row: doc_id, text_key, n_shingles, component_id
-    (the smallest doc_id reachable by links, itself included)."""
+    """One row per document row: doc_id, text_key (xxhash64 of the text),
+    n_shingles, component_id (the smallest doc_id reachable by links, itself
+    included), copy (1, 2 .. for repeated rows) and kept: true for one row of
+    each component, that with the smallest doc_id."""
     documents = store(shingle_documents(docs, id_col, text_col, k), "shingled")
     members = store(documents.filter("parts is not null").select("doc_id", "text_key", "size", "parts")
                     .mapInArrow(_classes, "doc_id long, text_key long, node binary, size int, held array<long>"),
@@ -304,9 +307,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     grouped = (members.select("doc_id", "text_key", "node").join(found, "node", "left")
                .withColumn("component", F.coalesce("component", "node")))
-    smallest = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n")).filter("n > 1")
-    ids = grouped.join(smallest, "component").select(F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key"), "component_id")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    smallest = (grouped.groupBy("component").agg(F.min(own).alias("least"), F.count("*").alias("n")).filter("n > 1"))
+    ids = grouped.join(smallest, "component").select(
+        F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key"), F.col("least.doc_id").alias("component_id"),
+        (own == F.col("least")).alias("m_kept"))
     out = documents.join(ids, documents.doc_id.eqNullSafe(ids.m_id) & (documents.text_key == ids.m_key), "left")
     return out.select("doc_id", "text_key", F.col("size").cast("long").alias("n_shingles"),
                       F.coalesce("component_id", "doc_id").alias("component_id"),
-                      F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+                      F.coalesce("m_kept", F.lit(True)).alias("m_kept"),
+                      F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
+                      ).withColumn("kept", F.col("m_kept") & (F.col("copy") == 1)).drop("m_kept")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
+    """``docs`` (same columns) with one document of each component, that with
+    the smallest id; of repeated rows one stays."""
+    found = near_duplicates(docs, id_col, text_col, k)
+    gone = found.filter(~F.col("kept") & (F.col("copy") == 1)).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    keyed = docs.withColumn("_text_key", F.xxhash64(null_safe(F.col(text_col))))
+    left = keyed.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_anti")
+    return left.dropDuplicates([id_col, "_text_key"]).select(*docs.columns)
