@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import decontam, mixing, ngram_join, secret_scan, toxicity, url_filter, warc
+from gridloom.llm import decontam, fingerprint, mixing, ngram_join, secret_scan, toxicity, url_filter, warc
 from gridloom.llm.common import store
 from gridloom.sources.tables import table
 
@@ -15,6 +15,11 @@ URL_RULES = url_filter.parse_rules([
     ("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")])
 
 
+def op1_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return fingerprint.edit_chain(docs, fingerprint.fit_ranks(docs))
+
+
 def op2_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -66,6 +71,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprint": op1_fingerprint,
     "op2_ngram_join": op2_ngram_join,
     "op3_secret_scan": op3_secret_scan,
     "op6_mixing": op6_mixing,
