@@ -21,12 +21,22 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
+#: A stored table needs the shuffles behind it no more; with this setting Spark
+#: drops their files when the write has ended, not at some later collection.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: cuts the lineage, computes a frame that is read several times once,
     and survives the loss of any executor."""
-    path = scratch_table_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    conf, path = df.sparkSession.conf, scratch_table_dir(df.sparkSession, name)
+    before = conf.get(_DROP_SHUFFLES, "false")
+    conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_DROP_SHUFFLES, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

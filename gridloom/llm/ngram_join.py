@@ -14,15 +14,17 @@ order is cut into fragments:
 3. Equal sets are one class.  In the order "shingles of one document first,
    then by hash" two linked sets share a shingle of their prefixes (n -
    ceil(0.75 n) + 1 shingles).  Per prefix shingle each class is paired with
-   the first class and with its neighbour by size; the pairs are verified and
-   the links joined into components.
+   the first class and with its neighbour by size; of these the partner that
+   comes up most often is verified, and the links joined into components.
 4. What is left are pairs of one prefix shingle in different components.
    Only these are verified too, each class outside the shingle's largest
    component against the others; so a group of thousands of near copies is
    never expanded into all its pairs, yet no link between components is lost.
 
 Verification is vertical as well: the sets' fragments are intersected
-separately and the partial overlaps summed per pair.
+separately and the partial overlaps summed per pair.  Before that a bound
+drops pairs that cannot link: a bitmap of 1024 cells per class shows at least
+how many shingles of one set the other lacks.
 
 Edge cases: null or empty texts and texts without words have an empty set
 and link with nothing; a text of fewer than ``k`` words is one shingle (it
@@ -49,7 +51,8 @@ from gridloom.llm.components import connected_components
 
 K = 5
 BATCH_BYTES = 8 << 20
-VERIFY_FRAGMENTS = 8
+VERIFY_FRAGMENTS = 4
+CELLS = 1024
 
 _SHIPPED = ("key int, ids array<long>, texts array<long>, copies array<int>, sizes array<int>, "
             "counts array<int>, hashes binary, marks binary")
@@ -226,7 +229,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Join the segments; the class of a set that is shared as a whole is its
     digest, any other set holds a shingle of its own and is a class alone."""
     for batch in batches:
-        out: dict[str, list] = {n: [] for n in ("doc_id", "text_key", "node", "size", "held")}
+        out: dict[str, list] = {n: [] for n in ("doc_id", "text_key", "node", "size", "held", "cells")}
         for row in batch.to_pylist():
             held = np.unique(np.frombuffer(b"".join(row["parts"]), dtype=np.int64))
             if 4 * len(held) < 3 * row["size"]:
@@ -237,9 +240,27 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out["node"].append(hashlib.blake2b(held.tobytes() + own, digest_size=16).digest())
             out["size"].append(row["size"])
             out["held"].append(held)
+            cells = np.zeros(CELLS, dtype=bool)
+            cells[held & (CELLS - 1)] = True
+            out["cells"].append(np.packbits(cells).view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [pa.array(v, t) for v, t in zip(out.values(), (
-                pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64())))], list(out))
+                pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())))], list(out))
+
+
+def _lacking(one: str, other: str) -> Column:
+    """How many cells of one bitmap the other lacks."""
+    bits = F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+    return F.aggregate(bits, F.lit(0), lambda a, b: a + b)
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs whose bitmaps leave room for a link."""
+    left = nodes.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.size("held").alias("n_a"), F.col("cells").alias("cells_a"))
+    right = nodes.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.size("held").alias("n_b"), F.col("cells").alias("cells_b"))
+    most = F.least(F.col("n_a") - _lacking("cells_a", "cells_b"), F.col("n_b") - _lacking("cells_b", "cells_a"))
+    return (pairs.join(left, "a").join(right, "b")
+            .filter(7 * most >= 3 * (F.col("size_a") + F.col("size_b"))).select("a", "b"))
 
 
 def _links(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -249,7 +270,7 @@ def _links(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                          "held").withColumn("held", F.expr(f"filter(held, x -> pmod(x, {VERIFY_FRAGMENTS}) = fragment)"))
     left = parts.select(F.col("node").alias("a"), F.col("size").alias("size_a"), "fragment", F.col("held").alias("held_a"))
     right = parts.select(F.col("node").alias("b"), F.col("size").alias("size_b"), "fragment", F.col("held").alias("held_b"))
-    return (pairs.join(left, "a").join(right, ["b", "fragment"])
+    return (_possible(pairs, nodes).join(left, "a").join(right, ["b", "fragment"])
             .groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("held_a", "held_b"))).alias("overlap"),
                                    F.max(F.col("size_a") + F.col("size_b")).alias("both"))
             .filter("7 * overlap >= 3 * both").select("a", "b"))
@@ -270,9 +291,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     each component, that with the smallest doc_id."""
     documents = store(shingle_documents(docs, id_col, text_col, k), "shingled")
     members = store(documents.filter("parts is not null").select("doc_id", "text_key", "size", "parts")
-                    .mapInArrow(_classes, "doc_id long, text_key long, node binary, size int, held array<long>"),
+                    .mapInArrow(_classes, "doc_id long, text_key long, node binary, size int, held array<long>, cells array<long>"),
                     "members")
-    nodes = store(members.groupBy("node").agg(F.first("size").alias("size"), F.first("held").alias("held")), "nodes")
+    nodes = store(members.groupBy("node").agg(F.first("size").alias("size"), F.first("held").alias("held"),
+                                              F.first("cells").alias("cells")), "nodes")
     # shingles that no other document holds come first in the order
     room = F.expr("size - ceil(0.75 * size) + 1 - (size - size(held))").cast("int")
     entries = store(nodes.select("node", "size", F.explode(F.slice("held", F.lit(1), F.greatest(room, F.lit(0)))).alias("shingle")),
@@ -281,11 +303,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_size = Window.partitionBy("shingle").orderBy("size", "node")
     with_next = entries.select("shingle", "node", "size", F.first(F.struct("node", "size")).over(by_node).alias("head"),
                                F.lag(F.struct("node", "size")).over(by_size).alias("prev"))
-    firsts = (with_next.select("node", "size", F.explode(F.array("head", "prev")).alias("other"))
-              .filter("other is not null").select("node", "size", F.col("other.node").alias("other"), F.col("other.size").alias("other_size"))
-              .filter((F.col("node") != F.col("other")) & _near("size", "other_size"))
-              .select(*_ordered(F.col("node"), F.col("other"))).distinct())
-    pairs = store(firsts, "pairs")
+    met = (with_next.select("node", "size", F.explode(F.array("head", "prev")).alias("other"))
+           .filter("other is not null").select("node", "size", F.col("other.node").alias("other"), F.col("other.size").alias("other_size"))
+           .filter((F.col("node") != F.col("other")) & _near("size", "other_size"))
+           .groupBy("node", "other").agg(F.count("*").alias("n")))
+    best = met.groupBy("node").agg(F.max_by("other", F.struct("n", "other")).alias("other"))
+    pairs = store(best.select(*_ordered(F.col("node"), F.col("other"))).distinct(), "pairs")
     links = store(_links(pairs, nodes), "links")
     found = connected_components(links)
 
