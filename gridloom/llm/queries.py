@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat_repair, decontam, fingerprint, mixing, ngram_join, secret_scan, toxicity, url_filter, warc
+from gridloom.llm import chat_repair, decontam, fingerprint, mixing, ngram_join, secret_scan, suffix_dedup, toxicity, url_filter, warc
 from gridloom.llm.common import store
 from gridloom.sources.tables import table
 
@@ -36,6 +36,10 @@ def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
                         secret_scan.span_text(F.col("spans")).alias("spans"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf, "documents")).drop("kept")
+
+
 def op5_chat_repair(spark: SparkSession, sf: str) -> DataFrame:
     return chat_repair.repair(table(spark, sf, "conversations"))
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprint": op1_fingerprint,
     "op2_ngram_join": op2_ngram_join,
     "op3_secret_scan": op3_secret_scan,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_chat_repair": op5_chat_repair,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
