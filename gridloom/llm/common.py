@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,3 +66,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def isolated(docs: DataFrame, used: tuple[str, ...], change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Apply ``change``, which keeps or drops rows and may rewrite the ``used``
+    columns, with all other columns renamed out of its way; the result has the
+    columns of ``docs``."""
+    names = {c: c if c in used else f"_other{i}" for i, c in enumerate(docs.columns)}
+    inner = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    return change(inner).select(*[F.col(n).alias(c) for c, n in names.items()])

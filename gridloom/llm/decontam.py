@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.common import null_safe
+from gridloom.llm.common import isolated, null_safe
 
 WINDOW = 10
 MAX_GROUP_WORDS = 2_000_000
@@ -237,9 +237,6 @@ def remove_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW
     cut from its first to its last character.  Documents of which more than
     ``max_coverage`` of the words are hit are dropped; clean ones stay as they
     are."""
-    found = find_contamination(docs, items, window, text_col, **options)
-    found = found.filter(F.col("n_hit") <= max_coverage * F.col("n_words"))
-
     @F.pandas_udf("string")
     def cut(text, hits):
         import pandas as pd
@@ -255,8 +252,12 @@ def remove_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW
 
         return pd.Series([one(t, r) for t, r in zip(text, hits)], dtype=object)
 
-    dirty = F.size("hits") > 0
-    # only hit rows pass through Python
-    return found.withColumn(text_col, F.when(dirty, cut(F.when(dirty, F.col(text_col)), F.when(dirty, F.col("hits"))
-                                                        .otherwise(F.array().cast(_HITS)))).otherwise(F.col(text_col))
-                            ).select(*docs.columns)
+    def clean(rows: DataFrame) -> DataFrame:
+        found = find_contamination(rows, items, window, text_col, **options)
+        found = found.filter(F.col("n_hit") <= max_coverage * F.col("n_words"))
+        dirty, text = F.size("hits") > 0, F.col(text_col)
+        # of clean rows only nulls pass through Python
+        shortened = cut(F.when(dirty, text), F.when(dirty, F.col("hits")).otherwise(F.array().cast(_HITS)))
+        return found.withColumn(text_col, F.when(dirty, shortened).otherwise(text))
+
+    return isolated(docs, (text_col,), clean)

@@ -155,13 +155,13 @@ def mix(docs: DataFrame, seed: int = SEED, shards: int = SHARDS, **options) -> D
     sorted by a seeded hash, kept as ``shard_order``)."""
     plan = plan_mix(docs, seed=seed, shards=shards, **options)
     # identical rows share a key: one plan row stands for all of them
-    keyed = plan.filter("copies > 0").groupBy("row_key").agg(F.first("shards").alias("_shards"))
+    keyed = plan.filter("copies > 0").groupBy(F.col("row_key").alias("_mix_key")).agg(F.first("shards").alias("_shards"))
     key = F.xxhash64(F.lit(seed), F.col("doc_id"), null_safe(F.col("text")))
-    copies = (docs.drop("shard", "copy", "shard_order").withColumn("row_key", key)
-              .join(keyed, "row_key")
-              .select(*[c for c in docs.columns if c not in ("shard", "copy", "shard_order")],
-                      "row_key", F.posexplode("_shards").alias("copy", "shard"))
-              .withColumn("shard_order", F.xxhash64(F.lit(seed + 2), "row_key", "copy"))
-              .drop("row_key"))
+    added = ("shard", "copy", "shard_order")
+    copies = (docs.drop(*added).withColumn("_mix_key", key).join(keyed, "_mix_key")
+              .select(*[f"`{c}`" for c in docs.columns if c not in added], "_mix_key",
+                      F.posexplode("_shards").alias("copy", "shard"))
+              .withColumn("shard_order", F.xxhash64(F.lit(seed + 2), "_mix_key", "copy"))
+              .drop("_mix_key"))
     return (copies.repartition(shards, "shard")
             .sortWithinPartitions("shard", "shard_order", "doc_id", "copy"))

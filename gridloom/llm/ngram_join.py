@@ -13,13 +13,16 @@ order is cut into fragments:
    have no link and are done: most documents, whatever passages they share.
 3. Equal sets are one class.  In the order "shingles of one document first,
    then by hash" two linked sets share a shingle of their prefixes (n -
-   ceil(0.75 n) + 1 shingles).  Per prefix shingle each class is paired with
-   the first class and with its neighbour by size; of these the partner that
-   comes up most often is verified, and the links joined into components.
-4. What is left are pairs of one prefix shingle in different components.
-   Only these are verified too, each class outside the shingle's largest
-   component against the others; so a group of thousands of near copies is
-   never expanded into all its pairs, yet no link between components is lost.
+   ceil(0.75 n) + 1 shingles), and what either holds from there on in shared
+   shingles must still be enough for a link.  In a few rounds each class is
+   paired with neighbours in a random order of its prefix shingles' classes,
+   as long as they are in another component; at most ``PARTNERS`` pairs a
+   class and round are verified, and the links joined into components.
+4. What is left are pairs of one prefix shingle in different components.  All
+   of these are verified, each class outside the shingle's largest component
+   against the others.  So a group of thousands of near copies is not expanded
+   into all its pairs, yet no link between components is lost: the rounds
+   only decide how much is left for this step, never the result.
 
 Verification is vertical as well: the sets' fragments are intersected
 separately and the partial overlaps summed per pair.  Before that a bound
@@ -46,13 +49,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import mix64, null_safe, shuffle_partitions, store, text_slices
+from gridloom.llm.common import isolated, mix64, null_safe, shuffle_partitions, store, text_slices
 from gridloom.llm.components import connected_components
 
 K = 5
 BATCH_BYTES = 8 << 20
 VERIFY_FRAGMENTS = 4
 CELLS = 1024
+PARTNERS = 8
+ROUNDS = 2
 
 _SHIPPED = ("key int, ids array<long>, texts array<long>, copies array<int>, sizes array<int>, "
             "counts array<int>, hashes binary, marks binary")
@@ -280,8 +285,38 @@ def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _near(one: str, other: str) -> Column:
-    return 4 * F.least(one, other) >= 3 * F.greatest(one, other)
+def _near(one: str, one_room: str, other: str, other_room: str) -> Column:
+    """Sets that share this prefix shingle first can link: the shared shingles
+    from there on suffice for both sizes."""
+    return 7 * F.least(one_room, other_room) >= 3 * (F.col(one) + F.col(other))
+
+
+def _partners(placed: DataFrame, number: int) -> DataFrame:
+    """Pairs of classes of different components to verify in a round."""
+    order = Window.partitionBy("shingle").orderBy(F.xxhash64("node", "shingle", F.lit(number)), "node")
+    row = F.struct("node", "size", "room", "component")
+    met = (placed.withColumns({"head": F.first(row).over(order), "prev": F.lag(row).over(order)})
+           .select("node", "size", "room", "component", F.explode(F.array("head", "prev")).alias("other"))
+           .filter("other is not null")
+           .select("node", "size", "room", "component", F.col("other.node").alias("other"), F.col("other.size").alias("o_size"),
+                   F.col("other.room").alias("o_room"), F.col("other.component").alias("o_component"))
+           .filter((F.col("component") != F.col("o_component")) & _near("size", "room", "o_size", "o_room"))
+           .groupBy("node", "other").agg(F.count("*").alias("n")))
+    best = Window.partitionBy("node").orderBy(F.col("n").desc(), F.xxhash64("node", "other"), "other")
+    return (met.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= PARTNERS)
+            .select(*_ordered(F.col("node"), F.col("other"))).distinct())
+
+
+def _place(entries: DataFrame, found: DataFrame) -> DataFrame:
+    """The prefix entries with their components, of shingles whose classes
+    are in several."""
+    placed = store(entries.drop("component", "largest").join(found, "node", "left")
+                   .withColumn("component", F.coalesce("component", "node")), "placed")
+    sides = placed.groupBy("shingle", "component").agg(F.count("*").alias("n"))
+    largest = (sides.groupBy("shingle").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
+                                            F.count("*").alias("parts"))
+               .filter("parts > 1").select("shingle", "largest"))
+    return store(placed.join(largest, "shingle"), "split")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
@@ -296,37 +331,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = store(members.groupBy("node").agg(F.first("size").alias("size"), F.first("held").alias("held"),
                                               F.first("cells").alias("cells")), "nodes")
     # shingles that no other document holds come first in the order
-    room = F.expr("size - ceil(0.75 * size) + 1 - (size - size(held))").cast("int")
-    entries = store(nodes.select("node", "size", F.explode(F.slice("held", F.lit(1), F.greatest(room, F.lit(0)))).alias("shingle")),
-                    "prefixes")
-    by_node = Window.partitionBy("shingle").orderBy("node")
-    by_size = Window.partitionBy("shingle").orderBy("size", "node")
-    with_next = entries.select("shingle", "node", "size", F.first(F.struct("node", "size")).over(by_node).alias("head"),
-                               F.lag(F.struct("node", "size")).over(by_size).alias("prev"))
-    met = (with_next.select("node", "size", F.explode(F.array("head", "prev")).alias("other"))
-           .filter("other is not null").select("node", "size", F.col("other.node").alias("other"), F.col("other.size").alias("other_size"))
-           .filter((F.col("node") != F.col("other")) & _near("size", "other_size"))
-           .groupBy("node", "other").agg(F.count("*").alias("n")))
-    best = met.groupBy("node").agg(F.max_by("other", F.struct("n", "other")).alias("other"))
-    pairs = store(best.select(*_ordered(F.col("node"), F.col("other"))).distinct(), "pairs")
-    links = store(_links(pairs, nodes), "links")
-    found = connected_components(links)
-
-    # pairs of one prefix shingle whose components differ
-    placed = store(entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
-    sides = placed.groupBy("shingle", "component").agg(F.count("*").alias("n"))
-    largest = (sides.groupBy("shingle").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
-                                            F.count("*").alias("parts"))
-               .filter("parts > 1").select("shingle", "largest"))
-    split = store(placed.join(largest, "shingle"), "split")
-    left = split.filter("component <> largest").select("shingle", F.col("node").alias("l"), F.col("size").alias("l_size"),
-                                                       F.col("component").alias("l_component"))
-    right = split.select("shingle", F.col("node").alias("r"), F.col("size").alias("r_size"), F.col("component").alias("r_component"))
-    rest = (left.join(right, "shingle").filter((F.col("l_component") != F.col("r_component")) & _near("l_size", "r_size"))
-            .select(*_ordered(F.col("l"), F.col("r"))).distinct().join(pairs, ["a", "b"], "left_anti"))
-    more = store(_links(rest, nodes), "more-links")
-    if more.limit(1).count():
-        found = connected_components(links.unionByName(more))
+    prefix = F.expr("size - ceil(0.75 * size) + 1 - (size - size(held))").cast("int")
+    left = nodes.select("node", "size", F.size("held").alias("n_held"),
+                        F.posexplode(F.slice("held", F.lit(1), F.greatest(prefix, F.lit(0)))).alias("at", "shingle"))
+    left = store(left.select("shingle", "node", "size", (F.col("n_held") - F.col("at")).alias("room"),
+                             F.col("node").alias("component")), "prefixes")
+    links = found = None
+    for number in range(ROUNDS):
+        more = store(_links(_partners(left, number), nodes), "links")
+        if not more.limit(1).count():
+            break
+        links = more if links is None else links.unionByName(more)
+        found = connected_components(links)
+        left = _place(left, found)
+
+    # all pairs of one prefix shingle whose components still differ
+    if found is None:
+        left = _place(left, nodes.select("node", F.col("node").alias("component")))
+    one = left.filter("component <> largest").select(
+        "shingle", F.col("node").alias("l"), F.col("size").alias("l_size"), F.col("room").alias("l_room"),
+        F.col("component").alias("l_component"))
+    two = left.select("shingle", F.col("node").alias("r"), F.col("size").alias("r_size"), F.col("room").alias("r_room"),
+                      F.col("component").alias("r_component"))
+    rest = (one.join(two, "shingle").filter((F.col("l_component") != F.col("r_component"))
+                                            & _near("l_size", "l_room", "r_size", "r_room"))
+            .select(*_ordered(F.col("l"), F.col("r"))).distinct())
+    more = store(_links(rest, nodes), "links")
+    if links is None or more.limit(1).count():
+        found = connected_components(more if links is None else links.unionByName(more))
 
     grouped = (members.select("doc_id", "text_key", "node").join(found, "node", "left")
                .withColumn("component", F.coalesce("component", "node")))
@@ -348,6 +380,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     the smallest id; of repeated rows one stays."""
     found = near_duplicates(docs, id_col, text_col, k)
     gone = found.filter(~F.col("kept") & (F.col("copy") == 1)).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    keyed = docs.withColumn("_text_key", F.xxhash64(null_safe(F.col(text_col))))
-    left = keyed.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_anti")
-    return left.dropDuplicates([id_col, "_text_key"]).select(*docs.columns)
+
+    def drop(rows: DataFrame) -> DataFrame:
+        keyed = rows.withColumn("_text_key", F.xxhash64(null_safe(F.col(text_col))))
+        left = keyed.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
+                          & (F.col("_text_key") == F.col("_key")), "left_anti")
+        return left.dropDuplicates([id_col, "_text_key"])
+
+    return isolated(docs, (id_col, text_col), drop)

@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import null_safe
+from gridloom.llm.common import isolated, null_safe
 
 # The base patterns and their least lengths.
 KEYWORD = r"(?i:(password|passwd|secret|token|api_?key))"
@@ -190,5 +190,5 @@ def redact(docs: DataFrame, ratios: list[float], text_col: str = "text", mark: s
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     cut = F.aggregate("spans", start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    found = scan(docs, ratios, text_col)
-    return found.withColumn(text_col, F.when(F.size("spans") > 0, cut).otherwise(text)).select(*docs.columns)
+    return isolated(docs, (text_col,), lambda rows: scan(rows, ratios, text_col).withColumn(
+        text_col, F.when(F.size("spans") > 0, cut).otherwise(text)))

@@ -36,6 +36,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridloom.llm.common import isolated
+
 BUCKETS = 1 << 18
 DIM = 8
 NGRAMS = (3, 4, 5)
@@ -207,6 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, steps: int
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+            .groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # one row an id, whatever repeats
             .select(F.lit(0).alias("model"), F.xxhash64("doc_id").alias("at"), "doc_id", "text", "toxic"))
 
     def learn(table: pa.Table) -> pa.Table:
@@ -221,6 +224,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, steps: int
 
 
 
+def reject(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """``docs`` (same columns) without the rows that score ``threshold`` or more."""
+    return isolated(docs, (text_col,), lambda rows: score(rows, model, text_col).filter(F.col("score") < threshold))
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` plus ``score``, the probability of class 1."""
     # fixed size: one number per bucket
