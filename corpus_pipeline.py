@@ -45,7 +45,7 @@ def _with_length(docs: DataFrame, change: Callable[[DataFrame], DataFrame]) -> D
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).filter(F.col("score") < TOXIC).select(*docs.columns)
+    return toxicity.reject(docs, model, TOXIC)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
