@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridloom.session import scratch_table_dir
@@ -40,6 +40,15 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_rows(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+    """``store`` with the number of rows and an order-free hash of them,
+    observed while they are written."""
+    seen = Observation()
+    out = store(df.observe(seen, F.count(F.lit(1)).alias("n"),
+                           F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)")).alias("hash")), name)
+    return out, seen.get["n"], seen.get["hash"]
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 

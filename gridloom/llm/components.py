@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import store
+from gridloom.llm.common import stored_rows
 
 
 def _least_neighbour(edges: DataFrame) -> DataFrame:
@@ -33,16 +33,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of a pair; component is the least
     node reachable.  ``pairs`` without rows gives no rows."""
-    edges = store(pairs.filter(F.col(a) != F.col(b)).select(
+    edges, *seen = stored_rows(pairs.filter(F.col(a) != F.col(b)).select(
         F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
-
-    def mark(e: DataFrame):
-        return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-
-    seen = mark(edges)
     while True:
-        edges = store(_small_star(_large_star(edges)), "edges")
-        now = mark(edges)
+        edges, *now = stored_rows(_small_star(_large_star(edges)), "edges")
         if now == seen:
             break
         seen = now

@@ -14,15 +14,15 @@ order is cut into fragments:
 3. Equal sets are one class.  In the order "shingles of one document first,
    then by hash" two linked sets share a shingle of their prefixes (n -
    ceil(0.75 n) + 1 shingles), and what either holds from there on in shared
-   shingles must still be enough for a link.  In a few rounds each class is
-   paired with neighbours in a random order of its prefix shingles' classes,
-   as long as they are in another component; at most ``PARTNERS`` pairs a
-   class and round are verified, and the links joined into components.
+   shingles must still be enough for a link.  Each class is first paired with
+   neighbours in a random order of its prefix shingles' classes; at most
+   ``PARTNERS`` of these pairs a class are verified, and the links joined into
+   components.
 4. What is left are pairs of one prefix shingle in different components.  All
    of these are verified, each class outside the shingle's largest component
    against the others.  So a group of thousands of near copies is not expanded
-   into all its pairs, yet no link between components is lost: the rounds
-   only decide how much is left for this step, never the result.
+   into all its pairs, yet no link between components is lost: the first
+   pairs only decide how much is left for this step, never the result.
 
 Verification is vertical as well: the sets' fragments are intersected
 separately and the partial overlaps summed per pair.  Before that a bound
@@ -49,15 +49,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import isolated, mix64, null_safe, shuffle_partitions, store, text_slices
+from gridloom.llm.common import isolated, mix64, null_safe, shuffle_partitions, store, stored_rows, text_slices
 from gridloom.llm.components import connected_components
 
 K = 5
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+FRAGMENTS = 64  # at least
 VERIFY_FRAGMENTS = 4
 CELLS = 1024
 PARTNERS = 8
-ROUNDS = 2
 
 _SHIPPED = ("key int, ids array<long>, texts array<long>, copies array<int>, sizes array<int>, "
             "counts array<int>, hashes binary, marks binary")
@@ -219,7 +219,7 @@ def shingle_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """One row per distinct (doc_id, text): copies, size (distinct shingles)
     and ``parts``, the byte segments of its shared shingles if these are at
     least three quarters of the set, else null."""
-    fragments = shuffle_partitions(docs)
+    fragments = max(FRAGMENTS, shuffle_partitions(docs))
     shipped = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
                           ).mapInArrow(_ship(fragments, k), _SHIPPED)
     segments = (shipped.repartitionById(fragments, F.col("key"))
@@ -291,16 +291,16 @@ def _near(one: str, one_room: str, other: str, other_room: str) -> Column:
     return 7 * F.least(one_room, other_room) >= 3 * (F.col(one) + F.col(other))
 
 
-def _partners(placed: DataFrame, number: int) -> DataFrame:
-    """Pairs of classes of different components to verify in a round."""
-    order = Window.partitionBy("shingle").orderBy(F.xxhash64("node", "shingle", F.lit(number)), "node")
-    row = F.struct("node", "size", "room", "component")
-    met = (placed.withColumns({"head": F.first(row).over(order), "prev": F.lag(row).over(order)})
-           .select("node", "size", "room", "component", F.explode(F.array("head", "prev")).alias("other"))
+def _partners(entries: DataFrame) -> DataFrame:
+    """Pairs of classes to verify first."""
+    order = Window.partitionBy("shingle").orderBy(F.xxhash64("node", "shingle"), "node")
+    row = F.struct("node", "size", "room")
+    met = (entries.withColumns({"head": F.first(row).over(order), "prev": F.lag(row).over(order)})
+           .select("node", "size", "room", F.explode(F.array("head", "prev")).alias("other"))
            .filter("other is not null")
-           .select("node", "size", "room", "component", F.col("other.node").alias("other"), F.col("other.size").alias("o_size"),
-                   F.col("other.room").alias("o_room"), F.col("other.component").alias("o_component"))
-           .filter((F.col("component") != F.col("o_component")) & _near("size", "room", "o_size", "o_room"))
+           .select("node", "size", "room", F.col("other.node").alias("other"), F.col("other.size").alias("o_size"),
+                   F.col("other.room").alias("o_room"))
+           .filter((F.col("node") != F.col("other")) & _near("size", "room", "o_size", "o_room"))
            .groupBy("node", "other").agg(F.count("*").alias("n")))
     best = Window.partitionBy("node").orderBy(F.col("n").desc(), F.xxhash64("node", "other"), "other")
     return (met.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= PARTNERS)
@@ -310,13 +310,13 @@ def _partners(placed: DataFrame, number: int) -> DataFrame:
 def _place(entries: DataFrame, found: DataFrame) -> DataFrame:
     """The prefix entries with their components, of shingles whose classes
     are in several."""
-    placed = store(entries.drop("component", "largest").join(found, "node", "left")
+    placed = store(entries.join(found, "node", "left")
                    .withColumn("component", F.coalesce("component", "node")), "placed")
     sides = placed.groupBy("shingle", "component").agg(F.count("*").alias("n"))
     largest = (sides.groupBy("shingle").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
                                             F.count("*").alias("parts"))
                .filter("parts > 1").select("shingle", "largest"))
-    return store(placed.join(largest, "shingle"), "split")
+    return placed.join(largest, "shingle")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
@@ -332,22 +332,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                               F.first("cells").alias("cells")), "nodes")
     # shingles that no other document holds come first in the order
     prefix = F.expr("size - ceil(0.75 * size) + 1 - (size - size(held))").cast("int")
-    left = nodes.select("node", "size", F.size("held").alias("n_held"),
-                        F.posexplode(F.slice("held", F.lit(1), F.greatest(prefix, F.lit(0)))).alias("at", "shingle"))
-    left = store(left.select("shingle", "node", "size", (F.col("n_held") - F.col("at")).alias("room"),
-                             F.col("node").alias("component")), "prefixes")
-    links = found = None
-    for number in range(ROUNDS):
-        more = store(_links(_partners(left, number), nodes), "links")
-        if not more.limit(1).count():
-            break
-        links = more if links is None else links.unionByName(more)
-        found = connected_components(links)
-        left = _place(left, found)
+    entries = nodes.select("node", "size", F.size("held").alias("n_held"),
+                           F.posexplode(F.slice("held", F.lit(1), F.greatest(prefix, F.lit(0)))).alias("at", "shingle"))
+    entries = store(entries.select("shingle", "node", "size", (F.col("n_held") - F.col("at")).alias("room")), "prefixes")
+    links = store(_links(_partners(entries), nodes), "links")
+    found = connected_components(links)
 
     # all pairs of one prefix shingle whose components still differ
-    if found is None:
-        left = _place(left, nodes.select("node", F.col("node").alias("component")))
+    left = _place(entries, found)
     one = left.filter("component <> largest").select(
         "shingle", F.col("node").alias("l"), F.col("size").alias("l_size"), F.col("room").alias("l_room"),
         F.col("component").alias("l_component"))
@@ -356,9 +348,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = (one.join(two, "shingle").filter((F.col("l_component") != F.col("r_component"))
                                             & _near("l_size", "l_room", "r_size", "r_room"))
             .select(*_ordered(F.col("l"), F.col("r"))).distinct())
-    more = store(_links(rest, nodes), "links")
-    if links is None or more.limit(1).count():
-        found = connected_components(more if links is None else links.unionByName(more))
+    more, n_more, _ = stored_rows(_links(rest, nodes), "links")
+    if n_more:
+        found = connected_components(links.unionByName(more))
 
     grouped = (members.select("doc_id", "text_key", "node").join(found, "node", "left")
                .withColumn("component", F.coalesce("component", "node")))

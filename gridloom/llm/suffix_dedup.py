@@ -45,6 +45,7 @@ Q = 8
 EVERY = 64
 DEPTH = 3                 # levels of triples: 27 phrases in order
 BATCH_BYTES = 4 << 20
+FRAGMENTS = 64            # at least
 FAR = 1 << 40
 
 #: a phrase: its hash, start, length, the distance of its start from the
@@ -284,7 +285,7 @@ def _spans(length: int):
 def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """(texts: hi, lo, copies, size; spans: hi, lo, text, covered runs of
     bytes) of the distinct texts, keyed by 128 bits of hash."""
-    fragments = shuffle_partitions(docs)
+    fragments = max(FRAGMENTS, shuffle_partitions(docs))
     rows = docs.select(null_safe(F.col(text_col)).alias("text")).select(
         F.xxhash64(F.lit(1), "text").alias("hi"), F.xxhash64("text").alias("lo"), "text")
     shared = shared_records(rows.mapInArrow(_phrases(fragments, length), SHIPPED), fragments, PHRASE)

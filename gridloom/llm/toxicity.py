@@ -41,10 +41,10 @@ from gridloom.llm.common import isolated
 BUCKETS = 1 << 18
 DIM = 8
 NGRAMS = (3, 4, 5)
-MAX_ROWS = 12_000
+MAX_ROWS = 8000
 STEPS = 100
 SCALE = 60.0
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
