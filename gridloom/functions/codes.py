@@ -164,10 +164,3 @@ def state_fips_prefix(code: Column | str) -> Column:
     ``G`` code, '' for any other code."""
     c = F.col(code) if isinstance(code, str) else code
     return F.when(c.startswith("G"), F.substring(c, 2, 2)).otherwise(F.lit(""))
-
-
-def values_sql(mapping: dict[str, str], key: str, value: str) -> str:
-    """``(VALUES ...) AS t(key, value)`` text for a fixed map (for oracles
-    and SQL users)."""
-    rows = ", ".join(f"('{k}', '{v}')" for k, v in mapping.items())
-    return f"(VALUES {rows}) AS t({key}, {value})"

@@ -34,18 +34,17 @@ def q(name: str) -> str:
 
 
 def end_use_label(name: str) -> str:
-    """Label of a wide end-use column.
+    """Label of a wide end-use column: the third dot-separated part of a name
+    with four or more, any other name as it is."""
+    third = name.split(".", 3)[2:]
+    return third[0] if len(third) == 2 else name
 
-    Dot-separated parts: five or more -> part index 2; exactly four -> the
-    parts between index 2 and the last one (that is part 2); otherwise the
-    full name.  ``..kwh`` only adds an empty part.
-    """
-    parts = name.split(".")
-    if len(parts) >= 5:
-        return parts[2]
-    if len(parts) > 3:
-        return ".".join(parts[2:-1])
-    return name
+
+def measure_types(columns: Iterable[str]) -> dict[str, str]:
+    """Types that the names of measures tell: energy, outputs and population
+    measures are numbers."""
+    return {c: "double" for c in columns
+            if c.startswith(OUTPUT_PREFIX) or ENERGY_MARKER in c.lower() or c in POPULATION_MEASURES}
 
 
 def token_after(sep: str) -> Callable[[str], str]:
@@ -96,39 +95,32 @@ def classify_wide(columns: Sequence[str], value_prefix: str = ELECTRICITY_PREFIX
     return WideLayout(ids=ids, values=values, dropped=dropped, excluded=excluded)
 
 
-def find_timestamp_column(columns: Iterable[str], candidates: Sequence[str] = ("timestamp",)) -> str | None:
-    """First column whose lower-cased name equals a candidate (candidates
-    are tried in order)."""
+def first_match(columns: Iterable[str], tests: Iterable[Callable[[str], bool]]) -> str | None:
+    """The first column that passes a test; an earlier test outranks a later
+    one, whatever the column order."""
     cols = list(columns)
-    for cand in candidates:
-        for c in cols:
-            if c.lower() == cand.lower():
-                return c
-    return None
+    return next((c for test in tests for c in cols if test(c)), None)
+
+
+def find_timestamp_column(columns: Iterable[str], candidates: Sequence[str] = ("timestamp",)) -> str | None:
+    """The column named like a candidate, in any case."""
+    return first_match(columns, [lambda c, want=want.lower(): c.lower() == want for want in candidates])
 
 
 def find_building_type_column(columns: Iterable[str],
                               preferred: Sequence[str] = BUILDING_TYPE_COLUMNS,
                               marker: str = "building_type") -> str | None:
-    """Preferred names first, else the first name containing ``marker``."""
-    cols = list(columns)
-    for p in preferred:
-        if p in cols:
-            return p
-    for c in cols:
-        if marker in c.lower():
-            return c
-    return None
+    """The column with a preferred name, or else any that mentions ``marker``."""
+    return first_match(columns, [*(lambda c, want=want: c == want for want in preferred), lambda c: marker in c.lower()])
 
 
 def resolve_column(columns: Iterable[str], candidates: Sequence[str], what: str = "column") -> str:
-    """First of ``candidates`` present in ``columns``; error listing them
-    otherwise."""
-    cols = list(columns)
-    for cand in candidates:
-        if cand in cols:
-            return cand
-    raise KeyError(f"missing required {what}: one of {list(candidates)}")
+    """The column with one of the candidate names; an error lists them if
+    there is none."""
+    found = first_match(columns, [lambda c, want=want: c == want for want in candidates])
+    if found is None:
+        raise KeyError(f"missing required {what}: one of {list(candidates)}")
+    return found
 
 
 def require_columns(df: DataFrame, required: Sequence[str]) -> None:

@@ -69,12 +69,6 @@ def null_tokens_to_null(col: Column | str, tokens: Sequence[str] = NULL_TOKENS)
     return F.when(F.trim(c).isin(list(tokens)), F.lit(None).cast("string")).otherwise(c)
 
 
-def nan_to_null(col: Column | str) -> Column:
-    """Floating NaN -> null (sinks store null, not NaN)."""
-    c = _as(col)
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)
-
-
 def is_all_digits(col: Column | str) -> Column:
     return _as(col).rlike("^[0-9]+$")
 
@@ -107,26 +101,33 @@ def _re_escape(s: str) -> str:
     return re.escape(s)
 
 
-def starts_with_safe(col: Column | str, prefix: str) -> Column:
-    """``startswith`` that is false (not null) on a null input."""
-    return F.coalesce(_as(col).startswith(prefix), F.lit(False))
-
-
 def exact_sum(col: Column | str, scale: int | None) -> Column:
     """Sum that does not depend on the order rows arrive in.
 
-    With ``scale`` every value is taken as an integer count of
-    ``10**-scale`` units (``rint(x * 10**scale)``, exact for values carrying
-    at most ``scale`` decimals), the counts are summed as ``bigint`` (exact,
-    on the fast long path, an overflow fails the query under ANSI rules)
-    and the total is scaled back to double once.  So every partitioning
-    gives the same bits, and equals a decimal sum cast to double.  The sum
-    of an all-null group is 0.0 (not null), as the series tools expect.
+    ``scale`` declares how many decimals the column carries: every value is
+    then an integer count of ``10**-scale`` units, the counts are summed as
+    ``bigint`` (exact, on the fast long path, an overflow fails the query
+    under ANSI rules) and the total is scaled back to double once.  So every
+    partitioning gives the same bits, and equals a decimal sum cast to double.
+    A value with more decimals than declared fails the query; nothing is
+    rounded away.  Without a ``scale`` the values are summed as doubles.
+
+    NaN counts as missing.  The sum of an all-missing group is 0.0 (not
+    null), as the series tools expect.
     """
-    c = _as(col)
+    c = not_nan(_as(col).cast("double"))
     if scale is None:
-        s = F.sum(c.cast("double"))
+        s = F.sum(c)
     else:
         unit = float(10 ** scale)
-        s = F.sum(F.rint(c.cast("double") * unit).cast("long")) / F.lit(unit)
+        counts = F.rint(c * unit)
+        # two roundings of a double (the value and the product) are allowed for
+        off = F.abs(c * unit - counts) > F.abs(counts) * 1e-15 + 1e-9
+        text = F.concat(F.lit("value "), c.cast("string"), F.lit(f" has more than {scale} decimals"))
+        s = F.sum(F.when(off, F.raise_error(text)).otherwise(counts.cast("long"))) / F.lit(unit)
     return F.coalesce(s, F.lit(0.0))
+
+
+def not_nan(col: Column) -> Column:
+    """A floating column with NaN as null (a missing measure)."""
+    return F.when(~F.isnan(col), col)

@@ -1,8 +1,7 @@
 """Time expressions.
 
-Timestamps are naive local times (the series carry no zone).  Sessions run
-with ``spark.sql.session.timeZone=UTC`` so nothing shifts; ``date_trunc``
-returns a zoned timestamp, so results are cast back to the input type.
+Timestamps are naive local times (the series carry no zone); rounding works
+on the naive value, so the session zone never shifts a label.
 """
 
 from __future__ import annotations
@@ -11,13 +10,6 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampNTZType
 
-_UNIT_INTERVAL = {
-    "hour": "INTERVAL 1 HOUR",
-    "day": "INTERVAL 1 DAY",
-    "minute": "INTERVAL 1 MINUTE",
-}
-
-
 _UNIT_MICROS = {
     "minute": 60_000_000,
     "hour": 3_600_000_000,
@@ -36,37 +28,42 @@ def _as(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _keep_type(expr: Column, dtype: DataType | None) -> Column:
-    if isinstance(dtype, TimestampNTZType):
-        return expr.cast("timestamp_ntz")
-    return expr
+def _round(unit: str, ts: Column, dtype: DataType | None, up: bool) -> Column:
+    """Floor or ceiling of the naive value.
+
+    Every unit divides the day, so the label is the value plus (or minus) what
+    its time of day lacks to (or has beyond) a multiple of the unit.  In a UTC
+    session that is integer arithmetic on the microseconds; in another zone
+    the same arithmetic runs on the fields of the naive value
+    (``timestamp_ntz``), so no zone rule ever moves a label."""
+    step = F.lit(_UNIT_MICROS[unit])
+    if _session_is_utc():
+        micros = F.unix_micros(ts.cast("timestamp"))
+        out = F.timestamp_micros(micros + F.pmod(-micros, step) if up else micros - F.pmod(micros, step))
+    else:
+        # fields and intervals of a timestamp_ntz know no zone rules
+        naive = ts.cast("timestamp_ntz")
+        seconds = F.hour(naive) * 3600 + F.minute(naive) * 60 + F.extract(F.lit("SECOND"), naive)
+        unit_s = F.lit(_UNIT_MICROS[unit] // 1_000_000)
+        zero = F.lit(0)
+        out = (naive + F.make_dt_interval(zero, zero, zero, F.pmod(-seconds, unit_s)) if up
+               else naive - F.make_dt_interval(zero, zero, zero, F.pmod(seconds, unit_s)))
+    return out.cast("timestamp_ntz" if isinstance(dtype, TimestampNTZType) else "timestamp")
 
 
 def ceil_to(unit: str, ts: Column | str, dtype: DataType | None = None) -> Column:
-    """Ceiling of ``ts`` to ``unit`` ("hour-ending" labels).
+    """Ceiling of ``ts`` to ``unit`` ("hour-ending" labels) on the naive
+    local value, whatever the session zone.
 
     00:15, 00:30, 00:45 and 01:00 all map to 01:00; exact boundaries stay;
-    the last quarter-hours of a year map to the next January 1st.  Written
-    as ``date_trunc(unit, ts + 1 unit - 1 microsecond)``, or, when the
-    session zone is UTC and the unit has a fixed length, as exact integer
-    arithmetic on microseconds (no per-row zone lookups); both stay inside
-    whole-stage codegen.
+    the last quarter-hours of a year map to the next January 1st.
     """
-    if unit in _UNIT_MICROS and _session_is_utc():
-        # Exact integer form (no zone rules to apply in UTC): m + pmod(-m, u).
-        micros = F.unix_micros(_as(ts).cast("timestamp"))
-        return _keep_type(F.timestamp_micros(micros + F.pmod(-micros, F.lit(_UNIT_MICROS[unit]))), dtype)
-    step = _UNIT_INTERVAL[unit]
-    shifted = _as(ts) + F.expr(step) - F.expr("INTERVAL 1 MICROSECOND")
-    return _keep_type(F.date_trunc(unit, shifted), dtype)
+    return _round(unit, _as(ts), dtype, up=True)
 
 
 def trunc_to(unit: str, ts: Column | str, dtype: DataType | None = None) -> Column:
     """Floor of ``ts`` to ``unit`` (hour-beginning labels)."""
-    if unit in _UNIT_MICROS and _session_is_utc():
-        micros = F.unix_micros(_as(ts).cast("timestamp"))
-        return _keep_type(F.timestamp_micros(micros - F.pmod(micros, F.lit(_UNIT_MICROS[unit]))), dtype)
-    return _keep_type(F.date_trunc(unit, _as(ts)), dtype)
+    return _round(unit, _as(ts), dtype, up=False)
 
 
 def parse_timestamp(text: Column | str, fmt: str | None = None) -> Column:

@@ -13,8 +13,9 @@ from gridloom.functions.columns import q
 
 def conditional_counts(df: DataFrame, counts: dict[str, Column],
                        distincts: dict[str, str] | None = None) -> DataFrame:
-    """One-row report: ``count_if`` per named predicate plus distinct counts
-    (a single partial+final aggregate)."""
+    """One-row report: ``count_if`` per named predicate plus distinct counts.
+    With several distinct counts Spark expands each row once per column and
+    exchanges the distinct values, then the one-row partials."""
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     aggs += [F.count_if(F.coalesce(p, F.lit(False))).alias(n) for n, p in counts.items()]
     aggs += [F.countDistinct(F.col(q(c))).alias(n) for n, c in (distincts or {}).items()]

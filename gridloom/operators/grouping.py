@@ -30,6 +30,9 @@ INDEPENDENT_PREFIX = "independent_county_"
 MISSING_ZONE = "__MISSING__"
 
 # Column names of the sample table and their engine names.
+# The columns of the grouped samples and of the mapping.
+ROW_COLUMNS = ("bldgid", "county", "state", "puma", "weight", "county_fips5", "county_groups", "county_name", "R")
+MAPPING_COLUMNS = ("state", "county", "county_name", "county_fips5", "R", "county_groups")
 SAMPLE_COLUMNS = {"bldg_id": "bldgid", "in.county": "county", "in.state": "state",
                   "in.puma": "puma", "weight": "weight"}
 
@@ -60,7 +63,12 @@ def pair_weights(samples: DataFrame, s: GroupingSpec = GroupingSpec()) -> DataFr
     left out."""
     return (samples.na.drop(subset=[s.member, s.area])
             .groupBy(F.col(q(s.member)).alias(s.member), F.col(q(s.area)).alias(s.area))
-            .agg(F.sum(F.col(q(s.weight))).alias("_w")))
+            .agg(_weight(s.weight).alias("_w")))
+
+
+def _weight(col: str) -> Column:
+    """Summed weight; a group without any weight weighs 0."""
+    return F.coalesce(F.sum(F.col(q(col))), F.lit(0))
 
 
 def multi_member_areas(pairs: DataFrame, s: GroupingSpec = GroupingSpec()) -> DataFrame:
@@ -113,7 +121,7 @@ def assign_groups(samples: DataFrame, spec: GroupingSpec = GroupingSpec(),
     # this pair-level table, never the samples again.
     pf = materialize(samples.where(F.col(q(s.member)).isNotNull())
                      .groupBy(F.col(q(s.member)).alias(s.member), F.col(q(s.area)).alias(s.area))
-                     .agg(F.sum(F.col(q(s.weight))).alias("_w"), F.min(F.col(q(s.order))).alias("_first")),
+                     .agg(_weight(s.weight).alias("_w"), F.min(F.col(q(s.order))).alias("_first")),
                      "pairs")
     pairs = pf.where(F.col(q(s.area)).isNotNull()).select(s.member, s.area, "_w")
     chosen = dominant_area(pairs, s).select(s.member, s.area)
@@ -244,11 +252,11 @@ def merge_groups(frame: DataFrame, specs: DataFrame, group: str = "county_groups
     return MergeResult(result=result, report=report)
 
 
-def impute_missing_members(samples: DataFrame, reference: DataFrame, crosswalk: DataFrame,
-                           key: str = "county_fips5", member: str = "county", area: str = "puma",
-                           group: str = "county_groups", weight: str = "weight",
-                           order: str = "bldgid", extra: dict[str, Column] | None = None) -> DataFrame:
-    """Add one placeholder row per reference member absent from the samples.
+def placeholder_members(samples: DataFrame, reference: DataFrame, crosswalk: DataFrame,
+                        key: str = "county_fips5", member: str = "county", area: str = "puma",
+                        group: str = "county_groups", weight: str = "weight",
+                        order: str = "bldgid", extra: dict[str, Column] | None = None) -> DataFrame:
+    """One placeholder row per reference member absent from the samples.
 
     The member's area is its crosswalk area with most rows (tie: lowest
     code); its group is the area's group with the largest summed weight
@@ -261,7 +269,7 @@ def impute_missing_members(samples: DataFrame, reference: DataFrame, crosswalk:
     tract_counts = crosswalk.na.drop(subset=[key, area]).groupBy(key, area).agg(F.count(F.lit(1)).alias("_n"))
     primary = pick_per_group(tract_counts, [key], [area], desc=["_n"], asc=[area])
     weights = (samples.na.drop(subset=[area, group]).groupBy(area, group)
-               .agg(F.sum(F.col(q(weight))).alias("_w")))
+               .agg(_weight(weight).alias("_w")))
     majority = pick_per_group(weights, [area], [group], desc=["_w"], asc=[group])
     dummies = (missing.join(primary, key, "left").join(majority, area, "left")
                .withColumn(group, F.coalesce(F.col(q(group)),
@@ -270,9 +278,19 @@ def impute_missing_members(samples: DataFrame, reference: DataFrame, crosswalk:
                .withColumn(weight, F.lit(0).cast(samples.schema[weight].dataType)))
     for name, expr in (extra or {}).items():
         dummies = dummies.withColumn(name, expr)
-    keep = [c for c in samples.columns if c in dummies.columns]
+    return dummies.select(*[c for c in samples.columns if c in dummies.columns])
+
+
+def with_placeholders(samples: DataFrame, placeholders: DataFrame, order: str = "bldgid") -> DataFrame:
+    """The samples and the placeholder rows, order ids as text."""
     base = samples.withColumn(order, F.col(q(order)).cast("string"))
-    return base.unionByName(dummies.select(*keep), allowMissingColumns=True)
+    return base.unionByName(placeholders, allowMissingColumns=True)
+
+
+def impute_missing_members(samples: DataFrame, reference: DataFrame, crosswalk: DataFrame,
+                           order: str = "bldgid", **options) -> DataFrame:
+    """The samples plus one ``placeholder_members`` row per missing member."""
+    return with_placeholders(samples, placeholder_members(samples, reference, crosswalk, order=order, **options), order)
 
 
 def member_mapping(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -286,6 +304,7 @@ class GroupingResult:
     members: DataFrame
     mapping: DataFrame
     merge_report: DataFrame | None
+    violations: DataFrame
 
 
 def build_county_groups(samples: DataFrame, zone_of: Column | None = None,
@@ -302,17 +321,21 @@ def build_county_groups(samples: DataFrame, zone_of: Column | None = None,
     aggregates; labels are joined back to the sample rows once at the end.
     Zones come either as an expression of the member (``zone_of``) or as a
     lookup table (``zones``: ``key``, ``zone``).
+
+    Rows have the columns of ``ROW_COLUMNS`` first, in that order, then any
+    others; the mapping has those of ``MAPPING_COLUMNS`` that the samples
+    carry; ``violations`` lists groups that still span zones.
     """
     s = spec
     members = assign_groups(samples, s, keep_first="first_order")
     rows = attach_labels(samples, members.drop("first_order"), s.member)
     if reference is not None and crosswalk is not None:
-        rows = impute_missing_members(rows, reference, crosswalk, key=key, member=s.member,
-                                      area=s.area, group=s.group, weight=s.weight, order=s.order)
-        added = (rows.where(F.col(q(s.order)).startswith("dummy_"))
-                 .select(s.member, s.group, F.lit(None).cast(members.schema["first_order"].dataType)
-                         .alias("first_order")))
-        members = members.unionByName(added)
+        placeholders = materialize(placeholder_members(
+            rows, reference, crosswalk, key=key, member=s.member, area=s.area, group=s.group, weight=s.weight,
+            order=s.order), "placeholders")
+        rows = with_placeholders(rows, placeholders, s.order)
+        members = members.unionByName(placeholders.select(
+            s.member, s.group, F.lit(None).cast(members.schema["first_order"].dataType).alias("first_order")))
     if zone_of is not None:
         members = members.withColumn(zone, zone_of)
     elif zones is not None:
@@ -330,6 +353,12 @@ def build_county_groups(samples: DataFrame, zone_of: Column | None = None,
         members, report = merged.result, merged.report
     members = materialize(members, "members_final")
     final = members.select(s.member, s.group, zone)
-    rows = rows.drop(s.group).join(final, s.member, "left")
-    mapping = member_mapping(members, [s.member, zone, s.group])
-    return GroupingResult(rows=rows, members=members, mapping=mapping, merge_report=report)
+    # one row per county on the right: a large county splits as a skewed join
+    rows = rows.drop(s.group, zone).join(final, s.member, "left")
+    first = [c for c in ROW_COLUMNS if c in rows.columns]
+    rows = rows.select(*first, *[c for c in rows.columns if c not in first])
+    listed = [c for c in MAPPING_COLUMNS if c in rows.columns]
+    mapping = (rows.select(*listed).distinct()
+               .orderBy(*[F.col(q(c)).asc_nulls_last() for c in ("state", key, zone, s.group, s.member) if c in listed]))
+    return GroupingResult(rows=rows, members=members, mapping=mapping, merge_report=report,
+                          violations=zone_violations(members, s.member, s.group, zone))

@@ -1,10 +1,9 @@
-"""Lookup joins with an explicit size check.
+"""Lookup joins.
 
-A side is broadcast only when a bounded count proves it small
-(``limit(max_rows + 1).count()`` reads at most that many rows).  Otherwise
-the join is left to Catalyst + AQE, which shuffles both sides (sort-merge)
-and still converts to a broadcast at runtime when the measured size allows.
-Literal maps of fixed size use ``functions.codes.lookup`` and need no join.
+Which side is broadcast is left to Catalyst and adaptive execution, which
+decide by measured bytes (``spark.sql.autoBroadcastJoinThreshold``), and skewed
+keys of the large side are split by adaptive execution.  Literal maps of fixed
+size use ``functions.codes.lookup`` and need no join.
 """
 
 from __future__ import annotations
@@ -16,41 +15,26 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.columns import q
 
-DEFAULT_BROADCAST_ROWS = 200_000
 
-
-def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is at most ``max_rows``, else None (reads at most
-    ``max_rows + 1`` rows)."""
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it is proven to hold at most ``max_rows`` rows."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) is not None else df
-
-
-def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "lookup") -> None:
-    """Fail when a lookup has duplicate keys (a left join would multiply
-    rows)."""
-    dup = df.groupBy(*[F.col(q(k)) for k in keys]).count().where(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise ValueError(f"{what} has duplicate keys, e.g. {dup[0].asDict()}")
+def unique_lookup(lookup: DataFrame, keys: Sequence[str], what: str = "lookup") -> DataFrame:
+    """``lookup`` with a check inside the plan: the job fails when a key has
+    several rows (a left join would multiply rows)."""
+    values = [c for c in lookup.columns if c not in keys]
+    shown = F.concat_ws(", ", *[F.col(q(k)).cast("string") for k in keys])
+    held = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit(f"{what} has duplicate keys, e.g. "), shown))).otherwise(
+        F.col("_r"))
+    return (lookup.groupBy(*[F.col(q(k)) for k in keys])
+            .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*[F.col(q(c)) for c in values])).alias("_r"))
+            .withColumn("_r", held)
+            .select(*[F.col(q(k)) for k in keys], *[F.col(f"_r.{q(c)}").alias(c) for c in values]))
 
 
 def lookup_join(left: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                 check_unique: bool = False) -> DataFrame:
-    """Join ``left`` to a lookup on equal keys.
-
-    The lookup is broadcast only behind the row bound; ``check_unique``
-    verifies many-to-one before the join.
-    """
+    """Join ``left`` to a lookup on equal keys; ``check_unique`` fails the job
+    when the join is not many-to-one."""
     keys = [on] if isinstance(on, str) else list(on)
-    if check_unique:
-        assert_unique(lookup, keys)
-    return left.join(maybe_broadcast(lookup, max_broadcast_rows), on=keys, how=how)
+    return left.join(unique_lookup(lookup, keys) if check_unique else lookup, on=keys, how=how)
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -79,55 +63,35 @@ def key_audit(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
     return lk.join(rk, lk[left_key] == rk[right_key], "full_outer").select(left_key, right_key)
 
 
-def route_by_lookup(df: DataFrame, lookup: DataFrame, on: str, value: str,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+def route_by_lookup(df: DataFrame, lookup: DataFrame, on: str, value: str) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` by whether its key is known to ``lookup``.
 
     Returns (matched rows with ``value`` attached, rejected row counts per
     key): unknown codes are counted and set aside with a report instead of
     being dropped silently or failing the job."""
-    tagged = lookup_join(df, lookup.select(on, value), on, "left", max_broadcast_rows)
+    tagged = lookup_join(df, lookup.select(on, value), on, "left")
     matched = tagged.where(F.col(q(value)).isNotNull())
     rejected = (tagged.where(F.col(q(value)).isNull())
                 .groupBy(F.col(q(on)).alias(on)).agg(F.count(F.lit(1)).alias("n_rows")))
     return matched, rejected
 
 
-def hot_keys(df: DataFrame, on: str, min_fraction: float = 0.01, max_keys: int = 1000) -> list:
-    """Keys holding at least ``min_fraction`` of the rows (at most
-    ``max_keys`` of them, the heaviest first).  One partial+final count
-    per key; only the bounded list reaches the driver."""
-    total = df.count()
-    if total == 0:
-        return []
-    threshold = max(1, int(total * min_fraction))
-    counts = df.groupBy(F.col(q(on)).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    rows = counts.where(F.col("_n") >= threshold).orderBy(F.col("_n").desc()).limit(max_keys).collect()
-    return [r["_k"] for r in rows if r["_k"] is not None]
-
-
-def split_hot_join(big: DataFrame, other: DataFrame, on: str, how: str = "inner",
-                   keys: list | None = None, buckets: int = 32, min_fraction: float = 0.01) -> DataFrame:
-    """Equi-join that spreads hot keys of ``big`` over ``buckets`` tasks.
-
-    Rows of ``big`` with a hot key get a salt from a hash of the whole row
-    (deterministic, so a retried task salts the same way); the matching
-    rows of ``other`` are replicated once per salt; the rest joins
-    normally.  The union equals the plain join for ``inner`` and ``left``
-    (``big`` on the left).  Hot keys come from ``hot_keys`` unless given;
-    any key not in the list takes the ordinary path, so the result stays
-    exact whatever the list holds.
+def split_hot_join(big: DataFrame, other: DataFrame, on: str, hot: Sequence, how: str = "inner",
+                   buckets: int = 32) -> DataFrame:
+    """Equi-join that spreads the declared ``hot`` keys of ``big`` over
+    ``buckets`` tasks, for plans that adaptive execution cannot split.
+
+    One scan of each side: rows of ``big`` with a hot key get a salt from a
+    hash of the whole row (deterministic, so a retried task salts the same
+    way), other rows salt 0; hot rows of ``other`` are replicated once per
+    salt.  Equals the plain join for ``inner`` and ``left`` whatever the list
+    holds.
     """
     if how not in ("inner", "left"):
         raise ValueError("split_hot_join supports inner and left joins")
-    hot = keys if keys is not None else hot_keys(big, on, min_fraction)
-    if not hot:
-        return big.join(other, on, how)
-    is_hot = F.col(q(on)).isin(hot)
+    is_hot = F.coalesce(F.col(q(on)).isin(list(hot)), F.lit(False)) if hot else F.lit(False)
     salt = F.pmod(F.xxhash64(*[F.col(q(c)) for c in big.columns]), F.lit(buckets))
-    big_hot = big.where(is_hot).withColumn("_salt", salt)
-    other_hot = (other.where(is_hot)
-                 .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))))
-    hot_part = big_hot.join(other_hot, [on, "_salt"], how).drop("_salt")
-    cold_part = big.where(~is_hot | F.col(q(on)).isNull()).join(other.where(~is_hot | F.col(q(on)).isNull()), on, how)
-    return hot_part.unionByName(cold_part)
+    salted = big.withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0).cast("long")))
+    last = F.when(is_hot, F.lit(buckets - 1)).otherwise(F.lit(0)).cast("long")
+    copied = other.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return salted.join(copied, [on, "_salt"], how).drop("_salt")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.codes import STATE_TO_FIPS, state_fips_prefix
 from gridloom.functions.scalars import format_bytes
 
+# Fixed value: how an upgrade number stands in an object's file name.
 UPGRADE_IN_NAME = r"(?:^|_)upgrade(\d+)(?:_|\.|$)"
 
 
@@ -111,14 +112,6 @@ def selection_totals(selected: DataFrame, size: str = "size") -> DataFrame:
             .withColumn("total_size", F.trim(format_bytes("total_bytes"))))
 
 
-def dedupe_listing(listing: DataFrame, key: str = "key", order: str = "listing_order") -> DataFrame:
-    """One row per key from merged listings: the last listed wins."""
-    cols = [c for c in listing.columns if c != key]
-    pick = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order))
-    return (listing.groupBy(key).agg(pick.alias("_r"))
-            .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols]))
-
-
 def transfer_status(selected: DataFrame, inventory: DataFrame, failures: DataFrame | None = None,
                     key: str = "key", size: str = "size") -> DataFrame:
     """Status per selected object: ``skipped`` when the inventory already

@@ -29,10 +29,14 @@ def _col(c: Column | str) -> Column:
 def order_key(desc: Sequence[Column | str] = (), asc: Sequence[Column | str] = ()) -> Column:
     """A struct that sorts ascending like ORDER BY desc... DESC, asc... ASC.
 
-    Descending keys must be numeric (they are negated).
+    Descending keys must be numeric (they are negated); a null, of either
+    direction, comes after every value.
     """
-    parts = [(-_col(c)).alias(f"d{i}") for i, c in enumerate(desc)]
-    parts += [_col(c).alias(f"a{i}") for i, c in enumerate(asc)]
+    parts = []
+    for i, c in enumerate(desc):
+        parts += [_col(c).isNull().alias(f"dn{i}"), (-_col(c)).alias(f"d{i}")]
+    for i, c in enumerate(asc):
+        parts += [_col(c).isNull().alias(f"an{i}"), _col(c).alias(f"a{i}")]
     return F.struct(*parts)
 
 

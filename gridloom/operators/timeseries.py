@@ -20,7 +20,7 @@ from gridloom.functions.columns import (
     MeasureRules, default_group_keys, find_building_type_column,
     find_timestamp_column, q,
 )
-from gridloom.functions.scalars import exact_sum
+from gridloom.functions.scalars import exact_sum, not_nan
 from gridloom.functions.timefns import ceil_to, trunc_to
 
 
@@ -61,7 +61,7 @@ def rollup_to_period(df: DataFrame, unit: str = "hour", ts_col: str | None = Non
     if not energy and not pop:
         return df
     aggs = [exact_sum(q(c), sum_scale).alias(c) for c in energy]
-    aggs += [F.avg(F.col(q(c))).alias(c) for c in pop]
+    aggs += [F.avg(not_nan(F.col(q(c)))).alias(c) for c in pop]
     if count_as:
         aggs.append(F.count(F.lit(1)).alias(count_as))
     return _drop_null_keys(df, group).groupBy(*[F.col(q(k)) for k in group]).agg(*aggs)
@@ -163,7 +163,8 @@ def state_rollup(df: DataFrame, code_col: str, value_col: str, ts_col: str = "ti
     code maps to nothing are routed to ``rejected`` (count per code) rather
     than silently lost; ``states`` (upper-cased) filters the parents before
     the aggregate, which Spark pushes down to the scan where it can.
-    The result is (timestamp, value, parent) ordered by parent, timestamp.
+    The result is (timestamp, value, parent); a sink that needs an order
+    sorts it.
     """
     par = parent if parent is not None else county_code_to_state(F.col(q(code_col)))
     tagged = df.withColumn("_parent", par)
@@ -174,8 +175,7 @@ def state_rollup(df: DataFrame, code_col: str, value_col: str, ts_col: str = "ti
         kept = kept.where(F.col("_parent").isin([s.strip().upper() for s in states]))
     result = (kept.groupBy(F.col("_parent").alias(parent_name), F.col(q(ts_col)).alias(ts_col))
               .agg(exact_sum(q(value_col), sum_scale).alias(value_col))
-              .select(F.col(q(ts_col)), F.col(q(value_col)), F.col(q(parent_name)))
-              .orderBy(F.col(q(parent_name)), F.col(q(ts_col))))
+              .select(F.col(q(ts_col)), F.col(q(value_col)), F.col(q(parent_name))))
     return StateRollup(result=result, rejected=rejected)
 
 
@@ -207,10 +207,14 @@ def share_of_total(agg: DataFrame, value_col: str, partition: Sequence[str],
     landing whole in one window task.
     """
     keys = [q(p) for p in partition]
-    totals = agg.groupBy(*keys).agg(F.sum(F.col(q(value_col))).alias("_total"))
-    return (agg.join(totals, on=list(partition), how="inner")
+    totals = agg.groupBy(*[F.col(k).alias(f"_p{i}") for i, k in enumerate(keys)]).agg(
+        F.sum(F.col(q(value_col))).alias("_total"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):  # a null partition is a partition too
+        same = same & F.col(k).eqNullSafe(F.col(f"_p{i}"))
+    return (agg.join(totals, same)
             .withColumn(out, F.col(q(value_col)) / F.col("_total"))
-            .drop("_total"))
+            .drop("_total", *[f"_p{i}" for i in range(len(keys))]))
 
 
 def melt_rollup(df: DataFrame, end_uses=None, unit: str | None = "hour", by_building_type: bool = False,
@@ -261,7 +265,7 @@ def melt_rollup(df: DataFrame, end_uses=None, unit: str | None = "hour", by_buil
     slots = [f"_v{i}" for i in range(len(pairs))]
     aggs = [exact_sum(_q(c), sum_scale).alias(s) for (c, _), s in zip(pairs, slots)]
     aggs += [exact_sum(_q(c), sum_scale).alias(c) for c in id_energy]
-    aggs += [F.avg(F.col(_q(c))).alias(c) for c in pop]
+    aggs += [F.avg(not_nan(F.col(_q(c)))).alias(c) for c in pop]
     out = _drop_null_keys(wide, keys1).groupBy(*[F.col(_q(k)) for k in keys1]).agg(*aggs)
     keys = keys1
     bt = building_type_col or find_building_type_column(layout.ids)
@@ -286,5 +290,10 @@ def melt_rollup(df: DataFrame, end_uses=None, unit: str | None = "hour", by_buil
     long = labelled.unpivot([F.col(_q(k)) for k in keys + id_energy + pop],
                             [F.col(f"_l{i}") for i in range(len(names))], "_slot", value_name)
     lab_map = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(f"_l{i}"), F.lit(n))])
+    # melting first gives an id-side energy once per end-use column, so a
+    # label shared by several columns holds it as often
+    times = F.element_at(F.create_map(*[x for i, n in enumerate(names)
+                                        for x in (F.lit(f"_l{i}"), F.lit(len(by_label[n])))]), F.col("_slot"))
     return long.select(*[F.col(_q(k)) for k in keys], F.element_at(lab_map, F.col("_slot")).alias(var_name),
-                       F.col(_q(value_name)), *[F.col(_q(c)) for c in id_energy + pop])
+                       F.col(_q(value_name)), *[(F.col(_q(c)) * times).alias(c) for c in id_energy],
+                       *[F.col(_q(c)) for c in pop])

@@ -28,7 +28,7 @@ from gridloom.operators import diagnostics as diag
 from gridloom.operators import grouping as grp
 from gridloom.operators import manifest as mf
 from gridloom.operators.joins import (
-    anti_join, key_audit, lookup_join, route_by_lookup, semi_join, split_hot_join,
+    anti_join, key_audit, lookup_join, route_by_lookup, semi_join,
 )
 from gridloom.operators.ranking import dense_ordinal, first_seen_ordinal, pick_per_group
 from gridloom.operators.reshape import melt_end_uses
@@ -112,18 +112,15 @@ def q_two_stage_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_partial_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Aggregate two chunks of the input separately, as an incremental run
-    would, union the partial results and merge them with (sum, count).
-    The chunks split the whole table at its mean value, so nearly every
-    (hour, type) key receives partials from both."""
-    ev = table(spark, sf, "events").select("ts", "event_type", "value")
-    cut = ev.agg(F.avg("value")).first()[0]
+    """Aggregate chunks of the input separately, as an incremental run would,
+    and merge the partial results with (sum, count).  The chunk is a grouping
+    column (here: who sent the event), so one scan makes all partials and
+    nearly every (hour, type) key receives several."""
+    ev = table(spark, sf, "events").select("ts", "event_type", "value", "user_id")
     hour = ceil_to("hour", F.col("ts"), ev.schema["ts"].dataType)
-    parts = []
-    for chunk in (ev.where(F.col("value") <= cut), ev.where(~(F.col("value") <= cut) | F.col("value").isNull())):
-        parts.append(chunk.groupBy(hour.alias("ts"), "event_type")
-                     .agg(exact_sum("value", 2).alias("value"), F.count(F.lit(1)).alias("n_rows")))
-    merged = merge_partials(parts[0].unionByName(parts[1]), ["ts", "event_type"], ["value", "n_rows"],
+    parts = (ev.groupBy(F.pmod(F.col("user_id"), F.lit(4)).alias("chunk"), hour.alias("ts"), "event_type")
+             .agg(exact_sum("value", 2).alias("value"), F.count(F.lit(1)).alias("n_rows")))
+    merged = merge_partials(parts, ["ts", "event_type"], ["value", "n_rows"],
                             means={"mean_value": ("value", "n_rows")}, sum_scale=2)
     return merged.withColumn("n_rows", F.col("n_rows").cast("long"))
 
@@ -140,14 +137,15 @@ def _nation_region(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_sum_by_parent_time(spark: SparkSession, sf: str) -> DataFrame:
     """Sum order value by (region, order date), the region reached through
-    customer -> nation -> region.  Orders are first summed per (customer,
-    date) with a map-side partial aggregate, so the join to customers sees
-    at most one row per customer and day however hot a customer is."""
+    customer -> nation -> region.  The lookups are joined to the customers
+    first (few columns), the orders to the result (broadcast or a join whose
+    hot customers adaptive execution splits), then one partial + final
+    aggregate."""
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
-    per_cust = orders.groupBy("o_custkey", "o_orderdate").agg(exact_sum("o_totalprice", 2).alias("o_totalprice"))
-    cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     parent = _nation_region(spark, sf).select(F.col("n_nationkey").alias("c_nationkey"), "r_name")
-    rows = lookup_join(per_cust.join(cust, "o_custkey"), parent, "c_nationkey")
+    cust = lookup_join(table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"),
+                       parent, "c_nationkey", "inner")
+    rows = orders.join(cust, "o_custkey")
     return state_rollup(rows, code_col="c_nationkey", value_col="o_totalprice", ts_col="o_orderdate",
                         parent=F.col("r_name"), parent_name="region", sum_scale=2).result
 
@@ -173,7 +171,7 @@ def q_month_hour_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_pct_of_total(spark: SparkSession, sf: str) -> DataFrame:
     ev = _events(spark, sf)
-    agg = (ev.groupBy("event_type", F.hour("ts").cast("long").alias("hour"))
+    agg = (ev.groupBy("event_type", F.month("ts").cast("long").alias("month"), F.hour("ts").cast("long").alias("hour"))
            .agg(exact_sum("value", 2).alias("value")))
     return share_of_total(agg, "value", ["event_type"]).withColumn("share", F.round("share", 9))
 
@@ -201,23 +199,19 @@ def q_constant_map_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_lookup_left_join(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    # one output row per order: a customer with a large share of the orders
-    # is spread over several tasks instead of landing in one
-    rows = split_hot_join(orders, cust, "o_custkey").select(
-        "o_orderkey", zfill(F.col("c_nationkey").cast("string"), 5).alias("county_fips5"))
-    zones = (table(spark, sf, "nation").where(F.col("n_regionkey") != 2)
-             .select(zfill(F.col("n_nationkey").cast("string"), 5).alias("county_fips5"),
-                     F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("R")))
+    """Every document with the zone that a lookup (the labels, which cover
+    some of them) gives its padded code; the check for duplicate keys is part
+    of the plan."""
+    rows = table(spark, sf, "documents").select(zfill(F.col("doc_id").cast("string"), 7).alias("county_fips5"), "source")
+    zones = table(spark, sf, "labels").select(
+        zfill(F.col("doc_id").cast("string"), 7).alias("county_fips5"),
+        F.concat(F.lit("R"), F.col("quality").cast("string")).alias("R"))
     return lookup_join(rows, zones, "county_fips5", "left", check_unique=True)
 
 
 def q_anti_join_missing(spark: SparkSession, sf: str) -> DataFrame:
-    part = table(spark, sf, "part").select("p_partkey", "p_name")
-    sold = (table(spark, sf, "lineitem").where(F.col("l_linenumber") == 7)
-            .select(F.col("l_partkey").alias("p_partkey")))
-    return anti_join(part, sold, "p_partkey")
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    return anti_join(docs, table(spark, sf, "labels").select("doc_id"), "doc_id")
 
 
 def q_shared_key_self_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -226,9 +220,7 @@ def q_shared_key_self_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_full_outer_audit(spark: SparkSession, sf: str) -> DataFrame:
-    supplier = table(spark, sf, "supplier")
-    nation = table(spark, sf, "nation").where(F.col("n_regionkey").isin(0, 1))
-    return key_audit(supplier, nation, "s_nationkey", "n_nationkey")
+    return key_audit(table(spark, sf, "labels"), table(spark, sf, "pages"), "doc_id", "page_id")
 
 
 def q_prefix_semi_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -349,8 +341,11 @@ def q_impute_missing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_mapping_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    split = grp.split_by_zone(_members_with_zone(spark, sf))
-    return grp.member_mapping(split, ["county", "R", "county_groups"])
+    """The mapping of the whole county-group job, all its columns."""
+    b = samples_b(spark, sf).withColumns({
+        "state": F.substring("county", 1, 3), "county_fips5": F.substring("county", 2, 5),
+        "county_name": F.concat(F.lit("County "), F.substring("county", 2, 5))})
+    return grp.build_county_groups(b, zone_of=county_zone(F.col("county"))).mapping
 
 
 def q_collect_members(spark: SparkSession, sf: str) -> DataFrame:
@@ -476,11 +471,11 @@ def q_scan_filter_project(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_type_normalise(spark: SparkSession, sf: str) -> DataFrame:
     emb = table(spark, sf, "embeddings")
-    norm = normalise_for_sink(emb.select(
-        "vec_id", "label", F.size("embedding").cast("long").alias("dims"),
-        F.element_at("embedding", 1).alias("e0"), "embedding"))
-    # ``embedding`` becomes JSON text: kept out of the compared columns.
-    return norm.drop("embedding")
+    milli = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000))
+    return normalise_for_sink(emb.select(
+        "vec_id", "label", F.size("embedding").alias("dims"), F.element_at("embedding", -1).alias("last"),
+        milli.alias("milli"), F.struct("vec_id", F.size("embedding").alias("dims")).alias("pair"),
+        F.col("vec_id").cast("decimal(12,2)").alias("dec")))
 
 
 def q_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
@@ -495,9 +490,10 @@ def q_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_append_union_count(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders")
-    parts = [o.where(F.col("o_orderstatus") == s) for s in ("F", "O", "P")]
-    return append_and_count(parts)
+    """Customers and suppliers appended by position (name, nation, balance)."""
+    c = table(spark, sf, "customer").select("c_name", "c_nationkey", "c_acctbal")
+    s = table(spark, sf, "supplier").select("s_name", "s_nationkey", "s_acctbal")
+    return append_and_count([c, s])
 
 
 def q_dedupe_by_key(spark: SparkSession, sf: str) -> DataFrame:

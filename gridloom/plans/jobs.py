@@ -9,11 +9,13 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.functions.columns import find_timestamp_column
+from gridloom.functions.columns import find_timestamp_column, measure_types
 from gridloom.operators import grouping as grp
 from gridloom.operators import manifest as mf
 from gridloom.functions.scalars import last_token_label
-from gridloom.operators.diagnostics import collect_members, drill_rollup
+from gridloom.operators.diagnostics import (
+    collect_members, count_histogram, drill_rollup, top_k_by_count, validity_report,
+)
 from gridloom.operators.joins import key_audit
 from gridloom.operators.timeseries import (
     melt_rollup, month_hour_profile, share_of_total, state_rollup, sum_by_truncated_time,
@@ -27,10 +29,15 @@ GAP_ENERGY_COL = "out.electricity.total.energy_consumption..kwh"
 
 def long_end_use_table(spark: SparkSession, input_dir: str, glob: str = "*.csv",
                        end_uses: Iterable[str] | None = None, keep_15min: bool = False,
-                       by_building_type: bool = False, numeric_hint: dict[str, str] | None = None) -> DataFrame:
+                       by_building_type: bool = False, types: dict[str, str] | None = None,
+                       multi_line: bool = False) -> DataFrame:
     """Wide end-use CSV tree -> long table (hour-ending, optionally per
-    building type).  Columns are matched by header name across files."""
-    raw = files.read_csv_tree(spark, input_dir, glob, numeric_hint)
+    building type).  Columns are matched by header name across files.
+
+    Measures are numbers by their names; ``types`` may name those of the other
+    columns, else only those few are inferred from their values."""
+    raw = files.read_csv_tree(spark, input_dir, glob, lambda names: measure_types(names) | (types or {}),
+                              multi_line=multi_line)
     ts = find_timestamp_column(raw.columns)
     if ts is not None:
         raw = raw.withColumn(ts, F.to_timestamp(F.col(f"`{ts}`")).cast("timestamp_ntz"))
@@ -61,8 +68,8 @@ def county_groups(spark: SparkSession, samples_path: str, county_ref_path: str,
                   ) -> grp.GroupingResult:
     """Sample table -> county groups constrained to one zone each, with
     missing counties imputed and gated merges applied; writes the grouped
-    samples (one file per task) and the mapping (one file) as fully quoted
-    CSVs when ``out_dir`` is given."""
+    samples (one file per task), the mapping and the zone violations (one
+    file each) as fully quoted CSVs when ``out_dir`` is given."""
     samples = grp.add_county_fips5(grp.load_samples(spark.read.parquet(samples_path)))
     reference = read_county_reference(spark, county_ref_path)
     names = reference.select("county_fips5", "county_name").dropDuplicates(["county_fips5"])
@@ -76,6 +83,7 @@ def county_groups(spark: SparkSession, samples_path: str, county_ref_path: str,
         # the mapping has one row per county and stays a single file
         writers.write_quoted_csv(res.rows, f"{out_dir}/grouped_samples", single_file=False)
         writers.write_quoted_csv(res.mapping, f"{out_dir}/county_group_mapping")
+        writers.write_quoted_csv(res.violations, f"{out_dir}/zone_violations")
     return res
 
 
@@ -93,15 +101,32 @@ def annual_extract(spark: SparkSession, input_dir: str, out: str | None = None,
         root = input_dir.rstrip("/")
         first = (files.list_files(spark, root, "*.parquet").select("path")
                  .orderBy("path").limit(1).collect())
-        first_path = first[0]["path"].split(":", 1)[-1] if first else None
-        if first_path and first_path.startswith("//"):
-            first_path = first_path[2:]
+        first_path = first[0]["path"] if first else None
         out = f"{layout.infer_output_folder(root, first_path)}/{layout.extract_name(root, state)}"
     if write:
         writers.write_extract(df, out, partition_by)
     return df, out
 
 
+def group_diagnostics(rows: DataFrame, member: str = "county", group: str = "county_groups", area: str = "puma",
+                      state: str = "state", code: str = "county_fips5") -> dict[str, DataFrame]:
+    """The checks over grouped samples: rows and groups by kind, members per
+    group with the largest groups, and per state the samples, null codes and
+    codes of a wrong length."""
+    kind = F.when(F.col(group).startswith(grp.GROUP_PREFIX), "group").when(
+        F.col(group).startswith(grp.INDEPENDENT_PREFIX), "independent").otherwise("none")
+    members = rows.select(member, group).where(F.col(member).isNotNull()).distinct()
+    return {
+        "by_kind": rows.groupBy(kind.alias("kind")).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.countDistinct(group).alias("n_groups"),
+            F.countDistinct(member).alias("n_members")),
+        "group_sizes": count_histogram(members, group, "n_members", "n_groups"),
+        "largest_groups": top_k_by_count(members, group, 20, "n_members"),
+        "state_validity": validity_report(rows, F.col(code), state),
+        "areas_per_member": count_histogram(rows.select(member, area).distinct(), member, "n_areas", "n_members"),
+    }
+
+
 def select_and_report(manifest: DataFrame, prefix: str, sel: mf.Selection,
                       inventory: DataFrame | None = None, failures: DataFrame | None = None,
                       failed_keys_out: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:

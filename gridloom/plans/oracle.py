@@ -173,8 +173,8 @@ FROM events GROUP BY 1""",
 SELECT month(ts) AS month, hour(ts) AS hour, {xsum('value')} / 1e6 AS gwh FROM events GROUP BY 1, 2""",
 
     "pct_of_total": f"""
-WITH a AS (SELECT event_type, hour(ts) AS hour, {xsum('value')} AS value FROM events GROUP BY 1, 2)
-SELECT event_type, hour, value, round(value / sum(value) OVER (PARTITION BY event_type), 9) AS share FROM a""",
+WITH a AS (SELECT event_type, month(ts) AS month, hour(ts) AS hour, {xsum('value')} AS value FROM events GROUP BY 1, 2, 3)
+SELECT event_type, month, hour, value, round(value / sum(value) OVER (PARTITION BY event_type), 9) AS share FROM a""",
 
     "drill_rollup": f"""
 SELECT r.r_name, n.n_name, c.c_mktsegment, count(*) AS n_customers,
@@ -192,15 +192,11 @@ LEFT JOIN {values(FIPS_TO_STATE, 't(fips, state)')} ON x.fips2 = t.fips
 WHERE x.fips2 IN (SELECT fips FROM {values(STATE_TO_FIPS, 'd(st, fips)')})""",
 
     "lookup_left_join": f"""
-WITH r AS (SELECT o.o_orderkey, {zf('c.c_nationkey', 5)} AS county_fips5
-           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
-z AS (SELECT {zf('n_nationkey', 5)} AS county_fips5, 'R' || CAST(n_regionkey AS VARCHAR) AS R
-      FROM nation WHERE n_regionkey <> 2)
-SELECT r.county_fips5, r.o_orderkey, z.R FROM r LEFT JOIN z ON r.county_fips5 = z.county_fips5""",
+SELECT {zf('d.doc_id', 7)} AS county_fips5, d.source, 'R' || CAST(l.quality AS VARCHAR) AS R
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
 
     "anti_join_missing": """
-SELECT p_partkey, p_name FROM part p
-WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_linenumber = 7 AND l.l_partkey = p.p_partkey)""",
+SELECT doc_id, lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
 
     "shared_key_self_join": f"""
 WITH {B},
@@ -210,10 +206,8 @@ SELECT puma, county, CAST(weight AS DOUBLE) AS weight FROM pairs
 WHERE puma IN (SELECT puma FROM pairs WHERE county = 'C00013')""",
 
     "full_outer_audit": """
-SELECT DISTINCT s.s_nationkey, n.n_nationkey
-FROM (SELECT DISTINCT s_nationkey FROM supplier) s
-FULL OUTER JOIN (SELECT DISTINCT n_nationkey FROM nation WHERE n_regionkey IN (0, 1)) n
-  ON s.s_nationkey = n.n_nationkey""",
+SELECT l.doc_id, p.page_id FROM (SELECT DISTINCT doc_id FROM labels) l
+FULL OUTER JOIN (SELECT DISTINCT page_id FROM pages) p ON l.doc_id = p.page_id""",
 
     "prefix_semi_join": f"""
 SELECT c_custkey, 'G' || {zf('c_nationkey', 2)} || '00010' AS county FROM customer
@@ -289,7 +283,8 @@ FROM missing m LEFT JOIN prim p ON m.county = p.fips LEFT JOIN maj j ON p.puma =
 
     "mapping_distinct": f"""
 WITH {SPLIT}
-SELECT DISTINCT county, R, county_groups FROM split ORDER BY county NULLS LAST, R NULLS LAST, county_groups NULLS LAST""",
+SELECT DISTINCT substr(county, 1, 3) AS state, county, 'County ' || substr(county, 2, 5) AS county_name,
+       substr(county, 2, 5) AS county_fips5, R, county_groups FROM split""",
 
     "collect_members": f"""
 WITH {GROUPS},
@@ -397,7 +392,10 @@ FROM customer""",
     "scan_filter_project": "SELECT event_id, ts, value FROM events WHERE event_type = 'click'",
 
     "type_normalise": """
-SELECT vec_id, label, CAST(len(embedding) AS BIGINT) AS dims, CAST(embedding[1] AS DOUBLE) AS e0
+SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dims, CAST(embedding[-1] AS DOUBLE) AS last,
+       CAST(to_json(list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1000) AS BIGINT))) AS VARCHAR) AS milli,
+       '{"vec_id":' || CAST(vec_id AS VARCHAR) || ',"dims":' || CAST(len(embedding) AS VARCHAR) || '}' AS pair,
+       CAST(CAST(vec_id AS DECIMAL(12,2)) AS VARCHAR) AS dec
 FROM embeddings""",
 
     "union_by_name": """
@@ -406,7 +404,7 @@ FROM customer
 UNION ALL
 SELECT s_suppkey, s_name, s_nationkey, s_acctbal, NULL FROM supplier""",
 
-    "append_union_count": "SELECT count(*) AS n_rows FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')",
+    "append_union_count": "SELECT (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier) AS n_rows",
 
     "dedupe_by_key": """
 SELECT user_id, event_id, ts, value FROM (

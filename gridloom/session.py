@@ -7,6 +7,7 @@ has.  ``local_session`` is for tests and the bench only.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,9 +37,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured (tests, a laptop) a fresh
-    scratch folder is made.
+    On a cluster ``spark.checkpoint.dir`` names a folder that the driver and
+    the executors share; without it a cluster session is refused, as every
+    executor would write to its own disk.  Only a single-process session
+    (``local[n]``: tests, a laptop) gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and the executors")
         configured = tempfile.mkdtemp(prefix="gridloom-ckpt-")
     sc.setCheckpointDir(configured)
     return configured

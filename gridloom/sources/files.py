@@ -7,7 +7,8 @@ so codes such as ``01001`` keep their zeros.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,14 +24,20 @@ def read_parquet_tree(spark: SparkSession, root: str, state: str | None = None,
                       state_col: str = "state", merge_schema: bool = True) -> DataFrame:
     """A Hive-partitioned Parquet tree; ``k=v`` folders become string
     columns; non-Parquet files are skipped; an optional state filter is a
-    partition filter (pruned at listing) or a pushed row filter."""
-    prev = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    try:
-        df = (spark.read.option("mergeSchema", str(merge_schema).lower())
-              .option("pathGlobFilter", "*.parquet").option("basePath", root).parquet(root))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", prev)
+    partition filter (pruned at listing) or a pushed row filter.
+
+    The partition columns are declared as text in the schema of the read, so
+    no session setting is touched and codes keep their zeros.
+    """
+    reader = (spark.read.option("mergeSchema", str(merge_schema).lower())
+              .option("pathGlobFilter", "*.parquet").option("basePath", root))
+    df = reader.parquet(root)
+    first = df.select(F.col("_metadata.file_path").alias("path")).limit(1).collect()
+    below = first[0]["path"].split(root.split(":", 1)[-1].strip("/"), 1)[-1] if first else ""
+    folders = {part.split("=", 1)[0] for part in below.split("/")[:-1] if "=" in part}
+    schema = StructType([StructField(f.name, StringType()) if f.name in folders else f for f in df.schema.fields])
+    if schema != df.schema:
+        df = reader.schema(schema).parquet(root)
     if state is not None:
         df = df.where(F.col(q(state_col)) == F.lit(state))
     return df
@@ -53,30 +60,47 @@ def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
     return df.select(zfill(F.col("FIPS"), 5).alias("county_fips5"), F.col(q(zcol)).alias("R"))
 
 
-def _first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """Header line of each file, read in parallel by the executors (each
-    task opens its files and reads one line)."""
-    import pandas as pd
-
-    schema = StructType([StructField("path", StringType()), StructField("header", StringType())])
-
-    def first_line(p: str) -> str:
-        if p.startswith("file:") or "://" not in p:
-            local = p[5:] if p.startswith("file:") else p
-            with open(local, encoding="utf-8", newline="") as fh:
-                return fh.readline().rstrip("\r\n")
-        import fsspec  # object stores: optional dependency
+def _headers(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    """(path, header): the first line of every file, by a text scan that any
+    file system and compression Spark reads can serve."""
+    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(root)
+             .select("value", F.col("_metadata.file_path").alias("path"),
+                     F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at")))
+    return (lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+            .select("path", F.regexp_replace("header", r"^\uFEFF|\r$", "").alias("header")))
 
-        with fsspec.open(p, "rt", encoding="utf-8", newline="") as fh:
-            return fh.readline().rstrip("\r\n")
 
-    def heads(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"path": pdf["path"], "header": [first_line(p) for p in pdf["path"]]})
+def _csv_by_header(spark: SparkSession, root: str, glob: str, multi_line: bool = False,
+                   with_path: str | None = None) -> DataFrame:
+    """Every CSV file under ``root``, all columns text, matched by *name*.
 
-    listing = spark.createDataFrame([(p,) for p in paths], "path string")
-    rows = listing.mapInPandas(heads, schema).groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-    return {p: r["header"] for r in rows for p in r["paths"]}
+    Spark maps the columns of a file by position.  Files are therefore grouped
+    by header line; each group is read with its own header, which Spark
+    compares with every file's (``enforceSchema=false``), and the groups are
+    unioned by name.  With one header for all files the tree is read as it
+    is; path lists are used only where headers differ.  A row with too few or
+    too many fields fails the job; ``multi_line`` reads quoted line breaks.
+    """
+    headers = _headers(spark, root, glob)
+    distinct = [r["header"] for r in headers.select("header").distinct().collect()]
+    if not distinct:
+        raise FileNotFoundError(f"no files matching {glob!r} under {root}")
+    frames = []
+    for header in sorted(distinct):
+        names = next(csv.reader([header]))
+        schema = StructType([StructField(c, StringType()) for c in names])
+        reader = (spark.read.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+                  .option("columnPruning", False).option("multiLine", multi_line)
+                  .option("escape", '"').schema(schema))
+        if len(distinct) == 1:
+            df = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").csv(root)
+        else:
+            paths = headers.where(F.col("header") == F.lit(header)).select("path").orderBy("path")
+            df = reader.csv([r["path"] for r in paths.collect()])
+        if with_path:
+            df = df.withColumn(with_path, F.col("_metadata.file_path"))
+        frames.append(df)
+    return union_by_name(frames)
 
 
 def list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
@@ -89,27 +113,24 @@ def list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
 _TRUE_FALSE = ["True", "False", "true", "false", "TRUE", "FALSE"]
 
 
-def infer_text_types(df: DataFrame, columns: Sequence[str] | None = None,
-                     sample_fraction: float | None = None) -> dict[str, str]:
+def infer_text_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:
     """Type of each text column from its values, the way tabular readers
     infer CSV columns: every non-missing value an integer -> ``bigint``,
     a number -> ``double``, True/False -> ``boolean``, else ``string``; a
     column with no value at all -> ``double``.  Missing-value spellings
     (``NA``, ``None``, ``null``, ``NaN``, empty, ...) count as missing.
 
-    One distributed aggregate over the rows (or a ``sample_fraction`` of
-    them); the driver receives one row of counts per column, bounded by the
-    schema width.
+    One distributed aggregate over all rows; the driver receives one row of
+    counts per column, bounded by the schema width.
     """
     cols = list(columns) if columns is not None else [
         f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     if not cols:
         return {}
-    src = df.sample(fraction=sample_fraction, seed=17) if sample_fraction else df
     # Tall form: one (column, value) row per cell via a single unpivot, the
     # missing-value mapping applied once to the value column, then a
     # small aggregate per column: the plan stays small whatever the width.
-    tall = (src.select(*[F.col(q(c)).alias(f"c{i}") for i, c in enumerate(cols)])
+    tall = (df.select(*[F.col(q(c)).alias(f"c{i}") for i, c in enumerate(cols)])
             .unpivot([], [F.col(f"c{i}") for i in range(len(cols))], "c", "v")
             .withColumn("v", null_tokens_to_null("v"))
             .where(F.col("v").isNotNull()))
@@ -140,68 +161,51 @@ def infer_text_types(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def apply_text_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Missing-value spellings -> null on text columns, then the given
-    casts (values that do not parse become null)."""
+    """Missing-value spellings -> null on text columns, then the given casts.
+    A value that is not of its column's type fails the job: nothing turns
+    into null silently."""
     cols = []
     for f in df.schema.fields:
         c = F.col(q(f.name))
         if isinstance(f.dataType, StringType):
             c = null_tokens_to_null(c)
             t = types.get(f.name, "string")
-            if t == "boolean":
-                c = F.when(c.isNull(), F.lit(None).cast("boolean")).otherwise(c.isin(["True", "true", "TRUE"]))
-            elif t != "string":
-                c = c.try_cast(t)
+            if t != "string":
+                parsed = F.when(c.isin(_TRUE_FALSE), F.lower(c) == "true") if t == "boolean" else c.try_cast(t)
+                text = F.concat(F.lit(f"column {f.name}: not a {t}: "), c)
+                c = F.when(c.isNotNull() & parsed.isNull(), F.raise_error(text)).otherwise(parsed)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
 def read_csv_tree(spark: SparkSession, root: str, glob: str = "*.csv",
-                  schema_hint: dict[str, str] | None = None, infer: bool = True,
-                  sample_fraction: float | None = None) -> DataFrame:
-    """All CSV files under ``root`` as one frame, columns matched by *name*.
-
-    Spark maps the columns of every file to the first header by position;
-    files whose headers differ would silently swap values.  Files are
-    therefore grouped by header line, each group is read with its own
-    header, and the groups are unioned by name (missing columns null).
-    Missing-value spellings become null; column types are inferred from
-    the values (``infer_text_types``) unless ``schema_hint`` names them.
+                  types: dict[str, str] | Callable[[list[str]], dict[str, str]] | None = None,
+                  infer: bool = True, multi_line: bool = False) -> DataFrame:
+    """All CSV files under ``root`` as one frame, columns matched by name
+    (``_csv_by_header``; missing columns null).
+
+    Missing-value spellings become null.  ``types`` names the types of
+    columns, as a dictionary or a rule from the column names; those of the
+    others are inferred from all their values (one more pass over the input)
+    unless ``infer`` is off, which leaves them text.
     """
-    files = [r["path"] for r in list_files(spark, root, glob).select("path").collect()]
-    if not files:
-        raise FileNotFoundError(f"no files matching {glob!r} under {root}")
-    by_header: dict[str, list[str]] = {}
-    for path, header in _first_lines(spark, files).items():
-        by_header.setdefault(header, []).append(path)
-    frames = []
-    hint = schema_hint or {}
-    for header, paths in sorted(by_header.items()):
-        cols = next(iter(__import__("csv").reader([header])))
-        schema = StructType([StructField(c, StringType()) for c in cols])
-        df = spark.read.option("header", True).option("enforceSchema", True).schema(schema).csv(sorted(paths))
-        frames.append(df)
-    merged = union_by_name(frames)
-    types = dict(hint)
+    merged = _csv_by_header(spark, root, glob, multi_line)
+    known = dict(types(merged.columns) if callable(types) else types or {})
     if infer:
-        rest = [c for c in merged.columns if c not in hint]
-        types.update(infer_text_types(merged, rest, sample_fraction))
-    return apply_text_types(merged, types)
+        known.update(infer_text_types(merged, [c for c in merged.columns if c not in known]))
+    return apply_text_types(merged, known)
 
 
 def read_county_series(spark: SparkSession, root: str, value_col: str,
                        glob: str = "*-gap.csv", partition: str = "county") -> DataFrame:
     """County time-series files ``.../county=<code>/<name>-gap.csv``.
 
-    Only ``timestamp`` (kept as text) and ``value_col`` are read, by header
-    name; the value is cast to double under ANSI rules, so a blank or
+    Only ``timestamp`` (kept as text) and ``value_col`` are kept, matched by
+    the name in each file's own header; the value is cast to double under ANSI rules, so a blank or
     non-numeric value fails the job as it should.  The code comes from the
     parent folder ``<partition>=<code>``; files in a folder without ``=``
     get a null code (and are routed aside by the rollup)."""
-    raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-           .option("mode", "FAILFAST").csv(root)
-           .select(F.col("timestamp"), F.col(q(value_col)), F.col("_metadata.file_path").alias("_path")))
+    raw = _csv_by_header(spark, root, glob, with_path="_path").select("timestamp", F.col(q(value_col)), "_path")
     parent = F.element_at(F.split(F.col("_path"), "/"), -2)
     code = F.when(parent.contains("="), F.split(parent, "=", 2).getItem(1))
     return raw.select(F.col("timestamp"),
@@ -210,12 +214,6 @@ def read_county_series(spark: SparkSession, root: str, value_col: str,
                       F.col("_path").alias("source_path"))
 
 
-def partition_values(path_col: str, names: Sequence[str]) -> list:
-    """``k=v`` values of a path column (last occurrence wins), as text."""
-    c = F.col(q(path_col))
-    return [F.nullif(F.regexp_extract(c, rf"(?:^|.*/){n}=([^/]*)/", 1), F.lit("")).alias(n) for n in names]
-
-
 def distinct_partition_values(paths: DataFrame, name: str, path_col: str = "path") -> DataFrame:
     """Distinct ``name=`` values found anywhere in the paths, numbered in
     numeric-then-text order (``0, 1, 2, 10, ..., then names``)."""

@@ -20,12 +20,3 @@ def _re(s: str) -> str:
     import re
 
     return re.escape(s)
-
-
-def filter_extensions(manifest: DataFrame, extensions: tuple[str, ...] | None) -> DataFrame:
-    if extensions is None:
-        return manifest
-    cond = F.lit(False)
-    for e in extensions:
-        cond = cond | F.col("key").endswith(e)
-    return manifest.where(cond)

@@ -14,5 +14,6 @@ def q_stream_hourly(spark: SparkSession, sf: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").schema
     base = scratch_table_dir(spark, "stream_hourly")
     run_available(spark, sf, schema, out_path=f"{base}/out", checkpoint=f"{base}/checkpoint",
-                  ts_col="ts", keys=["event_type"], value_col="value", glob="events.parquet")
+                  ts_col="ts", keys=["event_type"], value_col="value", glob="events.parquet",
+                  sum_scale=2)
     return current_result(spark, f"{base}/out", "ts", ["event_type"], "value")

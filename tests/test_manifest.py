@@ -3,6 +3,7 @@
 import pytest
 
 from gridloom.operators import manifest as mf
+from gridloom.operators.sets import last_per_key
 
 KEYS = [
     ("rel/timeseries/upgrade=0/state=AL/up0-al-office.csv", 10),
@@ -70,7 +71,7 @@ def test_unknown_state_raises(listing):
 
 def test_dedupe_status_totals(spark, listing):
     dup = spark.createDataFrame([("a", 1, 0), ("a", 5, 1), ("b", 2, 0)], "key string, size long, listing_order int")
-    assert {r.key: r.size for r in mf.dedupe_listing(dup).collect()} == {"a": 5, "b": 2}
+    assert {r.key: r.size for r in last_per_key(dup, "key", ["listing_order"]).collect()} == {"a": 5, "b": 2}
     inv = spark.createDataFrame([(KEYS[0][0], 10), (KEYS[1][0], 0)], "key string, size long")
     fail = spark.createDataFrame([(KEYS[2][0],)], "key string")
     st = {r.key: r.status for r in mf.transfer_status(listing, inv, fail).collect()}
