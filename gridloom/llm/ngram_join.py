@@ -255,27 +255,31 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _lacking(one: str, other: str) -> Column:
     """How many cells of one bitmap the other lacks."""
-    bits = F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
-    return F.aggregate(bits, F.lit(0), lambda a, b: a + b)
+    return sum((F.bit_count(F.col(one)[i].bitwiseAND(F.bitwise_not(F.col(other)[i]))) for i in range(CELLS // 64)), F.lit(0))
+
+
+def _overlap_bound(held: str, cells: str, o_held: str, o_cells: str) -> Column:
+    """At most how many shingles two sets share."""
+    return F.least(F.col(held) - _lacking(cells, o_cells), F.col(o_held) - _lacking(o_cells, cells))
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose bitmaps leave room for a link."""
     left = nodes.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.size("held").alias("n_a"), F.col("cells").alias("cells_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.size("held").alias("n_b"), F.col("cells").alias("cells_b"))
-    most = F.least(F.col("n_a") - _lacking("cells_a", "cells_b"), F.col("n_b") - _lacking("cells_b", "cells_a"))
+    most = _overlap_bound("n_a", "cells_a", "n_b", "cells_b")
     return (pairs.join(left, "a").join(right, "b")
             .filter(7 * most >= 3 * (F.col("size_a") + F.col("size_b"))).select("a", "b"))
 
 
 def _links(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link: partial overlaps per fragment of the order
+    """The pairs (a, b) of ``pairs`` that link: partial overlaps per fragment of the order
     are counted separately and summed per pair."""
     parts = nodes.select("node", "size", F.explode(F.sequence(F.lit(0), F.lit(VERIFY_FRAGMENTS - 1))).alias("fragment"),
                          "held").withColumn("held", F.expr(f"filter(held, x -> pmod(x, {VERIFY_FRAGMENTS}) = fragment)"))
     left = parts.select(F.col("node").alias("a"), F.col("size").alias("size_a"), "fragment", F.col("held").alias("held_a"))
     right = parts.select(F.col("node").alias("b"), F.col("size").alias("size_b"), "fragment", F.col("held").alias("held_b"))
-    return (_possible(pairs, nodes).join(left, "a").join(right, ["b", "fragment"])
+    return (pairs.join(left, "a").join(right, ["b", "fragment"])
             .groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("held_a", "held_b"))).alias("overlap"),
                                    F.max(F.col("size_a") + F.col("size_b")).alias("both"))
             .filter("7 * overlap >= 3 * both").select("a", "b"))
@@ -335,19 +339,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     entries = nodes.select("node", "size", F.size("held").alias("n_held"),
                            F.posexplode(F.slice("held", F.lit(1), F.greatest(prefix, F.lit(0)))).alias("at", "shingle"))
     entries = store(entries.select("shingle", "node", "size", (F.col("n_held") - F.col("at")).alias("room")), "prefixes")
-    links = store(_links(_partners(entries), nodes), "links")
+    links = store(_links(_possible(_partners(entries), nodes), nodes), "links")
     found = connected_components(links)
 
     # all pairs of one prefix shingle whose components still differ
-    left = _place(entries, found)
-    one = left.filter("component <> largest").select(
-        "shingle", F.col("node").alias("l"), F.col("size").alias("l_size"), F.col("room").alias("l_room"),
-        F.col("component").alias("l_component"))
-    two = left.select("shingle", F.col("node").alias("r"), F.col("size").alias("r_size"), F.col("room").alias("r_room"),
-                      F.col("component").alias("r_component"))
+    left = _place(entries, found).join(nodes.select("node", "cells", F.size("held").alias("n_held")), "node")
+    columns = ("node", "size", "room", "component", "n_held", "cells")
+    one = left.filter("component <> largest").select("shingle", *[F.col(c).alias(f"l_{c}") for c in columns])
+    two = left.select("shingle", *[F.col(c).alias(f"r_{c}") for c in columns])
+    most = _overlap_bound("l_n_held", "l_cells", "r_n_held", "r_cells")
     rest = (one.join(two, "shingle").filter((F.col("l_component") != F.col("r_component"))
-                                            & _near("l_size", "l_room", "r_size", "r_room"))
-            .select(*_ordered(F.col("l"), F.col("r"))).distinct())
+                                            & _near("l_size", "l_room", "r_size", "r_room")
+                                            & (7 * most >= 3 * (F.col("l_size") + F.col("r_size"))))
+            .select(*_ordered(F.col("l_node"), F.col("r_node"))).distinct())
     more, n_more, _ = stored_rows(_links(rest, nodes), "links")
     if n_more:
         found = connected_components(links.unionByName(more))
