@@ -43,7 +43,7 @@ from gridloom.llm.suffix_sort import suffix_order
 LENGTH = 400
 Q = 8
 EVERY = 64
-DEPTH = 3                 # levels of triples: 27 phrases in order
+DEPTH = 2                 # levels of triples: 9 phrases in order
 BATCH_BYTES = 4 << 20
 FRAGMENTS = 64            # at least
 FAR = 1 << 40
@@ -52,6 +52,10 @@ FAR = 1 << 40
 #: boundary before, and the length of the phrase after it
 PHRASE = np.dtype([("h", "<u8"), ("start", "<u4"), ("size", "<u4"), ("gap", "<u4"), ("after", "<u4")])
 WINDOW = np.dtype([("h", "<u8"), ("start", "<u4")])
+#: consecutive window starts, and a range of candidate starts [first, end)
+RUN = np.dtype([("start", "<u4"), ("n", "<u4")])
+RANGE = np.dtype([("first", "<i8"), ("end", "<i8")])
+AHEAD = np.dtype([("h", "<u8"), ("size", "<u4")])
 LAST = (1 << 32) - 1      # no phrase after: the text ends
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -95,6 +99,26 @@ def _ranges(at: np.ndarray, before: np.ndarray, reach: np.ndarray, size: int, le
     return before + 1, hi
 
 
+def _local(cut: np.ndarray, size: int, length: int) -> np.ndarray:
+    """Candidate starts of windows without a whole phrase inside."""
+    at = np.append(cut, FAR)
+    first, end = _ranges(at, np.append(-1, cut), np.append(at[1:], FAR), size, length)
+    out = np.empty(int((first < end).sum()), dtype=RANGE)
+    out["first"], out["end"] = first[first < end], end[first < end]
+    return out
+
+
+def _runs(records: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Window starts, in order by text -> runs of consecutive ones."""
+    start = records["start"].astype(np.int64)
+    new = np.ones(len(start), dtype=bool)
+    new[1:] = (start[1:] != start[:-1] + 1) | (owner[1:] != owner[:-1])
+    at = np.flatnonzero(new)
+    out = np.empty(len(at), dtype=RUN)
+    out["start"], out["n"] = start[at], np.diff(np.append(at, len(start)))
+    return out, owner[at]
+
+
 def _phrases(fragments: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text", BATCH_BYTES):
@@ -104,12 +128,13 @@ def _phrases(fragments: int, length: int):
             number = np.array([place.setdefault(k, len(place)) for k in keys], dtype=np.int64)
             first = np.unique(number, return_index=True)[1]
             sizes = np.array([len(texts[i]) for i in first], dtype=np.int64)
-            found, owner = [], []
+            found, owner, local = [], [], [b""] * len(first)
             for i, at in enumerate(first):
                 if sizes[i] < length:
                     continue
                 data = np.frombuffer(texts[at], dtype=np.uint8)
                 cut = boundaries(data)
+                local[i] = _local(cut, len(data), length).tobytes()
                 if len(cut) < 2:
                     continue
                 sums, back = _prefix_sums(data)
@@ -124,7 +149,7 @@ def _phrases(fragments: int, length: int):
                        np.array([keys[i][1] for i in first], dtype=np.int64),
                        np.bincount(number).astype(np.int32), sizes.astype(np.int32),
                        np.concatenate(found) if found else np.zeros(0, PHRASE),
-                       np.concatenate(owner) if owner else np.zeros(0, np.int64))
+                       np.concatenate(owner) if owner else np.zeros(0, np.int64), local)
 
     return run
 
@@ -152,15 +177,20 @@ def _strings(length: int):
                     after = FAR if rows["after"][hi - 1] == LAST else int(rows["after"][hi - 1])
                     if int(rows["gap"][lo]) + int(ends[-1] - start[lo]) + after <= length - Q:
                         continue  # too short for a window
-                    for k in range(lo, hi):
-                        stop = lo + min(int(np.searchsorted(ends, start[k] + length)) + 1, hi - lo)
-                        reach = int(start[stop] + size[stop]) if stop < hi else int(ends[-1]) + after
-                        ahead = rows[["h", "size"]][k:stop]
-                        values = (row["hi"], row["lo"], row["size"], r, k - lo,
-                                  int((rows["h"][k] >> np.uint64(2)) + np.uint64(1)), int(start[k]), int(rows["gap"][k]),
-                                  np.ascontiguousarray(ahead["h"]).tobytes() + ahead["size"].astype("<u4").tobytes(), reach)
-                        for column, value in zip(out, values):
-                            column.append(value)
+                    at = np.arange(lo, hi)
+                    stop = lo + np.minimum(np.searchsorted(ends, start[lo:hi] + length) + 1, hi - lo)
+                    inside = np.minimum(stop, hi - 1)
+                    reach = np.where(stop < hi, start[inside] + size[inside], ends[-1] + after)
+                    ahead = np.empty(hi - lo, dtype=AHEAD)
+                    ahead["h"], ahead["size"] = rows["h"][lo:hi], size[lo:hi]
+                    raw = ahead.tobytes()
+                    n = hi - lo
+                    for column, values in zip(out, (
+                            [row["hi"]] * n, [row["lo"]] * n, [row["size"]] * n, [r] * n, at - lo,
+                            (rows["h"][lo:hi] >> np.uint64(2)).astype(np.int64) + 1, start[lo:hi],
+                            rows["gap"][lo:hi].astype(np.int64),
+                            [raw[12 * (k - lo):12 * (e - lo)] for k, e in zip(at, stop)], reach)):
+                        column.extend(values)
                 if out[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names)
 
@@ -172,81 +202,85 @@ def _compare(length: int):
     prefix leaves at each boundary.  The first and last row of a partition
     lack a neighbour and are taken as fully common (a wider range)."""
 
-    def ranges(held: list[dict], common: list[int]) -> pa.RecordBatch:
-        out = []
-        for row, n in zip(held, common):
-            hashes, sizes = row["parsed"]
-            if n < 0 or (n >= 3 ** DEPTH and sizes[:n].sum() < length):
-                n = len(hashes)
-            ends = np.cumsum(sizes)
-            # the boundary after the phrase that follows the common ones
-            reach = row["start"] + int(ends[n]) if n < len(hashes) else row["reach"]
-            lo, hi = _ranges(np.int64(row["start"]), np.int64(row["start"] - row["gap"]), np.int64(reach), row["bytes"], length)
-            lo = max(int(lo), 0)
-            if lo < int(hi):
-                out.append((row["hi"], row["lo"], lo, int(hi)))
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 4,
-                                          ["hi", "lo", "first", "end"])
-
-    def shared(a: dict, b: dict) -> int:
-        x, y = a["parsed"][0], b["parsed"][0]
-        n = min(len(x), len(y))
-        differ = np.flatnonzero(x[:n] != y[:n])
-        return int(differ[0]) if len(differ) else n
+    names = ("hi", "lo", "bytes", "start", "gap", "reach", "sym")
+
+    def common(ahead: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Phrases that each row shares with the next, at the front."""
+        most = np.minimum(n[:-1], n[1:])
+        shared, active, depth = np.zeros(len(most), dtype=np.int64), np.flatnonzero(most > 0), 0
+        while len(active):
+            active = active[ahead[at[active] + depth] == ahead[at[active + 1] + depth]]
+            depth += 1
+            shared[active] = depth
+            active = active[most[active] > depth]
+        return shared
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, with_before = None, -1
+        held = None  # the last row and what it shares with the one before it (-1: none)
         for batch in batches:
-            held, common = [], []
-            for row in batch.to_pylist():
-                n = len(row["ahead"]) // 12
-                row["parsed"] = (np.frombuffer(row["ahead"], "<u8", n), np.frombuffer(row["ahead"], "<u4", n, 8 * n).astype(np.int64))
-                if before is not None:
-                    now = shared(before, row)
-                    held.append(before)
-                    common.append(-1 if with_before < 0 else max(with_before, now))
-                    with_before = now
-                before = row
-            if held:
-                yield ranges(held, common)
-        if before is not None:
-            yield ranges([before], [-1])
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names}
+            aheads = batch.column("ahead").to_pylist()
+            if held is not None:
+                rows = {c: np.append(held[0][c], v) for c, v in rows.items()}
+                aheads = [held[1], *aheads]
+            n = np.array([len(a) for a in aheads], dtype=np.int64) // 12
+            records = np.frombuffer(b"".join(aheads), dtype=AHEAD)
+            at = np.cumsum(n) - n
+            with_next = common(records["h"], at, n)
+            with_before = np.append(held[2] if held is not None else -1, with_next)
+            out, shared = slice(0, len(n) - 1), np.maximum(with_before[:-1], with_next)
+            shared[with_before[:-1] < 0] = -1
+            if len(n) > 1:
+                yield ranges({c: v[out] for c, v in rows.items()}, records, at[out], n[out], shared)
+            held = ({c: v[-1:] for c, v in rows.items()}, aheads[-1], with_before[-1])
+        if held is not None:
+            records = np.frombuffer(held[1], dtype=AHEAD)
+            yield ranges(held[0], records, np.zeros(1, np.int64), np.array([len(records)]), np.array([-1]))
+
+    def ranges(rows: dict, records: np.ndarray, at: np.ndarray, n: np.ndarray, shared: np.ndarray) -> pa.RecordBatch:
+        sums = np.concatenate([[0], np.cumsum(records["size"], dtype=np.int64)])
+        shared = np.minimum(shared, n)
+        # equal as far as the order goes, and that is no whole window: all may be common
+        unsure = (shared < 0) | ((shared >= 3 ** DEPTH) & (sums[at + np.maximum(shared, 0)] - sums[at] < length))
+        shared = np.where(unsure, n, shared)
+        # the boundary after the phrase that follows the common ones
+        follow = np.minimum(at + shared + 1, len(sums) - 1)
+        reach = np.where(shared < n, rows["start"] + sums[follow] - sums[at], rows["reach"])
+        first, end = _ranges(rows["start"], rows["start"] - rows["gap"], reach, rows["bytes"], length)
+        first = np.maximum(first, 0)
+        some = first < end
+        return pa.RecordBatch.from_arrays([pa.array(c[some], pa.int64()) for c in (
+            rows["hi"], rows["lo"], first, end, rows["sym"])], ["hi", "lo", "first", "end", "sym"])
 
     return run
 
 
-def _local(length: int):
-    """Candidate starts of windows without a whole phrase inside."""
+_RANGES = "hi long, lo long, least long, ranges binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text", BATCH_BYTES):
-            out = []
-            for hi, lo, text in zip(batch.column("hi").to_pylist(), batch.column("lo").to_pylist(), batch.column("text")):
-                data = np.frombuffer(text.as_py().encode("utf-8", "surrogatepass"), dtype=np.uint8)
-                if len(data) < length:
-                    continue
-                cut = boundaries(data)
-                at = np.append(cut, FAR)
-                first, end = _ranges(at, np.append(-1, cut), np.append(at[1:], FAR), len(data), length)
-                out += [(hi, lo, int(a), int(b)) for a, b in zip(first, end) if a < b]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 4,
-                                             ["hi", "lo", "first", "end"])
 
-    return run
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All candidate ranges of a text, packed."""
+    for batch in batches:
+        packed = []
+        for found, local in zip(batch.column("found").to_pylist(), batch.column("local").to_pylist()):
+            own = np.array([(r["first"], r["end"]) for r in found or ()], dtype=RANGE)
+            packed.append(own.tobytes() + (local or b""))
+        yield pa.RecordBatch.from_arrays([batch.column("hi"), batch.column("lo"), batch.column("least"),
+                                          pa.array(packed, pa.binary())], ["hi", "lo", "least", "ranges"])
 
 
 def _windows(fragments: int, length: int):
     """The hashes of the candidate windows of each text, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text", BATCH_BYTES // 4):
+        for batch in text_slices(batches, "text", BATCH_BYTES // 2):
             found, owner = [], []
             for i, (text, ranges) in enumerate(zip(batch.column("text"), batch.column("ranges").to_pylist())):
                 data = np.frombuffer(text.as_py().encode("utf-8", "surrogatepass"), dtype=np.uint8)
                 wanted = np.zeros(len(data) + 2, dtype=np.int32)
-                for r in ranges:
-                    wanted[r["first"]] += 1
-                    wanted[r["end"]] -= 1
+                ranges = np.frombuffer(ranges, dtype=RANGE)
+                np.add.at(wanted, ranges["first"], 1)
+                np.add.at(wanted, ranges["end"], -1)
                 at = np.flatnonzero(np.cumsum(wanted) > 0)
                 sums, back = _prefix_sums(data)
                 rows = np.empty(len(at), dtype=WINDOW)
@@ -256,7 +290,7 @@ def _windows(fragments: int, length: int):
             keys = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("hi", "lo")]
             ones = np.ones(batch.num_rows, dtype=np.int32)
             yield pack(fragments, *keys, ones, ones, np.concatenate(found) if found else np.zeros(0, WINDOW),
-                       np.concatenate(owner) if owner else np.zeros(0, np.int64))
+                       np.concatenate(owner) if owner else np.zeros(0, np.int64), shrink=_runs)
 
     return run
 
@@ -271,11 +305,14 @@ def _spans(length: int):
         for batch in batches:
             out: list[list] = [[], [], []]
             for row in batch.to_pylist():
-                at = np.unique(np.frombuffer(b"".join(row["parts"]), dtype=WINDOW)["start"].astype(np.int64))
-                cut = np.flatnonzero(np.diff(at) > length) + 1
+                runs = np.sort(np.frombuffer(b"".join(row["parts"]), dtype=RUN), order="start")
+                lo = runs["start"].astype(np.int64)
+                hi = np.maximum.accumulate(lo + runs["n"] - 1 + length)  # end of the bytes that a run covers
+                cut = np.flatnonzero(lo[1:] > hi[:-1]) + 1
                 out[0].append(row["hi"])
                 out[1].append(row["lo"])
-                out[2].append([{"start": int(p[0]), "end": int(p[-1]) + length} for p in np.split(at, cut)])
+                out[2].append([{"start": int(a), "end": int(b)} for a, b in zip(
+                    lo[np.append(0, cut)], hi[np.append(cut, len(lo)) - 1])])
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(
                 out[2], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], ["hi", "lo", "spans"])
 
@@ -290,7 +327,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
         F.xxhash64(F.lit(1), "text").alias("hi"), F.xxhash64("text").alias("lo"), "text")
     shared = shared_records(rows.mapInArrow(_phrases(fragments, length), SHIPPED), fragments, PHRASE)
     texts = store(shared.groupBy("hi", "lo").agg(
-        F.sum("copies").alias("copies"), F.max("size").alias("size"),
+        F.sum("copies").alias("copies"), F.max("size").alias("size"), F.max("extra").alias("local"),
         F.when(F.sum(F.octet_length("held")) > 0, F.collect_list("held")).alias("parts")), "phrases")
 
     symbols = store(texts.filter("parts is not null").select("hi", "lo", "size", "parts")
@@ -299,18 +336,23 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     order = suffix_order(symbols.select("sid", F.lit(0).cast("long").alias("path"), "off", "sym"), DEPTH)
     placed = (symbols.join(order.select("sid", "off", "rank"), ["sid", "off"])
               .repartitionByRange("rank", "sid", "off").sortWithinPartitions("rank", "sid", "off"))
-    schema = "hi long, lo long, first long, end long"
-    ranges = (placed.select("hi", "lo", "bytes", "start", "gap", "ahead", "reach").mapInArrow(_compare(length), schema)
-              .unionByName(rows.mapInArrow(_local(length), schema)))
-    by_text = store(ranges.groupBy("hi", "lo").agg(F.collect_list(F.struct("first", "end")).alias("ranges")), "ranges")
-
-    # one copy of each text with candidates
+    ranges = (placed.select("hi", "lo", "bytes", "start", "gap", "reach", "sym", "ahead")
+              .mapInArrow(_compare(length), "hi long, lo long, first long, end long, sym long"))
+    listed = ranges.groupBy("hi", "lo").agg(F.collect_list(F.struct("first", "end")).alias("found"), F.min("sym").alias("least"))
+    local = texts.filter(F.octet_length("local") > 0).select("hi", "lo", "local")
+    by_text = store(listed.join(local, ["hi", "lo"], "full_outer").mapInArrow(_joined, _RANGES), "ranges")
+
+    # one copy of each text with candidates; texts with the same least phrase
+    # next to each other, so that most repeats meet in one task's batch
     candidates = store(rows.join(by_text, ["hi", "lo"]).groupBy("hi", "lo")
-                       .agg(F.first("text").alias("text"), F.first("ranges").alias("ranges")), "candidates")
-    found = shared_records(candidates.mapInArrow(_windows(fragments, length), SHIPPED), fragments, WINDOW)
+                       .agg(F.first("text").alias("text"), F.first("ranges").alias("ranges"), F.first("least").alias("least"))
+                       .repartitionByRange("least", "hi").sortWithinPartitions("least", "hi"), "candidates")
+    found = shared_records(candidates.select("hi", "lo", "text", "ranges").mapInArrow(_windows(fragments, length), SHIPPED),
+                           fragments, WINDOW, RUN, _runs)
     spans = (found.groupBy("hi", "lo").agg(F.collect_list("held").alias("parts"), F.sum(F.octet_length("held")).alias("n"))
              .filter("n > 0").select("hi", "lo", "parts").mapInArrow(_spans(length), _SPANS))
-    return texts.select("hi", "lo", "copies", "size"), store(spans.join(candidates.select("hi", "lo", "text"), ["hi", "lo"]), "spans")
+    return (texts.select("hi", "lo", "copies", "size"),
+            store(store(spans, "runs").join(candidates.select("hi", "lo", "text"), ["hi", "lo"]), "spans"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
