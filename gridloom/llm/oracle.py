@@ -28,4 +28,44 @@ SELECT page_id, host, path, rule,
 FROM c
 """
 
-ORACLE: dict[str, str] = {"op7_warc": OP7, "op9_url_filter": OP9}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id
+          GROUP BY 1, 2),
+links AS (SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+          WHERE 100 * c >= 75 * (x.n + y.n - c)),
+near AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents
+          UNION SELECT r.doc_id, e.b FROM reach r JOIN near e ON e.a = r.other)
+SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.other) AS component_id
+FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP8 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win
+        FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+              FROM b WHERE len(w) > 0)),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+       FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i
+             FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, dw.n, i, item_id FROM dw JOIN win ON win.n = dw.n AND win.win = dw.win),
+words AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+          FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op2_ngram_join": OP2, "op8_decontamination": OP8,
+                          "op7_warc": OP7, "op9_url_filter": OP9}

@@ -45,6 +45,7 @@ MAX_ROWS = 8000
 STEPS = 100
 SCALE = 60.0
 CACHE_WORDS = 150_000
+PART_WORDS = 20_000
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -76,9 +77,8 @@ def subwords(words: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.n
         h = np.add.reduceat(_mixed(points * _MIX + place + np.uint64(1 << 40)), ends - sizes)
         found_ids.append(_mixed(h) % np.uint64(buckets))
         found_owner.append(np.arange(len(words)))
-    ids, owners = np.concatenate(found_ids), np.concatenate(found_owner)
-    order = np.argsort(owners, kind="stable")
-    return ids[order].astype(np.int32), np.bincount(owners, minlength=len(words))
+    ids, owners = np.concatenate(found_ids).astype(np.int32), np.concatenate(found_owner).astype(np.int32)
+    return ids[np.argsort(owners, kind="stable")], np.bincount(owners, minlength=len(words))
 
 
 def normalise(token: str) -> str:
@@ -118,6 +118,24 @@ class Model(NamedTuple):
         return Scorer(self.subword_logits(), float(self.bias[1] - self.bias[0]))
 
 
+def _word_bags(texts: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray, np.ndarray]:
+    """(subword ids of all distinct words, in parts of bounded size; and per
+    text and word: text, word, how often)."""
+    tokens, token, owner = encode_tokens(texts)
+    words, word_of = np.unique(np.array([normalise(t) for t in tokens], dtype=object), return_inverse=True)
+    del tokens
+    pair = owner * np.int64(len(words)) + word_of[token]
+    del owner, token
+    pair, count = np.unique(pair, return_counts=True)
+    doc, word = (pair // len(words)).astype(np.int32), (pair % len(words)).astype(np.int32)
+    some = np.flatnonzero(words != "")  # punctuation alone is no word
+    place = np.full(len(words), -1, dtype=np.int32)
+    place[some] = np.arange(len(some))
+    real = place[word] >= 0
+    parts = [subwords(list(words[some[at:at + PART_WORDS]])) for at in range(0, len(some), PART_WORDS)]
+    return parts, doc[real], place[word[real]], count[real].astype(np.float32)
+
+
 def train(texts: pa.Array, labels: np.ndarray, steps: int = STEPS, seed: int = 7,
           rate: float = 0.05, decay: float = 1e-6, balance: float = 0.25) -> Model:
     """Embeddings and softmax by full-batch Adam on log loss; ``balance`` is
@@ -131,16 +149,13 @@ def train(texts: pa.Array, labels: np.ndarray, steps: int = STEPS, seed: int = 7
     bias = np.log(np.array([1 - prior, prior], dtype=np.float32))
     if n_pos in (0, n_all):
         return Model(emb * 0, soft, bias, SCALE)
-    tokens, token, owner = encode_tokens(texts)
-    words, word_of = np.unique(np.array([normalise(t) for t in tokens], dtype=object), return_inverse=True)
-    ids, n_subs = subwords(list(words))
-    ids, n_subs = ids[np.repeat(words != "", n_subs)], np.where(words == "", 0, n_subs)
-    pair, count = np.unique(owner * len(words) + word_of[token], return_counts=True)
-    doc, word = pair // len(words), pair % len(words)
+    parts, doc, word, count = _word_bags(texts)
+    if not parts:
+        return Model(emb * 0, soft, bias, SCALE)
+    n_words = sum(len(n) for _, n in parts)
+    n_subs = np.concatenate([n for _, n in parts])
     total = np.maximum(np.bincount(doc, weights=count * n_subs[word], minlength=n_all), 1)
     weight = (count / total[doc]).astype(np.float32)
-    ends = np.concatenate([[0], np.cumsum(n_subs)])
-    word_at = np.repeat(np.arange(len(words)), n_subs)
     share = np.where(labels == 1, (n_all / n_pos) ** balance, (n_all / (n_all - n_pos)) ** balance)
     share /= share.sum()
     params = {"e": emb, "w": soft, "b": np.zeros(2, np.float32)}
@@ -149,13 +164,15 @@ def train(texts: pa.Array, labels: np.ndarray, steps: int = STEPS, seed: int = 7
     for step in range(1, steps + 1):
         diff = params["w"][:, 1] - params["w"][:, 0]
         per_bucket = (params["e"] @ diff) * SCALE
-        sums = np.concatenate([[0.0], np.cumsum(per_bucket[ids], dtype=np.float64)])
-        per_word = sums[ends[1:]] - sums[ends[:-1]]
+        per_word = np.concatenate([np.add.reduceat(per_bucket[ids], np.cumsum(n) - n) for ids, n in parts])
         logit = np.bincount(doc, weights=weight * per_word[word], minlength=n_all)
         logit += params["b"][1] - params["b"][0]
         delta = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - labels) * share
-        back = np.bincount(word, weights=weight * delta[doc], minlength=len(words))
-        by_bucket = np.bincount(ids, weights=back[word_at], minlength=BUCKETS).astype(np.float32) * SCALE
+        back, at, by_bucket = np.bincount(word, weights=weight * delta[doc], minlength=n_words), 0, np.zeros(BUCKETS)
+        for ids, n in parts:
+            by_bucket += np.bincount(ids, weights=np.repeat(back[at:at + len(n)], n), minlength=BUCKETS)
+            at += len(n)
+        by_bucket = by_bucket.astype(np.float32) * SCALE
         toward = by_bucket @ params["e"]
         grads = {"e": by_bucket[:, None] * diff[None, :] + decay * params["e"],
                  "w": np.stack([-toward, toward], axis=1) + decay * params["w"],
