@@ -45,7 +45,7 @@ MAX_ROWS = 8000
 STEPS = 100
 SCALE = 60.0
 CACHE_WORDS = 150_000
-PART_WORDS = 20_000
+PART_WORDS, PART_TEXTS = 20_000, 500
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -121,19 +121,21 @@ class Model(NamedTuple):
 def _word_bags(texts: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray, np.ndarray]:
     """(subword ids of all distinct words, in parts of bounded size; and per
     text and word: text, word, how often)."""
-    tokens, token, owner = encode_tokens(texts)
-    words, word_of = np.unique(np.array([normalise(t) for t in tokens], dtype=object), return_inverse=True)
-    del tokens
-    pair = owner * np.int64(len(words)) + word_of[token]
-    del owner, token
-    pair, count = np.unique(pair, return_counts=True)
-    doc, word = (pair // len(words)).astype(np.int32), (pair % len(words)).astype(np.int32)
-    some = np.flatnonzero(words != "")  # punctuation alone is no word
-    place = np.full(len(words), -1, dtype=np.int32)
-    place[some] = np.arange(len(some))
-    real = place[word] >= 0
-    parts = [subwords(list(words[some[at:at + PART_WORDS]])) for at in range(0, len(some), PART_WORDS)]
-    return parts, doc[real], place[word[real]], count[real].astype(np.float32)
+    place: dict[str, int] = {}
+    docs, words, counts = [], [], []
+    for at in range(0, len(texts), PART_TEXTS):
+        tokens, token, owner = encode_tokens(texts.slice(at, PART_TEXTS))
+        normal = [normalise(t) for t in tokens]
+        # punctuation alone is no word
+        known = np.array([place.setdefault(w, len(place)) if w else -1 for w in normal], dtype=np.int64)
+        real = known[token] >= 0
+        pair, count = np.unique((owner[real] << 32) + known[token[real]], return_counts=True)
+        docs.append((pair >> 32).astype(np.int32) + at)
+        words.append((pair & 0xFFFFFFFF).astype(np.int32))
+        counts.append(count.astype(np.float32))
+    listed = list(place)
+    parts = [subwords(listed[at:at + PART_WORDS]) for at in range(0, len(listed), PART_WORDS)]
+    return parts, *(np.concatenate(x) if x else np.zeros(0, np.int32) for x in (docs, words, counts))
 
 
 def train(texts: pa.Array, labels: np.ndarray, steps: int = STEPS, seed: int = 7,
