@@ -7,8 +7,10 @@ splitting tree.
 2. Blocks: each source is cut into ``blocks`` blocks by a seeded hash of its
    documents, which is a random permutation into blocks that needs no sort
    and no window over the source.  The mix takes every block floor(target /
-   size) times, and of a last partial round the first blocks in permuted
-   order whose words come nearest the target.
+   size) times; of a last partial round it takes the first blocks in permuted
+   order that fit into the rest of the target, then, largest first, others
+   that fit into the gap that is left, and the smallest of the others if that
+   comes nearer than leaving the gap.
 3. Tree: the sources' exact block quotas are split among the output shards:
    the root holds all quotas, a node draws how many blocks of each source go
    to its left half (a multivariate hypergeometric draw of the left half's
@@ -39,6 +41,7 @@ from gridloom.llm.common import null_safe, store
 MAX_SOURCES = 100_000
 BLOCKS = 4096
 SHARDS = 64
+FILLS = 4
 SEED = 20240601
 
 
@@ -118,15 +121,27 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
         [(n, s, t, k, t - k * s) for n, s, t, k in zip(names, totals, targets, rounds)],
         "source string, source_size long, target double, rounds int, rest double")
 
-    # the partial round: blocks in permuted order until the rest is reached
-    order = Window.partitionBy("source").orderBy("block")
-    before = F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    last = F.coalesce(before, F.lit(0)) + F.col("words") / 2 < F.col("rest")
+    # the partial round, over at most ``blocks`` rows per source
+    source = Window.partitionBy("source")
+    order, by_size = source.orderBy("block"), source.orderBy(F.col("words").desc(), "block")
+    parts = per_block.join(F.broadcast(table), per_block.source.eqNullSafe(table.source)).drop(table.source)
+    parts = parts.withColumn("last", (F.col("rest") > 0) & (F.sum("words").over(order) <= F.col("rest")))
+    for _ in range(FILLS):
+        gap = F.col("rest") - F.sum(F.when(F.col("last"), F.col("words")).otherwise(0)).over(source)
+        parts = parts.withColumn("gap", gap)
+        fits = ~F.col("last") & F.col("words").between(1, F.col("gap"))
+        parts = (parts.withColumn("fits", fits)
+                 .withColumn("filled", F.sum(F.when(F.col("fits"), F.col("words")).otherwise(0)).over(by_size))
+                 .withColumn("last", F.col("last") | (F.col("fits") & (F.col("filled") <= F.col("gap")))))
+    gap = F.col("rest") - F.sum(F.when(F.col("last"), F.col("words")).otherwise(0)).over(source)
+    free = F.when(~F.col("last") & (F.col("words") > 0), F.struct("words", "block"))
+    parts = parts.withColumns({"gap": gap, "least": F.min(free).over(source)}).withColumn(
+        "last", F.col("last") | F.coalesce((F.col("block") == F.col("least.block")) & (F.col("words") < 2 * F.col("gap")), F.lit(False)))
     planned = store(
-        per_block.join(F.broadcast(table), per_block.source.eqNullSafe(table.source)).drop(table.source)
-        .withColumn("copies", F.col("rounds") + last.cast("int"))
-        .withColumn("idx", F.row_number().over(order) - 1)
-        .withColumn("n_blocks", F.count("*").over(Window.partitionBy("source"))), "mix-blocks")
+        parts.withColumns({
+            "copies": F.col("rounds") + F.col("last").cast("int"), "idx": F.row_number().over(order) - 1,
+            "last_idx": F.sum(F.col("last").cast("int")).over(order) - 1,
+            "n_blocks": F.count("*").over(source)}).drop("gap", "fits", "filled", "least"), "mix-blocks")
 
     quotas = {r["source"]: int(r["q"]) for r in
               planned.groupBy("source").agg(F.sum("copies").alias("q")).collect()}
@@ -134,10 +149,9 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
     ends = spark.createDataFrame(
         [(n, [int(x) for x in np.cumsum(split[i])]) for i, n in enumerate(names)],
         "source string, ends array<long>")
-    # a block copy's place in its source's order, round by round (the partial
-    # round takes a prefix of the order), tells its shard
-    place = F.expr("transform(sequence(0, copies - 1), "
-                   "r -> size(filter(ends, e -> e <= r * n_blocks + idx)))")
+    # a block copy's place in its source's order, round by round, tells its shard
+    place = F.expr("transform(sequence(0, copies - 1), r -> size(filter(ends, "
+                   "e -> e <= r * n_blocks + if(r = rounds, last_idx, idx))))")
     blocks_out = (planned.join(F.broadcast(ends), planned.source.eqNullSafe(ends.source)).drop(ends.source)
                   .withColumn("shards", F.when(F.col("copies") > 0, place)
                               .otherwise(F.array().cast("array<int>")))
