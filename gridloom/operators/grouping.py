@@ -293,11 +293,6 @@ def impute_missing_members(samples: DataFrame, reference: DataFrame, crosswalk:
     return with_placeholders(samples, placeholder_members(samples, reference, crosswalk, order=order, **options), order)
 
 
-def member_mapping(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct member rows, ordered by the given columns with nulls last."""
-    return frame.select(*columns).distinct().orderBy(*[F.col(q(c)).asc_nulls_last() for c in columns])
-
-
 @dataclass(frozen=True)
 class GroupingResult:
     rows: DataFrame
