@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -70,6 +71,15 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int) ->
             at = end
 
 
+def release_memory() -> None:
+    """Hand freed memory back to the system at the end of a task: Python
+    workers outlive their tasks and keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective mixer of 64-bit words."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.common import isolated, null_safe
+from gridloom.llm.common import isolated, null_safe, release_memory
 
 WINDOW = 10
 MAX_GROUP_WORDS = 2_000_000
@@ -217,6 +217,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
                          pa.array([[{"start": s, "end": e} for s, e in h] for h in hits], runs),
                          pa.array([sorted(f) for f in found], pa.list_(pa.string()))],
                         [*names, "n_words", "hits", "items"])
+            release_memory()
 
         out = out.mapInArrow(stream, T.StructType(docs.schema.fields + added))
     return out.withColumn("n_hit", F.aggregate("hits", F.lit(0), lambda a, r: a + r["end"] - r["start"]))

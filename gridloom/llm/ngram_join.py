@@ -49,11 +49,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import isolated, mix64, null_safe, shuffle_partitions, store, stored_rows, text_slices
+from gridloom.llm.common import isolated, mix64, null_safe, release_memory, shuffle_partitions, store, stored_rows, text_slices
 from gridloom.llm.components import connected_components
 
 K = 5
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 FRAGMENTS = 64  # at least
 VERIFY_FRAGMENTS = 4
 CELLS = 1024
@@ -161,6 +161,7 @@ def _ship(fragments: int, k: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x.to_pylist() if isinstance(x, pa.Array) else x for x in v],
                           kinds.get(n, pa.list_(pa.int32()))) for n, v in rows.items()], list(rows))
+        release_memory()
 
     return run
 
@@ -213,6 +214,8 @@ def _fragment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some = np.flatnonzero(left)
             none = pa.nulls(len(some), pa.int32())
             yield emit([ids[i] for i in some], texts[some], none, none, left[some], hashes[kept])
+    del parts, h, marks, same
+    release_memory()
 
 
 def shingle_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:

@@ -36,15 +36,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.common import isolated
+from gridloom.llm.common import isolated, release_memory
 
 BUCKETS = 1 << 18
 DIM = 8
 NGRAMS = (3, 4, 5)
-MAX_ROWS = 8000
+MAX_ROWS = 6000
 STEPS = 100
 SCALE = 60.0
-CACHE_WORDS = 150_000
+CACHE_WORDS = 60_000
 PART_WORDS, PART_TEXTS = 20_000, 500
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -234,6 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, steps: int
     def learn(table: pa.Table) -> pa.Table:
         table = table.sort_by([("at", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
         model = train(table["text"].combine_chunks(), table["toxic"].to_numpy(), steps)
+        release_memory()
         return pa.table({"model": pa.array([model.to_bytes()], pa.binary())})
 
     found = rows.groupBy("model").applyInArrow(learn, "model binary").collect()
@@ -258,9 +259,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*shared.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part = batch.slice(lo, 1000)
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
                 scores = pa.array(scorer.score(part.column(at)), pa.float64())
                 yield pa.RecordBatch.from_arrays([*part.columns, scores], [*part.schema.names, "score"])
+        del scorer
+        release_memory()
 
     return docs.mapInArrow(add, schema)
