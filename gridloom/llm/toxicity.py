@@ -139,7 +139,7 @@ def _word_bags(texts: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray]], np
 
 
 def train(texts: pa.Array, labels: np.ndarray, steps: int = STEPS, seed: int = 7,
-          rate: float = 0.05, decay: float = 1e-6, balance: float = 0.25) -> Model:
+          rate: float = 0.1, decay: float = 1e-6, balance: float = 0.4) -> Model:
     """Embeddings and softmax by full-batch Adam on log loss; ``balance`` is
     the power of the inverse class frequency that weighs a class."""
     rng = np.random.default_rng(seed)
