@@ -89,6 +89,43 @@ def test_mix_meets_targets(spark, mixed):
     assert sorted(map(key, again)) == sorted(map(key, plan))
 
 
+def test_mix_of_any_number_of_sources(spark):
+    n = 100_001
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.expr("repeat('w ', 1 + id % 7)").alias("text"),
+                                 F.format_string("host%06d", "id").alias("source"))
+    plan = mixing.plan_mix(docs, shards=8).select("source", "source_size", "target", "copies", "shards").toPandas()
+    plan = plan.sort_values("source", ignore_index=True)
+    sizes, weights = [1 + i % 7 for i in range(n)], [(3, 1, 2)[i % 3] for i in range(n)]
+    assert plan["source_size"].tolist() == sizes
+    assert plan["target"].to_numpy() == pytest.approx(np.array(mixing.water_fill(sizes, weights, 1.5, 2.0)))
+    assert (plan["shards"].map(len) == plan["copies"]).all()
+    dealt = Counter(x for shards in plan["shards"] for x in shards)
+    assert sorted(dealt) == list(range(8)) and max(dealt.values()) - min(dealt.values()) <= 3
+
+
+def test_split_by_runs_of_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BATCH", 3)
+    quotas = [40, 0, 7, 1, 300, 2, 2, 9, 0, 0, 55]
+    table = spark.createDataFrame(list(enumerate(quotas)), "number long, quota long")
+    split = np.array([r["split"] for r in mixing.split_sources(table, len(quotas), 8, 5).orderBy("number").collect()])
+    assert split.min() >= 0 and split.sum(axis=1).tolist() == quotas
+    assert split.sum(axis=0).max() - split.sum(axis=0).min() <= 3
+
+
+def test_draw_beyond_the_limit_of_numpy(monkeypatch):
+    rng = np.random.default_rng(3)
+    counts = np.array([3 * 10**9, 5, 0, 2 * 10**9])
+    got = mixing.draw(rng, counts, 10**9)
+    assert got.sum() == 10**9 and (got >= 0).all() and (got <= counts).all()
+    monkeypatch.setattr(mixing, "MAX_DRAW", 0)
+    counts, n = np.array([30, 2, 0, 18]), 20
+    draws = np.array([mixing.draw(rng, counts, n) for _ in range(4000)])
+    assert (draws.sum(axis=1) == n).all() and (draws <= counts).all() and draws.min() == 0
+    p = counts / 50
+    assert draws.mean(axis=0) == pytest.approx(n * p, abs=0.15)
+    assert draws.var(axis=0) == pytest.approx(n * p * (1 - p) * 30 / 49, rel=0.1)
+
+
 def test_mix_rows(spark, mixed):
     rows, docs, plan = mixed
     out = mixing.mix(docs, shards=8)
