@@ -7,9 +7,10 @@ matches alternate, so their lengths (code points) add up to the positions.
 Both run only on texts that hold a match.
 
 The models are first-order Markov chains over the token alphabet, with
-additive smoothing.  ``train`` counts transitions of labelled tokens (label 1
-random, 0 ordinary) in one aggregate; at most 2 x (alphabet + 1)^2 counts
-reach the driver, as one literal array.  A candidate token is a run of
+additive smoothing.  ``labelled_samples`` counts the distinct tokens of all
+documents, ``train`` the transitions of these labelled tokens (label 1 random,
+0 ordinary), times their counts, in one aggregate; at most 2 x (alphabet +
+1)^2 counts reach the driver, as one literal array.  A candidate token is a run of
 ``[A-Za-z0-9+/_-]`` of at least ``MIN_TOKEN`` characters; it is a span of kind
 ``markov`` when its log-likelihood ratio reaches ``MIN_RATIO`` in all and
 ``MIN_MEAN`` a character, and it overlaps no base span.
@@ -43,7 +44,6 @@ TOKEN = r"[A-Za-z0-9+/_-]+"
 MIN_TOKEN = 16
 MIN_RATIO, MIN_MEAN = 10.0, 0.6
 SMOOTHING = 0.5
-SAMPLE_ROWS = 4000
 RANDOM_SAMPLES = 4000
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -94,16 +94,18 @@ def _code(char: Column) -> Column:
 
 
 def train(samples: DataFrame, smoothing: float = SMOOTHING) -> list[float]:
-    """Labelled tokens (token, label) -> the log-likelihood ratio of every
-    transition, as one flat table of (alphabet + 1)^2 numbers."""
+    """Labelled tokens (token, label, and ``n`` if they stand for several) ->
+    the log-likelihood ratio of every transition, as one flat table of
+    (alphabet + 1)^2 numbers."""
     size = len(ALPHABET) + 1
+    times = F.col("n") if "n" in samples.columns else F.lit(1)
     moves = (samples.filter(F.length("token") > 1)
-             .select("label", "token", F.explode(F.sequence(F.lit(2), F.length("token"))).alias("i"))
-             .select("label", F.expr("substring(token, i - 1, 1)").alias("a"), F.expr("substring(token, i, 1)").alias("b"))
-             .groupBy("label", _code(F.col("a")).alias("a"), _code(F.col("b")).alias("b")).count().collect())
+             .select("label", "token", times.alias("n"), F.explode(F.sequence(F.lit(2), F.length("token"))).alias("i"))
+             .select("label", "n", F.expr("substring(token, i - 1, 1)").alias("a"), F.expr("substring(token, i, 1)").alias("b"))
+             .groupBy("label", _code(F.col("a")).alias("a"), _code(F.col("b")).alias("b")).agg(F.sum("n").alias("n")).collect())
     counts = {0: [[0] * size for _ in range(size)], 1: [[0] * size for _ in range(size)]}
     for r in moves:
-        counts[int(r["label"])][r["a"]][r["b"]] += r["count"]
+        counts[int(r["label"])][r["a"]][r["b"]] += r["n"]
     logs = {}
     for label, rows in counts.items():
         logs[label] = [[math.log((n + smoothing) / (sum(row) + smoothing * size)) for n in row] for row in rows]
@@ -126,31 +128,34 @@ def token_ratio(token: Column, table: list[float]) -> Column:
     return F.aggregate(F.split(token, ""), start, step)["sum"]
 
 
-def labelled_samples(docs: DataFrame, text_col: str = "text", max_rows: int = SAMPLE_ROWS,
-                     randoms: int = RANDOM_SAMPLES) -> DataFrame:
-    """Training tokens from at most ``max_rows`` documents (drawn by a hash
-    of the id; only their ids are broadcast).  Label 1: the values that the
-    base patterns find, and ``randoms`` strings that are random by
-    construction (base64 and upper-case digests).  Label 0: words of 8 or more
-    letters, as written, in capitals and joined as an identifier."""
+def labelled_samples(docs: DataFrame, text_col: str = "text", randoms: int = RANDOM_SAMPLES) -> DataFrame:
+    """Training tokens (token, label, n) from all documents, counted before
+    they are spelt out.  Label 1: the values that the base patterns find, and
+    strings that are random by construction (base64 and upper-case digests of
+    as many numbers as there are documents, ``randoms`` at least).  Label 0:
+    words of 8 or more letters, as written, in capitals and joined as an
+    identifier."""
     spark = docs.sparkSession
-    ids = (docs.select("doc_id").filter("doc_id is not null").distinct()
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
-    texts = docs.join(F.broadcast(ids), "doc_id").select(null_safe(F.col(text_col)).alias("text"))
-    values = F.flatten(F.array(
-        F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),
-        F.regexp_extract_all("text", F.lit(rf"AKIA[A-Z0-9]{{{ACCESS_MIN - 4},}}"), F.lit(0))))
-    found = texts.select(F.explode(values).alias("token"), F.lit(1).alias("label")).filter(F.length("token") >= ASSIGN_MIN)
+    text = null_safe(F.col(text_col))
+    values = F.concat(
+        F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)),
+        F.regexp_extract_all(text, F.lit(rf"AKIA[A-Z0-9]{{{ACCESS_MIN - 4},}}"), F.lit(0)))
+    words = F.regexp_extract_all(text, F.lit(r"(?<![A-Za-z0-9+/=])[A-Za-z]{8,}(?![A-Za-z0-9+/=])"), F.lit(0))
+
+    def labelled(tokens: Column, label: int) -> Column:
+        return F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(label).alias("label")))
+
+    found = (docs.select(F.explode(F.concat(labelled(F.filter(values, lambda t: F.length(t) >= ASSIGN_MIN), 1), labelled(words, 0))).alias("t"))
+             .groupBy("t.token", "t.label").agg(F.count(F.lit(1)).alias("n")))
+    word = F.col("token")
+    written = F.when(F.col("label") == 1, F.array(word)).otherwise(F.array(
+        word, F.upper(word), F.concat_ws("_", F.lower(word), F.lower(word)),
+        F.concat_ws("-", F.initcap(word), word), F.concat_ws("/", word, word)))
     digest = F.sha2(F.col("id").cast("string"), 256)
-    made = spark.range(randoms).select(F.explode(F.array(
+    made = spark.range(max(randoms, docs.count())).select(F.explode(F.array(
         F.regexp_replace(F.base64(F.unhex(digest)), "=", ""), F.upper(digest),
-        F.translate(F.base64(F.unhex(digest)), "+/=", "-_"))).alias("token"), F.lit(1).alias("label"))
-    words = texts.select(F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/=])[A-Za-z]{8,}(?![A-Za-z0-9+/=])"), F.lit(0)).alias("words"))
-    plain = words.select(F.explode("words").alias("word")).select(
-        F.explode(F.array("word", F.upper("word"), F.concat_ws("_", F.lower("word"), F.lower("word")),
-                          F.concat_ws("-", F.initcap("word"), "word"), F.concat_ws("/", "word", "word"))).alias("token"),
-        F.lit(0).alias("label"))
-    return found.unionByName(made).unionByName(plain)
+        F.translate(F.base64(F.unhex(digest)), "+/=", "-_"))).alias("token"), F.lit(1).alias("label"), F.lit(1).cast("long").alias("n"))
+    return found.select(F.explode(written).alias("token"), "label", "n").unionByName(made)
 
 
 def scan(docs: DataFrame, ratios: list[float], text_col: str = "text") -> DataFrame:

@@ -60,6 +60,20 @@ def test_token_ratio_matches_the_table(spark, secret_docs):
         assert r == pytest.approx(sum(ratios[a * size + b] for a, b in zip(codes, codes[1:])))
 
 
+def test_every_document_trains_the_model(spark):
+    rare = [(10_000 + i, "bqxjvzkwqpfm token=zqxZQX9/zqxZQ", "l") for i in range(7)] + [(None, "bqxjvzkwqpfm", "l")]
+    plain = spark.range(9000).select("id", F.lit("ordinary language").alias("text"), F.lit("l").alias("lang"))
+    docs = plain.union(spark.createDataFrame(rare, DOCS)).toDF("doc_id", "text", "lang")
+    samples = secret_scan.labelled_samples(docs)
+    seen = {(r["token"], r["label"]): r["n"] for r in samples.filter("label = 0 or length(token) = 13").collect()}
+    assert seen[("language", 0)] == seen[("ordinary", 0)] == 9000
+    assert seen[("bqxjvzkwqpfm", 0)] == seen[("BQXJVZKWQPFM", 0)] == 8 and seen[("zqxZQX9/zqxZQ", 1)] == 7
+    assert samples.filter("label = 1").agg(F.sum("n")).first()[0] == 3 * docs.count() + 7
+    spelt = samples.filter("label = 0").selectExpr("token", "label", "explode(sequence(1, n))").select("token", "label")
+    counted = samples.filter("label = 0")
+    assert secret_scan.train(spelt) == secret_scan.train(counted)
+
+
 def test_redaction(spark):
     rows = [(1, "x token=abcdefghijklmnop y", "l"), (2, "clean é text", "l"), (3, None, "l"), (4, "", "l"),
             (5, 'token = "' + "0f" * 20 + '"', "l")]
