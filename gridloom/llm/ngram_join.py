@@ -378,14 +378,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
     """``docs`` (same columns) with one document of each component, that with
-    the smallest id; of repeated rows one stays."""
+    the smallest id; of repeated rows one stays.  Rows without words are
+    copies of nothing and all stay, repeated ids or not."""
     found = near_duplicates(docs, id_col, text_col, k)
     gone = found.filter(~F.col("kept") & (F.col("copy") == 1)).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
 
     def drop(rows: DataFrame) -> DataFrame:
-        keyed = rows.withColumn("_text_key", F.xxhash64(null_safe(F.col(text_col))))
+        worded = null_safe(F.col(text_col)).rlike(r"[^\x20\x09-\x0D]")
+        keyed = rows.filter(worded).withColumn("_text_key", F.xxhash64(null_safe(F.col(text_col))))
         left = keyed.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
                           & (F.col("_text_key") == F.col("_key")), "left_anti")
-        return left.dropDuplicates([id_col, "_text_key"])
+        return left.dropDuplicates([id_col, "_text_key"]).drop("_text_key").unionByName(rows.filter(~worded))
 
     return isolated(docs, (id_col, text_col), drop)

@@ -59,6 +59,14 @@ def test_ngram_join_repeated_rows_and_null_ids(spark):
                           ("5", 0, "5", True), ("None", 0, "None", True)])
 
 
+def test_rows_without_words_are_no_copies(spark):
+    rows = [(None, None, "a"), (None, None, "b"), (None, "", "a"), (7, "", "a"), (7, None, "a"), (7, " \t", "a"), (7, " \t", "b"),
+            (8, "one two", "a"), (8, "one two", "a"), (None, "one three", "a"), (None, "one three", "a")]
+    left = ngram_join.drop_near_duplicates(spark.createDataFrame(rows, DOCS)).collect()
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, left)) == sorted(map(key, rows[:8] + rows[9:10]))
+
+
 def test_drop_near_duplicates_keeps_columns_and_clean_rows(spark, texts):
     docs = spark.createDataFrame([(i, t, "en", i) for i, t in enumerate(texts)],
                                  "doc_id long, text string, kept string, node int")
