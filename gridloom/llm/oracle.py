@@ -67,5 +67,65 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
 """
 
+OP11 = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS x, coalesce(lang, '') AS part,
+                  coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS again FROM documents),
+w AS (SELECT *, regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+') AS words FROM t),
+m AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+cells AS (SELECT part, CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+                 + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+                 + CASE WHEN 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 3 * length(x) THEN 4 ELSE 0 END
+                 + CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN again THEN 16 ELSE 0 END AS mask,
+                 count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+          FROM w LEFT JOIN m ON m.doc_id = w.doc_id GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (SELECT p.c || q.c || r.c || s.c || u.c AS filter_order FROM l p, l q, l r, l s, l u
+      WHERE len(list_distinct([p.c, q.c, r.c, s.c, u.c])) = 5),
+st AS (SELECT filter_order, step, substr(filter_order, step, 1) AS letter,
+              1 << (ascii(substr(filter_order, step, 1)) - 65) AS bit,
+              CAST(list_sum([0] || [1 << (ascii(substr(filter_order, CAST(i AS INT), 1)) - 65) FOR i IN range(1, step)]) AS INT) AS before
+       FROM o, (SELECT CAST(unnest(range(1, 6)) AS INT) AS step)),
+r AS (SELECT part, filter_order, step, letter,
+        sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN mask & bit > 0 AND mask & before > 0 THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM cells, st GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM r
+"""
+
+# crc32 of the decimal id, bit by bit, as DuckDB has no such function
+_CRC = """xor(list_reduce(CAST([4294967295] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)) AS BIGINT[]),
+       lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+OP13 = f"""
+WITH t AS (SELECT conv_id, turn, CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '') AS k,
+                  length(coalesce(text, '')) AS chars FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, CAST({_CRC} % 6 AS INT) AS h, list({{'k': md5(k), 'n': chars}} ORDER BY turn NULLS FIRST, md5(k)) AS ts
+      FROM t GROUP BY conv_id),
+r AS (SELECT a.conv_id, coalesce(b.ts[1:a.h], []) || a.ts[a.h + 1:] AS ts
+      FROM c a LEFT JOIN c b ON b.conv_id = a.conv_id - a.conv_id % 100),
+p AS (SELECT conv_id, d, len(ts) AS total, CASE WHEN d > 0 THEN ts[d].n ELSE 0 END AS chars,
+             md5(array_to_string([x.k FOR x IN ts[1:d]], ',')) AS node,
+             CASE WHEN d > 0 THEN md5(array_to_string([x.k FOR x IN ts[1:d - 1]], ',')) END AS up
+      FROM (SELECT conv_id, ts, CAST(unnest(range(0, len(ts) + 1)) AS INT) AS d FROM r)),
+n AS (SELECT node, d, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+             max(total) = d AS leaf, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE total = d), '') AS ends
+      FROM p GROUP BY node, d),
+k AS (SELECT up, count(*) AS n_children FROM n GROUP BY up),
+below AS (SELECT p.node, count(*) FILTER (WHERE n.leaf) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved
+          FROM n JOIN p ON p.conv_id = n.conv_id AND p.d <= n.d GROUP BY p.node)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+       below.n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN below ON below.node = n.node LEFT JOIN k ON k.up = n.node LEFT JOIN n u ON u.node = n.up
+"""
+
 ORACLE: dict[str, str] = {"op2_ngram_join": OP2, "op8_decontamination": OP8,
-                          "op7_warc": OP7, "op9_url_filter": OP9}
+                          "op7_warc": OP7, "op9_url_filter": OP9, "op11_filter_audit": OP11,
+                          "op13_prefix_trie": OP13}

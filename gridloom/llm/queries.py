@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat_repair, decontam, fingerprint, mixing, ngram_join, secret_scan, suffix_dedup, toxicity, url_filter, warc
+from gridloom.llm import (
+    chat_repair, decontam, filter_audit, fingerprint, mixing, ngram_join, prefix_trie, secret_scan, suffix_dedup, toxicity,
+    url_filter, warc,
+)
 from gridloom.llm.common import store
 from gridloom.sources.tables import table
 
@@ -78,6 +81,14 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprint": op1_fingerprint,
     "op2_ngram_join": op2_ngram_join,
@@ -89,4 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
+    "op11_filter_audit": op11_filter_audit,
+    "op13_prefix_trie": op13_prefix_trie,
 }

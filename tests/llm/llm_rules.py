@@ -2,8 +2,11 @@
 
 import hashlib
 import heapq
+import math
 import re
+import zlib
 from collections import Counter
+from itertools import permutations
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -109,3 +112,59 @@ def repair_cost(roles, merge=1.0, insert=2.0, relabel=3.0, unknown=1.0):
         if at < len(roles) and state != "start":
             heapq.heappush(queue, (cost + change(state) + merge, at + 1, state))
     return None
+
+
+def filter_steps(rows, labels):
+    """[(id, text, lang)], [(id, quality, toxic)] -> {(part, order, step): counts}, by applying every order."""
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    bad = {i for i, _, t in labels if t == 1 and i is not None}
+    first = {}
+    for i, text, _ in rows:
+        if i is not None:
+            first[text or ""] = min(first.get(text or "", i), i)
+    docs = []
+    for i, text, lang in rows:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        fails = {c for c, f in zip("ABCDE", (
+            len(words) < 200, 100 * len(set(words)) < 50 * len(words), 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+            re.search(r"[#$%&*|]", text), i is not None and i > first[text])) if f}
+        docs.append((lang or "", fails, i in good, i in bad))
+    out, shares = {}, Counter()
+    for part in {d[0] for d in docs}:
+        for order in permutations("ABCDE"):
+            left = [d for d in docs if d[0] == part]
+            for step, c in enumerate(order, 1):
+                gone = [d for d in left if c in d[1]]
+                earlier = [d for d in docs if d[0] == part and c in d[1] and d[1] & set(order[:step - 1])]
+                left = [d for d in left if c not in d[1]]
+                shares[part, c] += len(gone)
+                out[part, "".join(order), step] = [len(left), len(gone), len(earlier), sum(d[0] == part and d[1] == {c} for d in docs),
+                                                   sum(d[2] for d in gone), sum(d[3] for d in gone)]
+    return {k: (*v, shares[k[0], k[1][k[2] - 1]]) for k, v in out.items()}
+
+
+def trie_nodes(convs):
+    """{id: [(role, text)]} -> {(smallest member, depth): (parent, members, children, leaves, saved, sha256 of the ends)}."""
+    nodes = {}
+    for c in sorted(convs):
+        for d in range(len(convs[c]) + 1):
+            nodes.setdefault(tuple(convs[c][:d]), []).append(c)
+    out = {}
+    for path, members in nodes.items():
+        below = [p for p in nodes if p[:len(path)] == path]
+        leaves = sum(not any(len(q) == len(p) + 1 and q[:len(p)] == p for q in below) for p in below)
+        saved = sum((len(nodes[p]) - 1) * len(p[-1][1]) for p in below if p)
+        ends = ",".join(str(c) for c in members if len(convs[c]) == len(path))
+        out[members[0], len(path)] = (nodes[path[:-1]][0] if path else None, len(members), sum(len(p) == len(path) + 1 for p in below),
+                                      leaves, saved, hashlib.sha256(ends.encode()).hexdigest())
+    return out
+
+
+def rebuilt(rows):
+    """[(conv, turn, role, text)] of distinct turns -> {conv: rebuilt turns}."""
+    own = {}
+    for c, turn, role, text in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        own.setdefault(c, []).append((role or "", text or ""))
+    h = {c: zlib.crc32(str(c).encode()) % 6 for c in own}
+    return {c: own.get(c - int(math.fmod(c, 100)), [])[:h[c]] + own[c][h[c]:] for c in own}

@@ -263,7 +263,7 @@ def test_pipeline_of_odd_rows(spark):
 
 def test_every_operator_is_registered():
     known = entry.queries()
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(queries.QUERIES) | {"pipeline"} <= set(known)
 
 
@@ -280,6 +280,11 @@ COLUMNS = {
                             "items_sha256": "string", "contaminated": "boolean"},
     "op9_url_filter": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
     "op10_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op11_filter_audit": {"part": "string", "filter_order": "string", "step": "int", "kept": "bigint", "removed": "bigint",
+                          "redundant": "bigint", "unique_fails": "bigint", "good_lost": "bigint", "toxic_lost": "bigint", "shapley": "bigint"},
+    "op12_language_mixture": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
+    "op13_prefix_trie": {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint", "n_children": "bigint",
+                         "n_leaves": "bigint", "saved_tokens": "bigint", "ends_sha256": "string"},
 }
 
 
