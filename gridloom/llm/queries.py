@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import (
-    chat_repair, decontam, filter_audit, fingerprint, mixing, ngram_join, prefix_trie, secret_scan, suffix_dedup, toxicity,
-    url_filter, warc,
+    chat_repair, decontam, filter_audit, fingerprint, language_mixture, mixing, ngram_join, prefix_trie, secret_scan,
+    suffix_dedup, toxicity, url_filter, warc,
 )
 from gridloom.llm.common import store
 from gridloom.sources.tables import table
@@ -85,6 +85,12 @@ def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op12_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = language_mixture.predict(docs.select("doc_id", "text"), language_mixture.learn(docs))
+    return found.select("doc_id", language_mixture.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(table(spark, sf, "conversations"))
 
@@ -101,5 +107,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
     "op11_filter_audit": op11_filter_audit,
+    "op12_language_mixture": op12_language_mixture,
     "op13_prefix_trie": op13_prefix_trie,
 }
