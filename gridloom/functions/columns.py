@@ -163,15 +163,10 @@ def is_text(dtype: DataType) -> bool:
 
 def default_group_keys(schema: StructType, ts_col: str | None,
                        extra: Sequence[str] = ("upgrade",)) -> list[str]:
-    """String columns, plus the timestamp, plus ``upgrade`` when present."""
-    keys = [f.name for f in schema.fields if is_text(f.dataType)]
-    if ts_col and ts_col not in keys:
-        keys.append(ts_col)
-    names = {f.name for f in schema.fields}
-    for e in extra:
-        if e in names and e not in keys:
-            keys.append(e)
-    return keys
+    """The key fields in schema order: every text field, and those that go by
+    the timestamp's name or one of ``extra`` whatever their type."""
+    by_name = {ts_col, *extra}
+    return [f.name for f in schema.fields if is_text(f.dataType) or f.name in by_name]
 
 
 # Sink type normalisation: the types an extract table accepts.

@@ -131,3 +131,9 @@ def exact_sum(col: Column | str, scale: int | None) -> Column:
 def not_nan(col: Column) -> Column:
     """A floating column with NaN as null (a missing measure)."""
     return F.when(~F.isnan(col), col)
+
+
+def plain_path(path: Column) -> Column:
+    """A path of ``_metadata.file_path``, which is URL-encoded, as listings
+    spell it."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))

@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.codes import county_code_to_state
 from gridloom.functions.columns import (
-    MeasureRules, default_group_keys, find_building_type_column,
-    find_timestamp_column, q,
+    ELECTRICITY_PREFIX, EXCLUDED_SUBSTRING, OUTPUT_PREFIX, MeasureRules, classify_wide, default_group_keys,
+    end_use_label, find_building_type_column, find_timestamp_column, q,
 )
 from gridloom.functions.scalars import exact_sum, not_nan
 from gridloom.functions.timefns import ceil_to, trunc_to
+from gridloom.operators.reshape import melt_end_uses, normalise_allow_list
 
 
 def _drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -139,7 +140,7 @@ def merge_partials(parts: DataFrame, keys: Sequence[str], sums: Sequence[str],
     aggs = [exact_sum(q(c), sum_scale).alias(c) for c in sums]
     out = parts.groupBy(*[F.col(q(k)) for k in keys]).agg(*aggs)
     for name, (s_col, n_col) in (means or {}).items():
-        out = out.withColumn(name, F.col(q(s_col)) / F.col(q(n_col)))
+        out = out.withColumn(name, F.try_divide(F.col(q(s_col)), F.col(q(n_col))))  # no value: null
     return out
 
 
@@ -235,65 +236,103 @@ def melt_rollup(df: DataFrame, end_uses=None, unit: str | None = "hour", by_buil
     the unpivot only expands the final aggregates.  End-use columns sharing
     a label are summed column-wise before the melt.
     """
-    from gridloom.functions.columns import (
-        ELECTRICITY_PREFIX, classify_wide, end_use_label, q as _q,
-    )
-    from gridloom.operators.reshape import melt_end_uses, normalise_allow_list
-
     label = label or end_use_label
-    layout = classify_wide(df.columns, value_prefix=value_prefix or ELECTRICITY_PREFIX,
-                           drop_prefix=drop_prefix, exclude_substring=exclude_substring,
-                           value_columns=value_columns)
-    allow = normalise_allow_list(end_uses)
-    pairs = [(c, label(c)) for c in layout.values]
-    if allow is not None:
-        pairs = [(c, lab) for c, lab in pairs if lab.lower() in allow]
+    layout, pairs = _end_use_columns(df.columns, end_uses, label, value_prefix, drop_prefix, exclude_substring, value_columns)
     ts = ts_col or find_timestamp_column(df.columns)
-    melt_kw = dict(label=label, value_prefix=value_prefix or ELECTRICITY_PREFIX, drop_prefix=drop_prefix,
-                   exclude_substring=exclude_substring, var_name=var_name, value_name=value_name)
     if unit is None or ts is None or not pairs:
-        long = melt_end_uses(df.select(*[F.col(_q(c)) for c in layout.ids + [p for p, _ in pairs]]),
-                             end_uses=end_uses, value_columns=[p for p, _ in pairs], **melt_kw)
+        long = melt_end_uses(df.select(*[F.col(q(c)) for c in layout.ids + [p for p, _ in pairs]]),
+                             end_uses=end_uses, value_columns=[p for p, _ in pairs], label=label,
+                             value_prefix=value_prefix or ELECTRICITY_PREFIX, drop_prefix=drop_prefix,
+                             exclude_substring=exclude_substring, var_name=var_name, value_name=value_name)
         return long if unit is None or ts is None else long_end_use(
             long, unit=unit, by_building_type=by_building_type, ts_col=ts,
             building_type_col=building_type_col, rules=rules, sum_scale=sum_scale)
-
-    ids = df.select(*[F.col(_q(c)) for c in layout.ids])
-    keys1 = [k for k in default_group_keys(ids.schema, ts)]
-    id_energy, pop = rules.split(layout.ids, keys1)
-    wide = bucket_time(df.select(*[F.col(_q(c)) for c in layout.ids + [p for p, _ in pairs]]), unit, ts)
-    slots = [f"_v{i}" for i in range(len(pairs))]
-    aggs = [exact_sum(_q(c), sum_scale).alias(s) for (c, _), s in zip(pairs, slots)]
-    aggs += [exact_sum(_q(c), sum_scale).alias(c) for c in id_energy]
-    aggs += [F.avg(not_nan(F.col(_q(c)))).alias(c) for c in pop]
-    out = _drop_null_keys(wide, keys1).groupBy(*[F.col(_q(k)) for k in keys1]).agg(*aggs)
-    keys = keys1
+    keys, id_energy, pop = _roles(df, layout.ids, ts, rules)
+    values = [c for c, _ in pairs] + id_energy
+    wide = bucket_time(df.select(*[F.col(q(c)) for c in layout.ids + [p for p, _ in pairs]]), unit, ts)
+    aggs = [exact_sum(q(c), sum_scale).alias(c) for c in values]
+    aggs += [F.avg(not_nan(F.col(q(c)))).alias(c) for c in pop]
+    out = _drop_null_keys(wide, keys).groupBy(*[F.col(q(k)) for k in keys]).agg(*aggs)
     bt = building_type_col or find_building_type_column(layout.ids)
-    if not by_building_type and bt is not None and bt in keys1:
-        keys = [k for k in keys1 if k != bt]
-        aggs2 = [exact_sum(s, sum_scale).alias(s) for s in slots]
-        aggs2 += [exact_sum(_q(c), sum_scale).alias(c) for c in id_energy]
-        aggs2 += [exact_sum(_q(c), None).alias(c) for c in pop]
-        out = out.groupBy(*[F.col(_q(k)) for k in keys]).agg(*aggs2)
+    return _melt_totals(out, keys, pairs, id_energy, pop, None if by_building_type else bt, sum_scale, var_name, value_name)
+
+
+def _end_use_columns(columns, end_uses, label, value_prefix, drop_prefix, exclude_substring, value_columns):
+    """The column layout, and (column, label) of the allowed end uses."""
+    layout = classify_wide(columns, value_prefix=value_prefix or ELECTRICITY_PREFIX, drop_prefix=drop_prefix,
+                           exclude_substring=exclude_substring, value_columns=value_columns)
+    allow = normalise_allow_list(end_uses)
+    return layout, [(c, label(c)) for c in layout.values if allow is None or label(c).lower() in allow]
+
+
+def _roles(df: DataFrame, ids: Sequence[str], ts: str, rules: MeasureRules) -> tuple[list[str], list[str], list[str]]:
+    """(keys, energy, population) among the id columns."""
+    keys = default_group_keys(df.select(*[F.col(q(c)) for c in ids]).schema, ts)
+    return (keys, *rules.split(ids, keys))
+
+
+def _melt_totals(out: DataFrame, keys: list[str], pairs: list[tuple[str, str]], id_energy: list[str], pop: list[str],
+                 across: str | None, sum_scale: int | None, var_name: str, value_name: str) -> DataFrame:
+    """Wide period totals, summed over the key ``across`` if there is one, and melted."""
+    if across in keys:
+        keys = [k for k in keys if k != across]
+        aggs = [exact_sum(q(c), sum_scale).alias(c) for c in [c for c, _ in pairs] + id_energy]
+        aggs += [exact_sum(q(c), None).alias(c) for c in pop]
+        out = out.groupBy(*[F.col(q(k)) for k in keys]).agg(*aggs)
     # one column per distinct label (duplicates summed), then the melt
     by_label: dict[str, list[str]] = {}
-    for (_, lab), s in zip(pairs, slots):
-        by_label.setdefault(lab, []).append(s)
-    summed = []
-    for i, (lab, cols) in enumerate(by_label.items()):
-        expr = F.col(cols[0])
-        for c in cols[1:]:
-            expr = expr + F.col(c)
-        summed.append(expr.alias(f"_l{i}"))
-    labelled = out.select(*[F.col(_q(k)) for k in keys + id_energy + pop], *summed)
-    names = list(by_label)
-    long = labelled.unpivot([F.col(_q(k)) for k in keys + id_energy + pop],
-                            [F.col(f"_l{i}") for i in range(len(names))], "_slot", value_name)
-    lab_map = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(f"_l{i}"), F.lit(n))])
+    for c, lab in pairs:
+        by_label.setdefault(lab, []).append(c)
+    names, kept = list(by_label), [F.col(q(c)) for c in keys + id_energy + pop]
+    summed = [sum((F.col(q(c)) for c in cols[1:]), F.col(q(cols[0]))).alias(f"_l{i}") for i, cols in enumerate(by_label.values())]
+    long = out.select(*kept, *summed).unpivot(kept, [F.col(f"_l{i}") for i in range(len(names))], "_slot", value_name)
+
+    def by_slot(values: Sequence) -> Column:
+        return F.element_at(F.create_map(*[x for i, v in enumerate(values) for x in (F.lit(f"_l{i}"), F.lit(v))]), F.col("_slot"))
+
     # melting first gives an id-side energy once per end-use column, so a
     # label shared by several columns holds it as often
-    times = F.element_at(F.create_map(*[x for i, n in enumerate(names)
-                                        for x in (F.lit(f"_l{i}"), F.lit(len(by_label[n])))]), F.col("_slot"))
-    return long.select(*[F.col(_q(k)) for k in keys], F.element_at(lab_map, F.col("_slot")).alias(var_name),
-                       F.col(_q(value_name)), *[(F.col(_q(c)) * times).alias(c) for c in id_energy],
-                       *[F.col(_q(c)) for c in pop])
+    times = by_slot([len(by_label[n]) for n in names])
+    return long.select(*[F.col(q(k)) for k in keys], by_slot(names).alias(var_name), F.col(q(value_name)),
+                       *[(F.col(q(c)) * times).alias(c) for c in id_energy], *[F.col(q(c)) for c in pop])
+
+
+#: Suffix of the column that counts the values behind a partial population sum.
+COUNT = "__n"
+
+
+def wide_partials(df: DataFrame, end_uses=None, unit: str = "hour", ts_col: str | None = None,
+                  rules: MeasureRules = MeasureRules(), sum_scale: int | None = None) -> DataFrame:
+    """The totals behind ``melt_rollup`` in a form that merges: per period and
+    keys (text columns, so a chunk's name is one) the sum of each end-use
+    column and each energy, and of population measures sum and count.  Columns
+    keep their names, so chunks with other end uses merge too."""
+    layout, pairs = _end_use_columns(df.columns, end_uses, end_use_label, None, OUTPUT_PREFIX, EXCLUDED_SUBSTRING, None)
+    ts = ts_col or find_timestamp_column(df.columns)
+    if ts is None:
+        raise KeyError("period totals need a timestamp column")
+    keys, id_energy, pop = _roles(df, layout.ids, ts, rules)
+    values = [c for c, _ in pairs] + id_energy
+    wide = bucket_time(df.select(*[F.col(q(c)) for c in keys + values + pop]), unit, ts)
+    aggs = [exact_sum(q(c), sum_scale).alias(c) for c in values]
+    for c in pop:
+        aggs += [exact_sum(q(c), None).alias(c), F.count(not_nan(F.col(q(c)))).alias(c + COUNT)]
+    return _drop_null_keys(wide, keys).groupBy(*[F.col(q(k)) for k in keys]).agg(*aggs or [F.lit(0).alias(COUNT)])
+
+
+def merge_wide_partials(parts: DataFrame, by_building_type: bool = False, end_uses=None, ignore: Sequence[str] = ("chunk",),
+                        ts_col: str | None = None, building_type_col: str | None = None,
+                        rules: MeasureRules = MeasureRules(), sum_scale: int | None = None,
+                        var_name: str = "end_use", value_name: str = "kWh") -> DataFrame:
+    """The long end-use table from ``wide_partials`` of any number of chunks:
+    equals ``melt_rollup`` over all their rows."""
+    layout, pairs = _end_use_columns([c for c in parts.columns if c not in ignore], end_uses, end_use_label, None,
+                                     OUTPUT_PREFIX, EXCLUDED_SUBSTRING, None)
+    ids = [c for c in layout.ids if not c.endswith(COUNT)]
+    keys, id_energy, pop = _roles(parts, ids, ts_col or find_timestamp_column(ids), rules)
+    if not pairs:
+        return melt_end_uses(parts.select(*[F.col(q(c)) for c in ids]), value_columns=[], var_name=var_name, value_name=value_name)
+    merged = merge_partials(parts, keys, [c for c, _ in pairs] + id_energy + pop + [p + COUNT for p in pop],
+                            {p: (p, p + COUNT) for p in pop}, sum_scale)
+    bt = building_type_col or find_building_type_column(ids)
+    return _melt_totals(merged, keys, pairs, id_energy, pop, None if by_building_type else bt, sum_scale, var_name, value_name)

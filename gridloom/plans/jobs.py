@@ -17,9 +17,12 @@ from gridloom.operators.diagnostics import (
     collect_members, count_histogram, drill_rollup, top_k_by_count, validity_report,
 )
 from gridloom.operators.joins import key_audit
+from gridloom.operators.ledger import ChunkLedger, folder_below, folder_versions
 from gridloom.operators.timeseries import (
-    melt_rollup, month_hour_profile, share_of_total, state_rollup, sum_by_truncated_time,
+    melt_rollup, merge_wide_partials, month_hour_profile, share_of_total, state_rollup, sum_by_truncated_time,
+    wide_partials,
 )
+from gridloom.session import materialize
 from gridloom.sinks import layout, writers
 from gridloom.sources import files
 from gridloom.sources.census import read_county_reference, read_tract_crosswalk
@@ -45,6 +48,35 @@ def long_end_use_table(spark: SparkSession, input_dir: str, glob: str = "*.csv",
                        by_building_type=by_building_type)
 
 
+def long_end_use_incremental(spark: SparkSession, input_dir: str, ledger: str, glob: str = "*.csv",
+                             end_uses: Iterable[str] | None = None, by_building_type: bool = False,
+                             types: dict[str, str] | None = None, multi_line: bool = False) -> DataFrame:
+    """``long_end_use_table`` over a tree that grows: each folder is a chunk
+    whose partial aggregates are kept under ``ledger``, with headers and types.
+    Only folders with new, changed or removed files are read; a folder that is
+    gone is withdrawn.  The result equals one pass over the tree as it is."""
+    listing = files.list_files(spark, input_dir, glob)
+    folder = folder_below(F.col("path"), input_dir)
+    versions = materialize(folder_versions(listing, input_dir), "versions")
+    book = ChunkLedger(spark, f"{ledger}/partials")
+    todo = materialize(book.pending(versions), "pending")
+    new = [r["path"] for r in listing.join(todo, folder == todo["chunk"], "left_semi").select("path").collect()]
+    if new:
+        everything = len(new) == listing.count()
+        raw = files.read_csv_tree(spark, input_dir if everything else new, glob,
+                                  lambda names: measure_types(names) | (types or {}), multi_line=multi_line,
+                                  index=f"{ledger}/headers", with_path="_file")
+        raw = raw.withColumn("chunk", folder_below(F.col("_file"), input_dir)).drop("_file")
+        ts = find_timestamp_column(raw.columns)
+        if ts is not None:
+            raw = raw.withColumn(ts, F.to_timestamp(F.col(f"`{ts}`")).cast("timestamp_ntz"))
+        book.record(wide_partials(raw, end_uses=end_uses), todo)
+    gone = book.vanished(versions)
+    if not gone.isEmpty():
+        book.withdraw(materialize(gone, "gone"))
+    return merge_wide_partials(book.partials(), by_building_type, end_uses)
+
+
 def write_long_end_use(df: DataFrame, out: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     if fmt == "csv":
         writers.write_long_csv(df, out, partition_by)
@@ -53,13 +85,17 @@ def write_long_end_use(df: DataFrame, out: str, fmt: str = "parquet", partition_
 
 
 def gap_by_state(spark: SparkSession, input_dir: str, out_csv: str | None = None,
-                 states: Sequence[str] | None = None) -> DataFrame:
+                 states: Sequence[str] | None = None, single_file: bool = False, index: str | None = None) -> DataFrame:
     """County gap series -> one state series, sorted by state, timestamp;
-    written as one CSV when ``out_csv`` is given."""
-    series = files.read_county_series(spark, input_dir, GAP_ENERGY_COL)
+    written as CSV parts in that order when ``out_csv`` is given (a small
+    result is one part; ``single_file`` forces one).  ``index``: where the
+    headers of the series are kept between runs."""
+    series = files.read_county_series(spark, input_dir, GAP_ENERGY_COL, index=index)
     res = state_rollup(series, "county", GAP_ENERGY_COL, states=states)
-    if out_csv:
+    if out_csv and single_file:
         writers.write_sorted_csv(res.result, out_csv, ["State", "timestamp"])
+    elif out_csv:
+        writers.write_sorted_parts(res.result, out_csv, ["State", "timestamp"])
     return res.result
 
 
@@ -82,18 +118,20 @@ def county_groups(spark: SparkSession, samples_path: str, county_ref_path: str,
         # samples: one row per building, written by every task in parallel;
         # the mapping has one row per county and stays a single file
         writers.write_quoted_csv(res.rows, f"{out_dir}/grouped_samples", single_file=False)
-        writers.write_quoted_csv(res.mapping, f"{out_dir}/county_group_mapping")
-        writers.write_quoted_csv(res.violations, f"{out_dir}/zone_violations")
+        writers.write_quoted_csv(res.mapping, f"{out_dir}/county_group_mapping", single_file=True)
+        writers.write_quoted_csv(res.violations, f"{out_dir}/zone_violations", single_file=True)
     return res
 
 
 def annual_extract(spark: SparkSession, input_dir: str, out: str | None = None,
                    state: str | None = None, partition_by: Sequence[str] = (),
-                   write: bool = True) -> tuple[DataFrame, str]:
+                   write: bool = True, replace: bool = False) -> tuple[DataFrame, str]:
     """Partitioned Parquet tree -> one normalised extract (optionally one
     state, pruned at listing when ``state`` is a partition column).
 
-    Without ``out`` the extract goes to
+    ``replace`` writes into an extract that is there: only the partitions (of
+    ``partition_by``) that the new rows fall into are replaced, and with a
+    ``state`` that state's partition even when it has no rows left.  Without ``out`` the extract goes to
     ``<input>/<aggregation>/<version>/<name>[_<STATE>]`` inferred from the
     tree.  Returns the extract frame and its output path."""
     df = writers.normalise_for_sink(files.read_parquet_tree(spark, input_dir, state=state))
@@ -103,7 +141,10 @@ def annual_extract(spark: SparkSession, input_dir: str, out: str | None = None,
                  .orderBy("path").limit(1).collect())
         first_path = first[0]["path"] if first else None
         out = f"{layout.infer_output_folder(root, first_path)}/{layout.extract_name(root, state)}"
-    if write:
+    if write and replace:
+        covers = [(state,)] if state is not None and list(partition_by) == ["state"] else []
+        writers.replace_partitions(df, out, partition_by, covers)
+    elif write:
         writers.write_extract(df, out, partition_by)
     return df, out
 

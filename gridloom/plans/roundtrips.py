@@ -5,16 +5,19 @@ holds the DuckDB SQL of the same rows straight from the tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.codes import FIPS_TO_STATE, zfill
+from gridloom.functions.scalars import exact_sum
+from gridloom.functions.timefns import ceil_to
 from gridloom.operators import manifest as mf
+from gridloom.operators.ledger import ChunkLedger
 from gridloom.operators.timeseries import state_rollup
 from gridloom.plans import jobs
 from gridloom.plans.bases import documents_manifest
-from gridloom.plans.oracle import values, zf
-from gridloom.session import scratch_table_dir
+from gridloom.plans.oracle import ceil_ts, values, xsum, zf
+from gridloom.session import materialize, scratch_table_dir
 from gridloom.sinks import writers
 from gridloom.sources import files
 from gridloom.sources.census import read_county_reference, read_tract_crosswalk
@@ -103,11 +106,16 @@ def q_zone_lookup_read(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_sorted_csv_sink(spark: SparkSession, sf: str) -> DataFrame:
-    """One sorted CSV file: each row with its place in the file."""
+    """Sorted CSV parts: each row with its place in the whole, from the order
+    index and its place in its file."""
     out = scratch_table_dir(spark, "sorted")
-    writers.write_sorted_csv(table(spark, sf, "nation").select("n_name", "n_regionkey"), out, ["n_regionkey", "n_name"])
-    back = files.read_all_string(spark, out)  # one small file: one task, in file order
-    return back.select((F.monotonically_increasing_id() + 1).alias("place"), "n_name", "n_regionkey")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    index = writers.write_sorted_parts(orders, out, ["o_orderpriority", "o_custkey"], num_parts=8)
+    back = writers.read_sorted_parts(orders.schema, spark, out, name=F.col("_metadata.file_name"),
+                                     block=F.col("_metadata.file_block_start"), row=F.monotonically_increasing_id())
+    in_file = F.row_number().over(Window.partitionBy("name").orderBy("block", "row"))
+    placed = back.withColumn("in_file", in_file).join(index.select("name", "start"), "name")
+    return placed.select((F.col("start") + F.col("in_file")).alias("place"), *orders.columns)
 
 
 def q_long_csv_sink(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,10 +128,14 @@ def q_long_csv_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_quoted_csv_sink(spark: SparkSession, sf: str) -> DataFrame:
-    """The lines of the fully quoted CSV."""
+    """The lines of the fully quoted CSV parts; the header, which each part
+    has, once."""
     out = scratch_table_dir(spark, "quoted")
-    writers.write_quoted_csv(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey"), out)
-    return spark.read.text(out).select(F.col("value").alias("line"))
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    writers.write_quoted_csv(rows, out)
+    lines = spark.read.text(out).select(F.col("value").alias("line"))
+    header = F.col("line") == ",".join(f'"{c}"' for c in rows.columns)
+    return lines.where(~header).unionByName(lines.where(header).distinct())
 
 
 def q_failed_keys_sink(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,6 +147,61 @@ def q_failed_keys_sink(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(out).select(F.col("value").alias("key"))
 
 
+def q_partial_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Partials of four chunks of events in a ledger; one chunk is run again
+    with corrected values and one as it was, one is withdrawn and recorded
+    anew: the merged result equals one pass over the corrected events."""
+    ev = table(spark, sf, "events").select("ts", "event_type", "value", "user_id")
+    chunk = F.coalesce(F.pmod("user_id", F.lit(4)).cast("string"), F.lit("none"))
+    hour = ceil_to("hour", F.col("ts"), ev.schema["ts"].dataType)
+
+    def partials(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("chunk", hour.alias("ts"), "event_type").agg(
+            exact_sum("value", 2).alias("value"), F.count(F.lit(1)).alias("n_rows"))
+
+    book = ChunkLedger(spark, scratch_table_dir(spark, "ledger"))
+    first = ev.withColumn("chunk", chunk)
+    versions = first.select("chunk", F.lit("1").alias("version")).distinct()
+    book.record(partials(first), versions)
+    corrected = first.withColumn("value", F.when(F.col("chunk") == "2", 2 * F.col("value")).otherwise(F.col("value")))
+    now = versions.withColumn("version", F.when(F.col("chunk") == "2", F.lit("2")).otherwise(F.col("version")))
+    book.withdraw(now.where("chunk = '1'").select("chunk"))
+    todo = materialize(book.pending(now).unionByName(now.where("chunk = '3'")), "pending")  # 1, 2 and once more 3
+    book.record(partials(corrected.join(todo, "chunk", "left_semi")), todo)
+    merged = book.merged(["ts", "event_type"], ["value", "n_rows"], {"mean_value": ("value", "n_rows")}, sum_scale=2)
+    return merged.withColumn("n_rows", F.col("n_rows").cast("long"))
+
+
+def q_extract_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """An extract by nation, of which one nation is written anew with changed
+    rows and one is emptied; with the row ledger's count of each folder."""
+    out = scratch_table_dir(spark, "replace")
+    c = table(spark, sf, "customer").withColumn("nation", zfill(F.col("c_nationkey").cast("string"), 2))
+    writers.replace_partitions(c, out, ["nation"])
+    changed = c.where("nation = '03'").withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    writers.replace_partitions(changed, out, ["nation"], covers=[("03",), ("11",)])
+    held = writers.row_ledger(spark, out, ["nation"]).select("nation", "n_rows")
+    rows = files.read_parquet_tree(spark, out).select("c_custkey", "c_acctbal", "nation")
+    return rows.join(held, "nation", "full_outer").select("nation", "n_rows", "c_custkey", "c_acctbal")
+
+
+def q_csv_tree_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """Column types of a CSV tree with two headers, kept in an index: read
+    once, then again with a file more, of which only that file is looked at."""
+    root, index = scratch_table_dir(spark, "inferred"), scratch_table_dir(spark, "index")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_custkey",
+                                          (F.col("o_custkey") % 2 == 0).alias("even"))
+    part = F.col("o_orderkey") % 3
+    o.where(part == 0).write.option("header", True).csv(f"{root}/a")
+    o.where(part == 1).select(*reversed(o.columns)).write.option("header", True).csv(f"{root}/b")
+    files.read_csv_tree(spark, root, "*.csv", index=index)
+    # the keys of the third part are no numbers: their column turns to text
+    late = o.where(part == 2).withColumn("o_custkey", F.concat(F.lit("c"), F.col("o_custkey").cast("string")))
+    late.write.option("header", True).csv(f"{root}/c")
+    df = files.read_csv_tree(spark, root, "*.csv", index=index)
+    return df.withColumn("types", F.lit(",".join(f"{c}:{t}" for c, t in sorted(df.dtypes))))
+
+
 def q_manifest_county_version(spark: SparkSession, sf: str) -> DataFrame:
     """Selection of county objects of one version by state and county."""
     d = table(spark, sf, "documents").select("doc_id", "n_chars", "lang")
@@ -159,6 +226,9 @@ QUERIES = {
     "long_csv_sink": q_long_csv_sink,
     "quoted_csv_sink": q_quoted_csv_sink,
     "failed_keys_sink": q_failed_keys_sink,
+    "partial_ledger": q_partial_ledger,
+    "extract_replace": q_extract_replace,
+    "csv_tree_inferred": q_csv_tree_inferred,
     "manifest_county_version": q_manifest_county_version,
 }
 
@@ -183,12 +253,26 @@ SELECT {zf('c_nationkey', 2)} || {zf('c_custkey % 1000', 3)} AS county_fips5,
        'G' || {zf('c_nationkey', 2)} || {zf('c_custkey % 977', 6)} AS puma FROM customer""",
     "zone_lookup_read": f"SELECT {zf('s_suppkey', 5)} AS county_fips5, 'p' || s_nationkey AS \"R\" FROM supplier",
     "sorted_csv_sink": """
-SELECT row_number() OVER (ORDER BY n_regionkey, n_name) AS place, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey
-FROM nation""",
+SELECT row_number() OVER (ORDER BY o_orderpriority, o_custkey, o_orderkey, o_totalprice) AS place,
+       o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders""",
     "long_csv_sink": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
     "quoted_csv_sink": """
-SELECT '"' || s_suppkey || '","' || s_name || '","' || s_nationkey || '"' AS line FROM supplier
-UNION ALL SELECT '"s_suppkey","s_name","s_nationkey"'""",
+SELECT '"' || c_custkey || '","' || c_name || '","' || c_nationkey || '"' AS line FROM customer
+UNION ALL SELECT '"c_custkey","c_name","c_nationkey"'""",
+    "partial_ledger": f"""
+WITH e AS (SELECT ts, event_type, CASE WHEN user_id % 4 = 2 THEN 2 * value ELSE value END AS value FROM events)
+SELECT {ceil_ts('hour', 'ts')} AS ts, event_type, {xsum('value')} AS value, count(*) AS n_rows,
+       {xsum('value')} / count(*) AS mean_value
+FROM e GROUP BY 1, 2""",
+    "extract_replace": f"""
+WITH c AS (SELECT {zf('c_nationkey', 2)} AS nation, c_custkey,
+                  CASE WHEN c_nationkey = 3 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer)
+SELECT nation, count(*) OVER (PARTITION BY nation) AS n_rows, c_custkey, c_acctbal FROM c WHERE nation <> '11'
+UNION ALL SELECT DISTINCT nation, 0, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE) FROM c WHERE nation = '11'""",
+    "csv_tree_inferred": """
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_custkey % 2 = 0 AS even,
+       CASE WHEN o_orderkey % 3 = 2 THEN 'c' ELSE '' END || o_custkey AS o_custkey,
+       'even:boolean,o_custkey:string,o_orderkey:bigint,o_orderstatus:string,o_totalprice:double' AS types FROM orders""",
     "failed_keys_sink": """
 WITH m AS (SELECT doc_id, CASE lang
       WHEN 'en' THEN 'timeseries/upgrade=' || doc_id % 3 || '/state=' || ['AL', 'CA', 'TX', 'NY'][1 + doc_id % 4] || '/' || source || '_' || doc_id || '.csv'

@@ -7,7 +7,6 @@ so codes such as ``01001`` keep their zeros.
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,16 +14,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gridloom.functions.codes import zfill
-from gridloom.functions.scalars import null_tokens_to_null
 from gridloom.functions.columns import q, resolve_column
+from gridloom.functions.scalars import null_tokens_to_null, plain_path
 from gridloom.operators.sets import union_by_name
+from gridloom.sources.headers import TRUE_FALSE, HeaderIndex, header_names, infer_text_types, list_files, literal_path  # noqa: F401
 
 
 def read_parquet_tree(spark: SparkSession, root: str, state: str | None = None,
-                      state_col: str = "state", merge_schema: bool = True) -> DataFrame:
+                      state_col: str = "state", merge_schema: bool = False) -> DataFrame:
     """A Hive-partitioned Parquet tree; ``k=v`` folders become string
     columns; non-Parquet files are skipped; an optional state filter is a
-    partition filter (pruned at listing) or a pushed row filter.
+    partition filter (pruned at listing) or a pushed row filter.  Columns are
+    those of one file; ``merge_schema`` reads every footer, for a tree whose
+    files differ in their columns.
 
     The partition columns are declared as text in the schema of the read, so
     no session setting is touched and codes keep their zeros.
@@ -60,104 +62,38 @@ def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
     return df.select(zfill(F.col("FIPS"), 5).alias("county_fips5"), F.col(q(zcol)).alias("R"))
 
 
-def _headers(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    """(path, header): the first line of every file, by a text scan that any
-    file system and compression Spark reads can serve."""
-    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(root)
-             .select("value", F.col("_metadata.file_path").alias("path"),
-                     F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at")))
-    return (lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
-            .select("path", F.regexp_replace("header", r"^\uFEFF|\r$", "").alias("header")))
+def _csv_frames(spark: SparkSession, root: str | Sequence[str], glob: str, index: HeaderIndex, multi_line: bool,
+                path_col: str) -> dict[str, DataFrame]:
+    """By header line: the rows of its files as text, with their path.
 
-
-def _csv_by_header(spark: SparkSession, root: str, glob: str, multi_line: bool = False,
-                   with_path: str | None = None) -> DataFrame:
-    """Every CSV file under ``root``, all columns text, matched by *name*.
-
-    Spark maps the columns of a file by position.  Files are therefore grouped
-    by header line; each group is read with its own header, which Spark
-    compares with every file's (``enforceSchema=false``), and the groups are
-    unioned by name.  With one header for all files the tree is read as it
-    is; path lists are used only where headers differ.  A row with too few or
-    too many fields fails the job; ``multi_line`` reads quoted line breaks.
+    Spark maps the columns of a file by position, so files are grouped by
+    header and each group is read with its own, which Spark compares with
+    every file's (``enforceSchema=false``).  With one header for all files the
+    tree is read as it is; path lists are used only where headers differ.  A
+    row with too few or too many fields fails the job; ``multi_line`` reads
+    quoted line breaks.
     """
-    headers = _headers(spark, root, glob)
-    distinct = [r["header"] for r in headers.select("header").distinct().collect()]
+    headers = index.headers()
+    distinct = sorted(r["header"] for r in headers.select("header").distinct().collect())
     if not distinct:
         raise FileNotFoundError(f"no files matching {glob!r} under {root}")
-    frames = []
-    for header in sorted(distinct):
-        names = next(csv.reader([header]))
-        schema = StructType([StructField(c, StringType()) for c in names])
+    frames = {}
+    for header in distinct:
+        schema = StructType([StructField(c, StringType()) for c in header_names(header)])
         reader = (spark.read.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
                   .option("columnPruning", False).option("multiLine", multi_line)
                   .option("escape", '"').schema(schema))
         if len(distinct) == 1:
-            df = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").csv(root)
+            df = (reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+                  .csv(root if isinstance(root, str) else list(root)))
         else:
             paths = headers.where(F.col("header") == F.lit(header)).select("path").orderBy("path")
-            df = reader.csv([r["path"] for r in paths.collect()])
-        if with_path:
-            df = df.withColumn(with_path, F.col("_metadata.file_path"))
-        frames.append(df)
-    return union_by_name(frames)
-
-
-def list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    """(path, length) of every file under ``root`` matching ``glob``,
-    recursively (the ``binaryFile`` source with the content column pruned)."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").load(root).select("path", "length"))
-
+            df = reader.csv([literal_path(r["path"]) for r in paths.collect()])
+        frames[header] = df.withColumn(path_col, F.col("_metadata.file_path"))
+    return frames
 
-_TRUE_FALSE = ["True", "False", "true", "false", "TRUE", "FALSE"]
 
-
-def infer_text_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:
-    """Type of each text column from its values, the way tabular readers
-    infer CSV columns: every non-missing value an integer -> ``bigint``,
-    a number -> ``double``, True/False -> ``boolean``, else ``string``; a
-    column with no value at all -> ``double``.  Missing-value spellings
-    (``NA``, ``None``, ``null``, ``NaN``, empty, ...) count as missing.
-
-    One distributed aggregate over all rows; the driver receives one row of
-    counts per column, bounded by the schema width.
-    """
-    cols = list(columns) if columns is not None else [
-        f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    if not cols:
-        return {}
-    # Tall form: one (column, value) row per cell via a single unpivot, the
-    # missing-value mapping applied once to the value column, then a
-    # small aggregate per column: the plan stays small whatever the width.
-    tall = (df.select(*[F.col(q(c)).alias(f"c{i}") for i, c in enumerate(cols)])
-            .unpivot([], [F.col(f"c{i}") for i in range(len(cols))], "c", "v")
-            .withColumn("v", null_tokens_to_null("v"))
-            .where(F.col("v").isNotNull()))
-    v = F.col("v")
-    # An integer pattern first: a failed string->bigint cast is costly per
-    # value, and And only evaluates the cast for integer-looking text.
-    is_int = v.rlike(r"^\s*[+-]?[0-9]+\s*$") & v.try_cast("bigint").isNotNull()
-    stats = (tall.groupBy("c")
-             .agg(F.count_if(~is_int).alias("i"),
-                  F.count_if(F.col("v").try_cast("double").isNull()).alias("d"),
-                  F.count_if(~F.col("v").isin(_TRUE_FALSE)).alias("b"))
-             .collect())
-    found = {int(r["c"][1:]): r for r in stats}
-    out = {}
-    for i, c in enumerate(cols):
-        r = found.get(i)
-        if r is None:
-            out[c] = "double"
-        elif r["i"] == 0:
-            out[c] = "bigint"
-        elif r["d"] == 0:
-            out[c] = "double"
-        elif r["b"] == 0:
-            out[c] = "boolean"
-        else:
-            out[c] = "string"
-    return out
+_PATH = "_path"
 
 
 def apply_text_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -171,47 +107,58 @@ def apply_text_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
             c = null_tokens_to_null(c)
             t = types.get(f.name, "string")
             if t != "string":
-                parsed = F.when(c.isin(_TRUE_FALSE), F.lower(c) == "true") if t == "boolean" else c.try_cast(t)
+                parsed = F.when(c.isin(*TRUE_FALSE), F.lower(c) == "true") if t == "boolean" else c.try_cast(t)
                 text = F.concat(F.lit(f"column {f.name}: not a {t}: "), c)
                 c = F.when(c.isNotNull() & parsed.isNull(), F.raise_error(text)).otherwise(parsed)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
-def read_csv_tree(spark: SparkSession, root: str, glob: str = "*.csv",
+def read_csv_tree(spark: SparkSession, root: str | Sequence[str], glob: str = "*.csv",
                   types: dict[str, str] | Callable[[list[str]], dict[str, str]] | None = None,
-                  infer: bool = True, multi_line: bool = False) -> DataFrame:
-    """All CSV files under ``root`` as one frame, columns matched by name
-    (``_csv_by_header``; missing columns null).
+                  infer: bool = True, multi_line: bool = False, index: str | None = None,
+                  with_path: str | None = None) -> DataFrame:
+    """All CSV files under ``root`` (a folder, or paths) as one frame, columns
+    matched by name (``_csv_frames``; missing columns null).
 
     Missing-value spellings become null.  ``types`` names the types of
     columns, as a dictionary or a rule from the column names; those of the
-    others are inferred from all their values (one more pass over the input)
-    unless ``infer`` is off, which leaves them text.
+    others are inferred from all their values unless ``infer`` is off, which
+    leaves them text.  Headers come from the heads of the files.  ``index``
+    names a folder in which headers and inferred types are kept, so that a
+    later read looks only at files that are new or changed; without it
+    inferring costs one pass over the files.  ``with_path`` adds the file's path.
     """
-    merged = _csv_by_header(spark, root, glob, multi_line)
-    known = dict(types(merged.columns) if callable(types) else types or {})
+    headers = HeaderIndex(spark, root, glob, index)
+    frames = _csv_frames(spark, root, glob, headers, multi_line, _PATH)
+    merged = union_by_name(list(frames.values()))
+    names = [c for c in merged.columns if c != _PATH]
+    known = dict(types(names) if callable(types) else types or {})
     if infer:
-        known.update(infer_text_types(merged, [c for c in merged.columns if c not in known]))
-    return apply_text_types(merged, known)
+        left = [c for c in names if c not in known]
+        known.update(headers.types(frames, left, _PATH) if index else infer_text_types(merged, left))
+    typed = apply_text_types(merged.select(*[F.col(q(c)) for c in names], *([_PATH] if with_path else [])), known)
+    return typed.withColumn(_PATH, plain_path(F.col(_PATH))).withColumnRenamed(_PATH, with_path) if with_path else typed
 
 
 def read_county_series(spark: SparkSession, root: str, value_col: str,
-                       glob: str = "*-gap.csv", partition: str = "county") -> DataFrame:
+                       glob: str = "*-gap.csv", partition: str = "county", index: str | None = None) -> DataFrame:
     """County time-series files ``.../county=<code>/<name>-gap.csv``.
 
     Only ``timestamp`` (kept as text) and ``value_col`` are kept, matched by
-    the name in each file's own header; the value is cast to double under ANSI rules, so a blank or
+    the name in each file's own header (``index``: where headers are kept, see
+    ``read_csv_tree``); the value is cast to double under ANSI rules, so a blank or
     non-numeric value fails the job as it should.  The code comes from the
     parent folder ``<partition>=<code>``; files in a folder without ``=``
     get a null code (and are routed aside by the rollup)."""
-    raw = _csv_by_header(spark, root, glob, with_path="_path").select("timestamp", F.col(q(value_col)), "_path")
-    parent = F.element_at(F.split(F.col("_path"), "/"), -2)
+    frames = _csv_frames(spark, root, glob, HeaderIndex(spark, root, glob, index), False, _PATH)
+    raw = union_by_name([f.select("timestamp", F.col(q(value_col)), _PATH) for f in frames.values()])
+    parent = F.element_at(F.split(F.col(_PATH), "/"), -2)
     code = F.when(parent.contains("="), F.split(parent, "=", 2).getItem(1))
     return raw.select(F.col("timestamp"),
                       F.col(q(value_col)).cast("double").alias(value_col),
                       code.alias(partition),
-                      F.col("_path").alias("source_path"))
+                      F.col(_PATH).alias("source_path"))
 
 
 def distinct_partition_values(paths: DataFrame, name: str, path_col: str = "path") -> DataFrame:
