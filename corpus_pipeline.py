@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import decontam, mixing, ngram_join, secret_scan, toxicity
-from gridloom.llm.common import store
+from gridloom.llm.common import collect_driver_garbage, store
 from gridloom.sources.tables import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -66,12 +66,21 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixing.mix(docs)
 
 
+def _fresh(stage: Stage) -> Stage:
+    """The stage, begun without what earlier ones left in the driver."""
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        collect_driver_garbage(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", toxicity_stage),
-    ("near_duplicates", near_duplicates_stage),
-    ("decontamination", decontamination_stage),
-    ("secrets", secrets_stage),
-    ("mixing", mixing_stage),
+    ("toxicity", _fresh(toxicity_stage)),
+    ("near_duplicates", _fresh(near_duplicates_stage)),
+    ("decontamination", _fresh(decontamination_stage)),
+    ("secrets", _fresh(secrets_stage)),
+    ("mixing", _fresh(mixing_stage)),
 ]
 
 #: Trained models and graph components have no SQL form; the tests hold the

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.session import scratch_table_dir
@@ -80,6 +80,13 @@ def release_memory() -> None:
         trim(0)
 
 
+def collect_driver_garbage(spark: SparkSession) -> None:
+    """Collect garbage in the driver's JVM, as Spark itself does every half
+    hour: only then does its cleaner drop the broadcasts, shuffles and plans of
+    what went before, and the heap shrinks."""
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective mixer of 64-bit words."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -7,16 +7,19 @@ trained jointly in numpy, so an unseen misspelling shares the vectors of the
 character n-grams it keeps.
 
 Training uses at most ``max_rows`` labelled rows (the documented bound of the
-sample, drawn by a hash of the id), inside one Spark task whose input is
-bounded by it.  The average and the softmax are linear up to the last step,
-so one pass needs only a scalar per subword, word and document: forward
-``logit(d) = mean over subwords of (E w)``, backward the same sums transposed.
+sample, drawn by a hash of the id).  The map tasks count their words; one task
+trains on those counts and hands back one number per embedding bucket, which
+is all that scoring needs.  The average and the softmax are linear up to the
+last step, so one pass needs only a scalar per subword, word and document:
+forward ``logit(d) = mean over subwords of (E w)``, backward the same sums
+transposed.
 
 Scoring maps over all rows without a shuffle: each batch dictionary-encodes
 its tokens, scores the distinct ones and sums per text.
 
 Edge cases: a null or empty text has no subwords and is scored by the bias
-alone, as is a text of punctuation only; equal texts have equal scores;
+alone, as is a text of punctuation only; ``reject`` keeps such rows, as there
+is nothing in them to reject; an empty table gives no rows; equal texts have equal scores;
 labels that are null are not used, and of several labels of one id the
 largest counts; without labelled rows, or with one class only, the model is
 the smoothed prior.  Texts of any length are scored whole.  Input columns
@@ -36,16 +39,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.common import isolated, release_memory
+from gridloom.llm.common import isolated, null_safe, release_memory, text_slices
 
 BUCKETS = 1 << 18
 DIM = 8
 NGRAMS = (3, 4, 5)
-MAX_ROWS = 6000
+MAX_ROWS = 12_000
 STEPS = 100
 SCALE = 60.0
 CACHE_WORDS = 60_000
 PART_WORDS, PART_TEXTS = 20_000, 500
+BAG_BYTES = 4 << 20
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -114,32 +118,47 @@ class Model(NamedTuple):
         """Per bucket: what it adds to the log-odds of class 1, times n."""
         return (self.embeddings @ (self.softmax[:, 1] - self.softmax[:, 0])) * np.float32(self.scale)
 
+    def weights(self) -> "Weights":
+        return Weights(self.subword_logits(), float(self.bias[1] - self.bias[0]))
+
     def scorer(self) -> "Scorer":
-        return Scorer(self.subword_logits(), float(self.bias[1] - self.bias[0]))
+        return Scorer(*self.weights())
+
+
+class Weights(NamedTuple):
+    """What scoring needs of a model: 4 bytes a bucket."""
+
+    logits: np.ndarray
+    bias: float
 
 
-def _word_bags(texts: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray, np.ndarray]:
-    """(subword ids of all distinct words, in parts of bounded size; and per
-    text and word: text, word, how often)."""
-    place: dict[str, int] = {}
-    docs, words, counts = [], [], []
+def word_bags(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Per text: its distinct words, and how often each occurs."""
+    words, counts = [], []
     for at in range(0, len(texts), PART_TEXTS):
-        tokens, token, owner = encode_tokens(texts.slice(at, PART_TEXTS))
-        normal = [normalise(t) for t in tokens]
+        part = texts.slice(at, PART_TEXTS)
+        tokens, token, owner = encode_tokens(part)
+        place: dict[str, int] = {}
         # punctuation alone is no word
-        known = np.array([place.setdefault(w, len(place)) if w else -1 for w in normal], dtype=np.int64)
+        known = np.array([place.setdefault(w, len(place)) if w else -1 for w in map(normalise, tokens)], dtype=np.int64)
         real = known[token] >= 0
         pair, count = np.unique((owner[real] << 32) + known[token[real]], return_counts=True)
-        docs.append((pair >> 32).astype(np.int32) + at)
-        words.append((pair & 0xFFFFFFFF).astype(np.int32))
-        counts.append(count.astype(np.float32))
-    listed = list(place)
-    parts = [subwords(listed[at:at + PART_WORDS]) for at in range(0, len(listed), PART_WORDS)]
-    return parts, *(np.concatenate(x) if x else np.zeros(0, np.int32) for x in (docs, words, counts))
+        ends = pa.array(np.searchsorted(pair >> 32, np.arange(len(part) + 1)), pa.int32())
+        listed = pa.array(list(place), pa.string())
+        words.append(pa.ListArray.from_arrays(ends, listed.take(pa.array(pair & 0xFFFFFFFF))))
+        counts.append(pa.ListArray.from_arrays(ends, pa.array(count, pa.int32())))
+    if not words:
+        return pa.array([], pa.list_(pa.string())), pa.array([], pa.list_(pa.int32()))
+    return pa.concat_arrays(words), pa.concat_arrays(counts)
+
+
+def train(texts: pa.Array, labels: np.ndarray, steps: int = STEPS, **options) -> Model:
+    """``train_bags`` of the words of ``texts``."""
+    return train_bags(*word_bags(texts), labels, steps, **options)
 
 
-def train(texts: pa.Array, labels: np.ndarray, steps: int = STEPS, seed: int = 7,
-          rate: float = 0.1, decay: float = 1e-6, balance: float = 0.4) -> Model:
+def train_bags(words: pa.Array, counts: pa.Array, labels: np.ndarray, steps: int = STEPS, seed: int = 7,
+               rate: float = 0.1, decay: float = 1e-6, balance: float = 0.4) -> Model:
     """Embeddings and softmax by full-batch Adam on log loss; ``balance`` is
     the power of the inverse class frequency that weighs a class."""
     rng = np.random.default_rng(seed)
@@ -151,9 +170,13 @@ def train(texts: pa.Array, labels: np.ndarray, steps: int = STEPS, seed: int = 7
     bias = np.log(np.array([1 - prior, prior], dtype=np.float32))
     if n_pos in (0, n_all):
         return Model(emb * 0, soft, bias, SCALE)
-    parts, doc, word, count = _word_bags(texts)
-    if not parts:
+    coded = words.flatten().dictionary_encode()
+    if not len(coded):
         return Model(emb * 0, soft, bias, SCALE)
+    listed, word = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    doc = np.repeat(np.arange(len(words), dtype=np.int32), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+    count = counts.flatten().to_numpy().astype(np.float32)
+    parts = [subwords(listed[at:at + PART_WORDS]) for at in range(0, len(listed), PART_WORDS)]
     n_words = sum(len(n) for _, n in parts)
     n_subs = np.concatenate([n for _, n in parts])
     total = np.maximum(np.bincount(doc, weights=count * n_subs[word], minlength=n_all), 1)
@@ -221,38 +244,55 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, steps: int = STEPS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, steps: int = STEPS) -> Weights:
     """Train on at most ``max_rows`` labelled rows that are not held out.
     Only the ids of the sample (bounded by ``max_rows``) are broadcast."""
     usable = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-            .groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # one row an id, whatever repeats
-            .select(F.lit(0).alias("model"), F.xxhash64("doc_id").alias("at"), "doc_id", "text", "toxic"))
+
+    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, "text", BAG_BYTES):
+            bags = word_bags(part.column(1))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *bags], ["doc_id", "toxic", "words", "counts"])
+        release_memory()
+
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", F.col("toxic").cast("int"))
+    bags = rows.mapInArrow(count_words, "doc_id long, toxic int, words array<string>, counts array<int>")
+    # one row an id, whatever repeats: the bag that comes first in order
+    bags = (bags.groupBy("doc_id", "toxic").agg(F.min(F.struct("words", "counts")).alias("bag"))
+            .select(F.lit(0).alias("model"), F.xxhash64("doc_id").alias("at"), "doc_id", "toxic", "bag.words", "bag.counts"))
 
     def learn(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("at", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
-        model = train(table["text"].combine_chunks(), table["toxic"].to_numpy(), steps)
+        table = table.sort_by([("at", "ascending"), ("doc_id", "ascending")])
+        found = train_bags(table["words"].combine_chunks(), table["counts"].combine_chunks(), table["toxic"].to_numpy(), steps).weights()
         release_memory()
-        return pa.table({"model": pa.array([model.to_bytes()], pa.binary())})
+        return pa.table({"logits": pa.array([found.logits.astype(np.float32).tobytes()], pa.binary()), "bias": pa.array([found.bias])})
 
-    found = rows.groupBy("model").applyInArrow(learn, "model binary").collect()
+    found = bags.groupBy("model").applyInArrow(learn, "logits binary, bias double").collect()
     if not found:
-        return train(pa.array([], pa.string()), np.zeros(0))
-    return Model.from_bytes(found[0]["model"])
+        return train(pa.array([], pa.string()), np.zeros(0)).weights()
+    return Weights(np.frombuffer(found[0]["logits"], np.float32), found[0]["bias"])
+
+
+#: A character that is in some word: no ASCII blank, no punctuation mark.
+_WORDLY = r"[^\x09-\x0D\x20!-/:-@\[-`{-~]"
 
 
+def reject(docs: DataFrame, weights: Weights, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """``docs`` (same columns) without the rows that score ``threshold`` or
+    more; rows without a word stay."""
+    def keep(rows: DataFrame) -> DataFrame:
+        wordless = ~null_safe(F.col(text_col)).rlike(_WORDLY)
+        return score(rows, weights, text_col).filter((F.col("score") < threshold) | wordless)
 
-def reject(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
-    """``docs`` (same columns) without the rows that score ``threshold`` or more."""
-    return isolated(docs, (text_col,), lambda rows: score(rows, model, text_col).filter(F.col("score") < threshold))
+    return isolated(docs, (text_col,), keep)
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, weights: Weights, text_col: str = "text") -> DataFrame:
     """``docs`` plus ``score``, the probability of class 1."""
     # fixed size: one number per bucket
-    shared = docs.sparkSession.sparkContext.broadcast((model.subword_logits(), float(model.bias[1] - model.bias[0])))
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(weights))
     docs = docs.drop("score")
     at, schema = docs.columns.index(text_col), T.StructType(docs.schema.fields + [T.StructField("score", T.DoubleType())])
 

@@ -249,12 +249,15 @@ def test_pipeline_of_odd_rows(spark):
     odd = table(spark, SF_SMALL, "documents").limit(3).withColumn("hits", F.lit(1)).withColumn("score", F.lit("s"))
     rows = odd.unionByName(odd.limit(1).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"),
                                                "lang", F.lit(None).cast("string").alias("source"), "n_chars", "hits", "score"))
-    for docs in (rows, rows.limit(0)):
-        n = docs.count()
+    long = odd.limit(1).withColumns({"doc_id": F.lit(10 ** 6), "text": F.concat(F.repeat(F.lit("abc déf "), 100_000), F.col("text"))})
+    tied = rows.unionByName(rows.limit(2)).unionByName(long)
+    for docs in (rows, rows.limit(0), tied):
+        n, wordless = docs.count(), docs.filter("text is null or text = ''").count()
         for name, stage in corpus_pipeline.STAGES:
             out = store(stage(spark, docs, SF_SMALL), f"odd-{name}")
             if name != "mixing":
                 assert out.columns == docs.columns
+                assert out.filter("text is null or text = ''").count() == wordless  # such rows stay in every filtering stage
                 docs = out
         assert docs.count() <= n
 

@@ -3,6 +3,7 @@
 import random
 import string
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from llm_rules import WORD, base_secrets, contamination, repair_cost
@@ -236,12 +237,52 @@ def test_toxicity_of_odd_texts(spark, toxic_docs):
     assert got[903] == got[0] == got[None]
     kept = toxicity.reject(docs, model)
     assert kept.columns == docs.columns and kept.filter("score <> 's'").count() == 0
-    assert kept.count() == sum(s < 0.5 for s in got.values())
+    # nothing can be rejected in a text without words, whatever the prior
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, s in got.items() if s < 0.5} | {900, 901, 902}
+    mostly = toxicity.fit(docs, labels.withColumn("toxic", (F.col("doc_id") % 10 > 0).cast("int")), steps=10)
+    assert toxicity.score(docs, mostly).filter("doc_id = 900").first()["score"] > 0.5
+    assert {900, 901, 902} <= {r["doc_id"] for r in toxicity.reject(docs, mostly).collect()}
     none = toxicity.fit(docs, labels.limit(0))
     assert toxicity.score(docs.limit(3), none).select("score").distinct().count() == 1
     assert toxicity.score(docs.limit(0), none).count() == 0
 
 
+def test_word_bags_count_every_word():
+    texts = ["a b a, !? B", None, "", "?", "é É x " * 400] + [f"w{i % 7} end" for i in range(1200)]
+    words, counts = toxicity.word_bags(pa.array(texts, pa.string()))
+    got = [dict(zip(w, c)) for w, c in zip(words.to_pylist(), counts.to_pylist())]
+    want = []
+    for t in texts:
+        n = {}
+        for w in (toxicity.normalise(x) for x in (t or "").split()):
+            if w:
+                n[w] = n.get(w, 0) + 1
+        want.append(n)
+    assert got == want
+
+
+def test_one_training_step_against_plain_gradients():
+    """Forward and backward pass of one Adam step, text by text."""
+    texts, labels = ["bad bad day", "nice day", "bad word", "x"], np.array([1, 0, 1, 0])
+    rng = np.random.default_rng(7)
+    emb = rng.normal(0, 0.1, (toxicity.BUCKETS, toxicity.DIM)).astype(np.float32)
+    soft = rng.normal(0, 0.3, (toxicity.DIM, 2)).astype(np.float32)
+    grad_e, grad_b = np.zeros_like(emb), 0.0
+    for t, y in zip(texts, labels):
+        ids = np.concatenate([toxicity.subwords([w])[0] for w in t.split()])
+        diff = soft[:, 1] - soft[:, 0]
+        p = 1 / (1 + np.exp(-emb[ids].mean(axis=0) @ diff * toxicity.SCALE))
+        for i in ids:
+            grad_e[i] += (p - y) * 0.5 / len(ids) * toxicity.SCALE * diff
+        grad_b += (p - y) * 0.5
+    model = toxicity.train(pa.array(texts), labels, steps=1, decay=0.0)
+    moved = np.abs(grad_e) > 1e-6
+    # the first step of Adam goes by the sign of the gradient
+    assert np.allclose((model.embeddings - emb)[moved], -0.1 * np.sign(grad_e)[moved], atol=1e-3)
+    assert np.allclose((model.embeddings - emb)[grad_e == 0], 0)
+    assert model.bias[1] == pytest.approx(-0.1 * np.sign(grad_b), abs=1e-3) == -model.bias[0]
+
+
 def test_subwords_do_not_depend_on_the_batch():
     words = ["idiot", "é", "", "a", "unbelievable"]
     ids, n = toxicity.subwords(words)
