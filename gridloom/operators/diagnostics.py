@@ -4,11 +4,14 @@ validity, shared-area neighbours, member lists and drill-path totals."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import q
+from gridloom.functions.scalars import exact_sum, not_nan
+from gridloom.operators.ranking import global_sequence
 
 
 def conditional_counts(df: DataFrame, counts: dict[str, Column],
@@ -69,20 +72,68 @@ def shared_area_neighbours(samples: DataFrame, member_value: str, member: str =
 
 
 def collect_members(frame: DataFrame, group: str, member: str, sep: str = ",",
-                    out: str = "members") -> DataFrame:
-    """Sorted distinct member list per group, as text.
-
-    Members are de-duplicated by the aggregate first, so the list per group
-    holds distinct members, not rows."""
+                    out: str = "members", page: int = 10_000) -> DataFrame:
+    """Sorted distinct members per group as text, in pages: (group, page,
+    members, n_members); a group's pages in order, joined by ``sep``, are its
+    list.
+
+    Members are numbered over ranges of (group, member), so neither a list nor
+    a task ever holds more than ``page`` members at once, whatever the group's
+    size.  Groups of at most ``page`` members have page 0 only."""
     distinct = frame.select(group, member).where(F.col(q(member)).isNotNull()).distinct()
-    return (distinct.groupBy(group)
+    at = global_sequence(distinct, [group, member], out="_at")
+    start = at.groupBy(F.col(q(group)).alias("_group")).agg(F.min("_at").alias("_start"))
+    paged = at.join(start, F.col(q(group)).eqNullSafe(F.col("_group"))).withColumn(
+        "page", F.floor((F.col("_at") - F.col("_start")) / page))
+    return (paged.groupBy(group, "page")
             .agg(F.array_join(F.sort_array(F.collect_list(F.col(q(member)))), sep).alias(out),
                  F.count(F.lit(1)).alias("n_members")))
 
 
-def drill_rollup(df: DataFrame, levels: Sequence[str], measures: dict[str, Column]) -> DataFrame:
+class Measure(NamedTuple):
+    """A measure whose state merges: ``count`` of rows, ``sum``, ``min``,
+    ``max`` or ``mean`` of a column (``scale``: decimals of an exact sum)."""
+
+    kind: str
+    column: str | None = None
+    scale: int | None = None
+
+    def states(self, name: str) -> list[Column]:
+        """Aggregates of rows."""
+        c = None if self.column is None else F.col(q(self.column))
+        if self.kind == "count":
+            return [F.count(F.lit(1)).alias(name)]
+        if self.kind in ("min", "max"):
+            return [getattr(F, self.kind)(c).alias(name)]
+        total = exact_sum(q(self.column), self.scale).alias(name)
+        if self.kind == "sum":
+            return [total]
+        if self.kind == "mean":
+            return [total, F.count(not_nan(c)).alias(f"{name} n")]
+        raise ValueError(f"unknown measure {self.kind!r}")
+
+    def merged(self, name: str) -> list[Column]:
+        """Aggregates of states."""
+        if self.kind in ("min", "max"):
+            return [getattr(F, self.kind)(F.col(q(name))).alias(name)]
+        if self.kind == "count":
+            return [F.sum(F.col(q(name))).alias(name)]
+        total = exact_sum(q(name), self.scale).alias(name)
+        return [total] if self.kind == "sum" else [total, F.sum(F.col(q(f"{name} n"))).alias(f"{name} n")]
+
+    def value(self, name: str) -> Column:
+        c = F.col(q(name))
+        return F.try_divide(c, F.col(q(f"{name} n"))).alias(name) if self.kind == "mean" else c
+
+
+def drill_rollup(df: DataFrame, levels: Sequence[str], measures: dict[str, Measure]) -> DataFrame:
     """Totals at every prefix of a drill path (ROLLUP), with ``g_<level>``
-    flags telling subtotal rows apart from null keys."""
-    return (df.rollup(*[F.col(q(c)) for c in levels])
-            .agg(*[m.alias(n) for n, m in measures.items()],
-                 *[F.grouping(F.col(q(c))).alias(f"g_{c}") for c in levels]))
+    flags telling subtotal rows apart from null keys.
+
+    Rows are aggregated to the finest cells first, and the roll-up merges the
+    states of cells, so only cells are multiplied by the levels, not rows."""
+    keys = [F.col(q(c)) for c in levels]
+    cells = df.groupBy(*keys).agg(*[s for n, m in measures.items() for s in m.states(n)])
+    rolled = cells.rollup(*keys).agg(*[s for n, m in measures.items() for s in m.merged(n)],
+                                     *[F.grouping(k).alias(f"g_{c}") for k, c in zip(keys, levels)])
+    return rolled.select(*keys, *[m.value(n) for n, m in measures.items()], *[F.col(q(f"g_{c}")) for c in levels])

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.codes import county_fips5
 from gridloom.functions.columns import q, require_columns
 from gridloom.operators.joins import anti_join
-from gridloom.operators.ranking import global_sequence, pick_per_group
+from gridloom.operators.ranking import pick_per_group, range_sequence
 from gridloom.session import materialize
 
 GROUP_PREFIX = "county_group_"
@@ -129,7 +129,7 @@ def assign_groups(samples: DataFrame, spec: GroupingSpec = GroupingSpec(),
     per_area = (chosen.join(first, s.member)
                 .groupBy(s.area)
                 .agg(F.min("_first").alias("_first"), F.count(F.lit(1)).alias("_size")))
-    numbered = global_sequence(per_area, [F.col("_first"), F.col(q(s.area))], out="_gid")
+    numbered = range_sequence(per_area, [F.col("_first"), F.col(q(s.area))], out="_gid")
     labels = (first.select(s.member)
               .join(chosen, s.member, "left")
               .join(numbered.select(s.area, "_gid", "_size"), s.area, "left"))
@@ -180,9 +180,9 @@ def split_by_zone(frame: DataFrame, member: str = "county", group: str = "county
     primary = pick_per_group(stats, [group], ["_zkey"], desc=["_n"], asc=["_zkey"])
     extra = stats.join(primary, [group, "_zkey"], "left_anti")
     ids = F.regexp_extract(F.col(q(group)), r"^county_group_(\d+)$", 1)
-    max_id = (level.select(F.max(F.when(ids != "", ids.cast("long")))).first()[0])
-    start = (max_id + 1) if max_id is not None else 0
-    renumbered = global_sequence(extra, [F.col(q(group)), -F.col("_n"), F.col("_zkey")], out="_nid", start=start)
+    above = level.select(F.max(F.when(ids != "", ids.cast("long"))) + 1).scalar()
+    start = F.coalesce(above, F.lit(0).cast("long"))
+    renumbered = range_sequence(extra, [F.col(q(group)), -F.col("_n"), F.col("_zkey")], out="_nid", start=start)
     moved = (grouped.join(renumbered.select(group, "_zkey", "_nid"), [group, "_zkey"])
              .select(member, F.concat(F.lit(GROUP_PREFIX), F.col("_nid").cast("string")).alias("_new")))
     return (frame.join(moved, member, "left")

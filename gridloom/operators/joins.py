@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import q
@@ -95,3 +95,33 @@ def split_hot_join(big: DataFrame, other: DataFrame, on: str, hot: Sequence, how
     last = F.when(is_hot, F.lit(buckets - 1)).otherwise(F.lit(0)).cast("long")
     copied = other.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     return salted.join(copied, [on, "_salt"], how).drop("_salt")
+
+
+def heavy_keys(df: DataFrame, on: str, share: float = 0.01, buckets: int = 1 << 16) -> list:
+    """The non-null keys that hold more than ``share`` of all rows, exactly;
+    fewer than 1 / ``share`` of them.
+
+    Two narrow passes over the key column.  The first counts rows by a hash of
+    the key in ``buckets`` cells, a sketch of fixed size per task: a heavy key
+    makes its cell heavy.  The second counts the keys of heavy cells only."""
+    key = F.col(q(on))
+    cell = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    held = df.where(key.isNotNull()).select(key.alias("key"), cell.alias("cell"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # over at most ``buckets`` rows
+    cells = held.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).withColumn("total", total)
+    heavy = cells.where(F.col("n") > share * F.col("total")).select("cell", "total").collect()
+    if not heavy:
+        return []
+    limit = share * heavy[0]["total"]
+    counts = held.where(F.col("cell").isin([r["cell"] for r in heavy])).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return sorted(r["key"] for r in counts.where(F.col("n") > limit).select("key").collect())
+
+
+def measured_hot_join(big: DataFrame, other: DataFrame, on: str, how: str = "inner", share: float = 0.01,
+                      buckets: int | None = None) -> DataFrame:
+    """``split_hot_join`` whose hot keys are found in ``big`` (``heavy_keys``).
+    A hot key is spread over as many tasks as the shuffle has partitions
+    unless ``buckets`` says otherwise."""
+    if buckets is None:
+        buckets = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return split_hot_join(big, other, on, heavy_keys(big, on, share), how, buckets)

@@ -7,6 +7,8 @@
   distributed: range-partition + sort, per-partition counts (one row per
   partition) and offsets.  No window without a partition clause, nothing
   on the driver.
+* ``range_sequence`` - the same in one plan with nothing stored between:
+  fixed range bounds, counts per range, rank in the range.
 * ``first_seen_ordinal`` - "numbered in order of first appearance" as the
   sequence over each item's first order key.
 """
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import q
@@ -82,13 +84,49 @@ def global_sequence(df: DataFrame, order: Sequence[Column | str], out: str = "se
             .drop("_pid", "_local", "_off"))
 
 
+def range_bounds(df: DataFrame, order: Sequence[Column | str], ranges: int, per_range: int = 50) -> list[Row]:
+    """Up to ``ranges - 1`` ascending cut points of ``order``, from a sample of
+    ``ranges * per_range`` rows: those with the least hash of their order key,
+    so the same rows always give the same bounds.  A bounded top-k, whose rows
+    alone reach the driver."""
+    key = F.struct(*[_col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    sample = df.select(key.alias("key")).orderBy(F.xxhash64("key"), "key").limit(ranges * per_range)
+    found = sample.agg(F.array_sort(F.collect_list("key")).alias("keys")).first()["keys"]
+    cuts = [found[len(found) * i // ranges] for i in range(1, ranges)] if found else []
+    return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
+
+
+def range_sequence(df: DataFrame, order: Sequence[Column | str], out: str = "seq", start: int | Column = 0,
+                   ranges: int = 64, keep_range: bool = False) -> DataFrame:
+    """``global_sequence`` as one plan, without storing anything between: rows
+    fall into ranges by fixed cut points, a row's number is the rows of earlier
+    ranges (a prefix sum over one count per range) plus its rank in its own.
+
+    For inputs that are cheap to read twice, as the counts are made beside the
+    ranks.  ``order`` should be a total order; with fewer distinct keys than
+    ranges, or equal keys, a range is as wide as its keys make it."""
+    cuts = range_bounds(df, order, ranges)
+    key = F.struct(*[_col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    fields = df.select(key.alias("key")).schema["key"].dataType.fields
+    bounds = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, fields)]) for cut in cuts]
+    ranged = df.withColumn("_range", F.size(F.filter(F.array(*bounds), lambda c: c <= key)) if bounds else F.lit(0))
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*[_col(c) for c in order]))
+    first = start if isinstance(start, Column) else F.lit(start)
+    numbered = (ranged.withColumn("_rank", rank).join(F.broadcast(offsets), "_range")
+                .withColumn(out, (F.col("_off") + F.col("_rank") - 1 + first).cast("long")).drop("_rank", "_off"))
+    return numbered if keep_range else numbered.drop("_range")
+
+
 def dense_ordinal(df: DataFrame, value: str, by: Sequence[Column | str] | None = None,
                   out: str = "ordinal", start: int = 0) -> DataFrame:
     """Dense rank of the distinct values of ``value`` (ordered by ``by``,
     default the value itself), ``start``-based; one row per distinct value."""
     distinct = df.select(_col(value).alias(value), *[_col(b).alias(f"_by{i}") for i, b in enumerate(by or [])]).distinct()
     keys = [F.col(f"_by{i}") for i in range(len(by or []))] + [F.col(q(value))]
-    return global_sequence(distinct, keys, out=out, start=start).drop(*[f"_by{i}" for i in range(len(by or []))])
+    return range_sequence(distinct, keys, out=out, start=start).drop(*[f"_by{i}" for i in range(len(by or []))])
 
 
 def first_seen_ordinal(df: DataFrame, item: str, order_col: str, out: str = "ordinal",
@@ -96,4 +134,4 @@ def first_seen_ordinal(df: DataFrame, item: str, order_col: str, out: str = "ord
     """Number the distinct ``item`` values 0.. in order of their first
     appearance (smallest ``order_col``), ties by the item itself."""
     first = df.where(_col(item).isNotNull()).groupBy(_col(item).alias(item)).agg(F.min(_col(order_col)).alias(first_col))
-    return global_sequence(first, [F.col(first_col), F.col(q(item))], out=out)
+    return range_sequence(first, [F.col(first_col), F.col(q(item))], out=out)

@@ -28,7 +28,7 @@ from gridloom.operators import diagnostics as diag
 from gridloom.operators import grouping as grp
 from gridloom.operators import manifest as mf
 from gridloom.operators.joins import (
-    anti_join, key_audit, lookup_join, route_by_lookup, semi_join,
+    anti_join, key_audit, lookup_join, measured_hot_join, route_by_lookup, semi_join,
 )
 from gridloom.operators.ranking import dense_ordinal, first_seen_ordinal, pick_per_group
 from gridloom.operators.reshape import melt_end_uses
@@ -37,6 +37,7 @@ from gridloom.operators.timeseries import (
     distinct_keys, long_end_use, melt_rollup, merge_partials, month_hour_profile,
     rollup_to_period, share_of_total, state_rollup, sum_by_truncated_time,
 )
+from gridloom.plans.jobs import group_diagnostics
 from gridloom.plans.bases import county_zone, documents_manifest, samples_b
 from gridloom.session import materialize
 from gridloom.sinks.writers import normalise_for_sink
@@ -181,8 +182,8 @@ def q_drill_rollup(spark: SparkSession, sf: str) -> DataFrame:
     dims = _nation_region(spark, sf).select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name")
     rows = lookup_join(cust, dims, "c_nationkey")
     out = diag.drill_rollup(rows, ["r_name", "n_name", "c_mktsegment"],
-                            {"n_customers": F.count(F.lit(1)),
-                             "total_acctbal": exact_sum("c_acctbal", 2)})
+                            {"n_customers": diag.Measure("count"), "total_acctbal": diag.Measure("sum", "c_acctbal", 2),
+                             "mean_acctbal": diag.Measure("mean", "c_acctbal", 2), "least_acctbal": diag.Measure("min", "c_acctbal")})
     for g in ("g_r_name", "g_n_name", "g_c_mktsegment"):
         out = out.withColumn(g, F.col(g).cast("int"))
     return out
@@ -349,9 +350,41 @@ def q_mapping_distinct(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_collect_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers by nation, as sorted lists in pages of 25."""
+    return diag.collect_members(table(spark, sf, "customer"), "c_nationkey", "c_custkey", page=25)
+
+
+def q_group_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, groups and members by kind of group, and members by their number
+    of areas."""
     b = samples_b(spark, sf)
-    rows = grp.attach_labels(b, grp.assign_groups(b))
-    return diag.collect_members(rows, "county_groups", "county")
+    rows = grp.attach_labels(b, grp.assign_groups(b)).withColumns(
+        {"state": F.substring("county", 1, 2), "county_fips5": F.col("county")})
+    found = group_diagnostics(rows)
+    areas = found["areas_per_member"].select(F.concat(F.lit("areas "), F.col("n_areas").cast("string")).alias("kind"),
+                                             F.lit(None).cast("long").alias("n_rows"), F.lit(None).cast("long").alias("n_groups"),
+                                             "n_members")
+    return found["by_kind"].unionByName(areas)
+
+
+def q_merge_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Every merge spec with both zones and the decision."""
+    split = grp.split_by_zone(_members_with_zone(spark, sf))
+    return grp.merge_groups(split, merge_specs(spark), order=["first_order"], spec_order="spec_order").report
+
+
+def q_zone_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups that span several zones before they are split."""
+    return grp.zone_violations(_members_with_zone(spark, sf))
+
+
+def q_hot_key_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items joined to parts, a third of them to one part: the hot key is
+    found by counting and its rows are spread."""
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_partkey")).alias("p_partkey"))
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")
+    return measured_hot_join(li, parts, "p_partkey", "left", share=0.05)
 
 
 # ---------------------------------------------------------------- ranking
@@ -609,6 +642,10 @@ QUERIES: dict[str, Query] = {
     "impute_missing": q_impute_missing,
     "mapping_distinct": q_mapping_distinct,
     "collect_members": q_collect_members,
+    "group_kinds": q_group_kinds,
+    "merge_report": q_merge_report,
+    "zone_violations": q_zone_violations,
+    "hot_key_join": q_hot_key_join,
     "group_label": q_group_label,
     "code_fallback": q_code_fallback,
     "compose_codes": q_compose_codes,

@@ -14,7 +14,7 @@ from gridloom.operators import grouping as grp
 from gridloom.operators import manifest as mf
 from gridloom.functions.scalars import last_token_label
 from gridloom.operators.diagnostics import (
-    collect_members, count_histogram, drill_rollup, top_k_by_count, validity_report,
+    Measure, collect_members, count_histogram, drill_rollup, top_k_by_count, validity_report,
 )
 from gridloom.operators.joins import key_audit
 from gridloom.operators.ledger import ChunkLedger, folder_below, folder_versions
@@ -207,7 +207,7 @@ def mapping_views(mapping: DataFrame, boundaries: DataFrame | None = None) -> di
     views = {
         "labelled": labelled,
         "members": collect_members(mapping, "county_groups", "county_fips5"),
-        "drill": drill_rollup(mapping, ["county_groups", "county_name", "state"], {"n_counties": F.count(F.lit(1))}),
+        "drill": drill_rollup(mapping, ["county_groups", "county_name", "state"], {"n_counties": Measure("count")}),
     }
     if boundaries is not None:
         views["key_audit"] = key_audit(mapping, boundaries, "county_fips5", "GEOID")

@@ -178,7 +178,8 @@ SELECT event_type, month, hour, value, round(value / sum(value) OVER (PARTITION
 
     "drill_rollup": f"""
 SELECT r.r_name, n.n_name, c.c_mktsegment, count(*) AS n_customers,
-       {xsum('c.c_acctbal')} AS total_acctbal,
+       {xsum('c.c_acctbal')} AS total_acctbal, {xsum('c.c_acctbal')} / count(*) AS mean_acctbal,
+       min(c.c_acctbal) AS least_acctbal,
        CAST(grouping(r.r_name) AS INTEGER) AS g_r_name,
        CAST(grouping(n.n_name) AS INTEGER) AS g_n_name,
        CAST(grouping(c.c_mktsegment) AS INTEGER) AS g_c_mktsegment
@@ -286,12 +287,42 @@ WITH {SPLIT}
 SELECT DISTINCT substr(county, 1, 3) AS state, county, 'County ' || substr(county, 2, 5) AS county_name,
        substr(county, 2, 5) AS county_fips5, R, county_groups FROM split""",
 
-    "collect_members": f"""
+    "collect_members": """
+SELECT c_nationkey, page, string_agg(CAST(c_custkey AS VARCHAR), ',' ORDER BY c_custkey) AS members, count(*) AS n_members
+FROM (SELECT c_nationkey, c_custkey, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 25 AS page FROM customer)
+GROUP BY c_nationkey, page""",
+
+    "group_kinds": f"""
+WITH {GROUPS},
+rows_ AS (SELECT b.county, b.puma, l.county_groups AS g FROM b LEFT JOIN labels l ON b.county = l.county),
+areas AS (SELECT county, count(DISTINCT puma) AS n FROM rows_ GROUP BY county)
+SELECT CASE WHEN starts_with(g, 'county_group_') THEN 'group' WHEN starts_with(g, 'independent_county_') THEN 'independent'
+            ELSE 'none' END AS kind, count(*) AS n_rows, count(DISTINCT g) AS n_groups, count(DISTINCT county) AS n_members
+FROM rows_ GROUP BY 1
+UNION ALL SELECT 'areas ' || n, NULL, NULL, count(*) FROM areas GROUP BY n""",
+
+    "merge_report": f"""
+WITH {SPLIT},
+gz AS (SELECT county_groups, R FROM (
+         SELECT county_groups, R, row_number() OVER (PARTITION BY county_groups ORDER BY bldgid, R) AS rn
+         FROM split WHERE R IS NOT NULL AND county_groups IS NOT NULL) WHERE rn = 1),
+specs AS (SELECT * FROM (VALUES {_SPEC_ROWS}) AS s(source_group, target_group, spec_order)),
+d AS (SELECT s.source_group, s.target_group, a.R AS source_zone, t.R AS target_zone,
+             s.source_group IN (SELECT county_groups FROM split WHERE county_groups IS NOT NULL) AS source_present,
+             a.R IS NOT DISTINCT FROM t.R AS merged
+      FROM specs s LEFT JOIN gz a ON s.source_group = a.county_groups LEFT JOIN gz t ON s.target_group = t.county_groups)
+SELECT *, CASE WHEN NOT merged THEN 'zone mismatch' WHEN NOT source_present THEN 'absent source' ELSE 'merged' END AS decision
+FROM d""",
+
+    "zone_violations": f"""
 WITH {GROUPS},
-rows_ AS (SELECT DISTINCT l.county_groups, b.county FROM b LEFT JOIN labels l ON b.county = l.county
-          WHERE b.county IS NOT NULL)
-SELECT county_groups, string_agg(county, ',' ORDER BY county) AS members, count(*) AS n_members
-FROM rows_ GROUP BY county_groups""",
+z AS (SELECT DISTINCT l.county_groups, {zone('l.county')} AS R FROM labels l)
+SELECT county_groups, count(R) AS n_zones, string_agg(R, ',' ORDER BY R) AS zones
+FROM z WHERE R IS NOT NULL GROUP BY county_groups HAVING count(R) > 1""",
+
+    "hot_key_join": """
+WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 7 ELSE l_partkey END AS k FROM lineitem)
+SELECT l_orderkey, l_linenumber, k AS p_partkey, p_name, p_retailprice FROM l LEFT JOIN part ON k = p_partkey""",
 
     "top1_tiebreak": """
 WITH c AS (SELECT c_nationkey, c_mktsegment, count(*) AS n_customers FROM customer GROUP BY 1, 2)

@@ -42,7 +42,8 @@ def q_county_series_read(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_table_dir(spark, "county_series")
     user = F.col("user_id") % 4
     code = F.element_at(F.array(*[F.lit(c) for c in SERIES_CODES]), (user + 1).cast("int"))
-    ev = table(spark, sf, "events").where(F.col("user_id").isNotNull() & F.col("value").isNotNull())
+    ev = table(spark, sf, "events").withColumn("value", F.coalesce("value", F.lit(0.0)))
+    code = F.coalesce(code, F.lit(SERIES_CODES[3]))  # no user: no known county
     rows = ev.select(F.date_format("ts", "yyyy-MM-dd HH:00:00").alias("timestamp"),
                      F.col("value").alias("kwh"), code.alias("county"), "event_id")
     (rows.where("event_id % 2 = 0").select("timestamp", "kwh", "county")
@@ -66,6 +67,16 @@ def q_annual_extract(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "state")
 
 
+def q_extract_inferred_folder(spark: SparkSession, sf: str) -> DataFrame:
+    """The extract of a state whose output folder is inferred from the tree."""
+    root = scratch_table_dir(spark, "inferred") + "/release"
+    (table(spark, sf, "customer").withColumn("state", zfill(F.col("c_nationkey").cast("string"), 2))
+     .write.partitionBy("state").parquet(f"{root}/by_state/basic"))
+    _, out = jobs.annual_extract(spark, root, state="11")
+    folder = F.lit(out.removeprefix(root))
+    return spark.read.parquet(out).select("c_custkey", "c_name", "state", folder.alias("folder"))
+
+
 def q_parquet_tree_read(spark: SparkSession, sf: str) -> DataFrame:
     """A partitioned tree whose codes stay text, all states."""
     root = scratch_table_dir(spark, "tree")
@@ -219,6 +230,7 @@ QUERIES = {
     "county_series_read": q_county_series_read,
     "parquet_tree_read": q_parquet_tree_read,
     "annual_extract": q_annual_extract,
+    "extract_inferred_folder": q_extract_inferred_folder,
     "county_reference_read": q_county_reference_read,
     "tract_crosswalk_read": q_tract_crosswalk_read,
     "zone_lookup_read": q_zone_lookup_read,
@@ -239,11 +251,13 @@ _KEY = """CASE WHEN lang = 'en' THEN 'r/basic/' ELSE 'r/full/' END
 ORACLE = {
     "csv_tree_roundtrip": "SELECT event_id, event_type, value FROM events",
     "county_series_read": """
-SELECT strftime(ts, '%Y-%m-%d %H:00:00') AS timestamp, CAST(sum(CAST(value AS DECIMAL(38,2))) AS DOUBLE) AS kwh,
+SELECT strftime(ts, '%Y-%m-%d %H:00:00') AS timestamp, CAST(sum(CAST(coalesce(value, 0) AS DECIMAL(38,2))) AS DOUBLE) AS kwh,
        CASE user_id % 4 WHEN 0 THEN 'AL' WHEN 1 THEN 'CA' ELSE 'TX' END AS "State"
-FROM events WHERE value IS NOT NULL AND user_id % 4 < 3 GROUP BY 1, 3""",
+FROM events WHERE user_id % 4 < 3 GROUP BY 1, 3""",
     "parquet_tree_read": f"SELECT doc_id, lang, n_chars, {zf('doc_id % 7', 3)} AS puma FROM documents",
     "annual_extract": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, '07' AS state FROM customer WHERE c_nationkey = 7",
+    "extract_inferred_folder": """
+SELECT c_custkey, c_name, '11' AS state, '/by_state/basic/release_11' AS folder FROM customer WHERE c_nationkey = 11""",
     "county_reference_read": f"""
 SELECT fips || county AS county_fips5, 'G' || fips || county || '0' AS county, t.state, n_name AS county_name
 FROM (SELECT {zf('n_nationkey', 2)} AS fips, {zf('n_regionkey', 3)} AS county, n_name FROM nation) n
