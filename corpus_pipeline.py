@@ -14,8 +14,11 @@ Each stage works on all that its predecessor kept:
    copy, with its output shard and place.
 
 Clean documents pass the first four stages unchanged.  Where a text changes,
-``n_chars`` follows it.  Null texts count as empty, are kept by every
-filtering stage and are never copies of each other.
+``n_chars`` follows it.  Null texts count as empty; they, and texts without
+words, are kept by every filtering stage and are never copies of each other.
+Texts of any length are treated whole.  Of tied rows (one id, one text) the
+join keeps one.  Extra columns are carried through the first four stages under
+their names, whatever a stage calls its own.  Empty tables give no rows.
 """
 
 from __future__ import annotations

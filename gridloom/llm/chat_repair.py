@@ -29,7 +29,8 @@ null or empty text is an empty turn; turns are ordered by ``turn`` (null
 last), ties by role, then a hash of the text, so repeated rows stay
 adjacent; rows with a null conv_id form one conversation; control marks
 inside texts are broken up, so a text cannot open or close a turn; an empty
-table gives no rows.
+table gives no rows.  Texts of any length are rendered whole.  Only the four
+named columns are read, so others may clash with anything.
 """
 
 from __future__ import annotations

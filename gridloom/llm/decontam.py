@@ -17,7 +17,8 @@ whatever the benchmark's size, and documents are never shuffled.
 Edge cases: a null text has no words and is not contaminated, nor is a text
 without words; items that are null or have no words are no windows; repeated
 items count each under its own id (a null id is not listed); repeated
-document rows are each treated alike; an empty benchmark hits nothing.
+document rows are each treated alike; an empty benchmark hits nothing, an
+empty table of documents gives no rows; items that tie for a window all count.
 Documents of any length are streamed whole.  Input columns that clash with
 the operator's are replaced.
 """

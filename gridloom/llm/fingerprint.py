@@ -21,7 +21,8 @@ another empty one (1) and unlike any other (0); texts of fewer than
 ``FEATURE`` bytes are padded with zero bytes to one feature; texts of any
 length are read whole; repeated ids are ordered by a hash of the text, then
 the text, rows without an id come last; the next document of a single one is
-itself; an empty table gives no rows.
+itself; an empty table gives no rows.  Only the id and the text are read, so
+other columns may clash with anything.
 """
 
 from __future__ import annotations

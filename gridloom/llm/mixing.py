@@ -31,7 +31,8 @@ partitioning.
 Edge cases: a null or empty text has size 0 and is taken as often as its
 block; a null source is a source of its own, last in the order; a source
 without words has target 0 and is taken 0 times; identical rows share a
-block and are taken alike; an empty table gives no rows.  Input columns that
+block and are taken alike; texts of any length are counted whole; an empty
+table gives no rows.  Input columns that
 clash with the operator's (``size``, ``taken``, ``shard`` ...) are replaced.
 """
 

@@ -34,7 +34,9 @@ and link with nothing; a text of fewer than ``k`` words is one shingle (it
 never equals a full one); repeated rows (same id, same text) are one document
 in the join and come back as often as they came; rows that share an id with
 another text are documents of their own; a null id is never the smallest of
-a component unless it has no other.  An empty table gives no rows.
+a component unless it has no other.  Texts of any length are taken whole: a
+task holds the shingles of one.  An empty table gives no rows.  The join reads
+only the id and the text, so other columns may clash with anything.
 """
 
 from __future__ import annotations

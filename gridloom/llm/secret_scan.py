@@ -18,8 +18,8 @@ documents, ``train`` the transitions of these labelled tokens (label 1 random,
 Edge cases: a null text is empty and has no spans; ties (equal starts) are
 ordered by kind as listed; overlapping spans of different kinds are all kept;
 very long texts are scanned whole; repeated rows each give the same result;
-without training samples the ratio is 0 and nothing is added.  Input columns
-that clash with the operator's are replaced.
+without training samples the ratio is 0 and nothing is added; an empty table
+gives no rows.  Input columns that clash with the operator's are replaced.
 """
 
 from __future__ import annotations

@@ -24,7 +24,8 @@ Equal texts are one text with a number of copies; if it has several and
 Edge cases: a null text is empty; texts shorter than ``LENGTH`` bytes lose
 nothing; repeated rows are copies of each other, whatever their ids; a text
 may repeat itself; texts of any length are judged whole, as they came in;
-an empty table gives no rows.
+an empty table gives no rows.  Only the id and the text are read, so other
+columns may clash with anything.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ suffixes), which gives the same result without a broadcast.
 Edge cases: a null URL or one without ``://`` has empty host and path; such
 URLs, empty hosts and empty paths fit no rule (a rule's path starts with
 ``/``) and get the default verdict.  Repeated rows are judged each on its
-own.  Columns of the input keep their names; the operator's columns replace
+own, URLs of any length whole; of equal rules with both verdicts the block
+wins; an empty table gives no rows.  Columns of the input keep their names; the operator's columns replace
 input columns of the same name.
 """
 

@@ -18,8 +18,10 @@ few samples for training has no dictionary frame, which the format allows.
 Edge cases: a null payload is empty; records without an id have the id
 ``none`` and are read back with a null page id, and never refer to or stand
 for another; repeated rows of the page that is the response are responses
-too.  A null URL leaves the target header out; control characters in a URL
-are percent-encoded.  A frame or record that fails validation is returned
+too.  A payload of any length is one record, held whole by the task that
+writes it; an empty table gives no archives.  Only the three named columns are
+read, so others may clash with anything.  A null URL leaves the target header
+out; control characters in a URL are percent-encoded.  A frame or record that fails validation is returned
 with its ``error`` and null columns, it does not stop the job.
 """
 
