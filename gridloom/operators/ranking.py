@@ -84,17 +84,17 @@ def global_sequence(df: DataFrame, order: Sequence[Column | str], out: str = "se
             .drop("_pid", "_local", "_off"))
 
 
-def range_bounds(df: DataFrame, order: Sequence[Column | str], ranges: int, per_range: int = 50) -> list[Row] | None:
+def range_bounds(df: DataFrame, order: Sequence[Column | str], ranges: int, per_range: int = 50) -> list[Row]:
     """Up to ``ranges - 1`` ascending cut points of ``order``, from a sample of
     ``ranges * per_range`` rows: those with the least hash of their order key,
     so the same rows always give the same bounds.  A bounded top-k, whose rows
-    alone reach the driver.  None if ``df`` has fewer rows than that."""
+    alone reach the driver.  An input with fewer rows than that is cut into
+    fewer ranges, of at least ``per_range`` rows where two have as many."""
     key = F.struct(*[_col(c).alias(f"o{i}") for i, c in enumerate(order)])
     sample = df.select(key.alias("key")).orderBy(F.xxhash64("key"), "key").limit(ranges * per_range)
     found = sample.agg(F.array_sort(F.collect_list("key")).alias("keys")).first()["keys"]
-    if len(found) < ranges * per_range:
-        return None
-    cuts = [found[len(found) * i // ranges] for i in range(1, ranges)]
+    ranges = min(ranges, max(2, len(found) // per_range))
+    cuts = [found[len(found) * i // ranges] for i in range(1, ranges)] if found else []
     return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
 
 
@@ -105,24 +105,23 @@ def range_sequence(df: DataFrame, order: Sequence[Column | str], out: str = "seq
     ranges (a prefix sum over one count per range) plus its rank in its own.
 
     For inputs that are cheap to read twice, as the counts are made beside the
-    ranks.  An input smaller than the sample (3200 rows at the defaults) is one
-    range, ranked as it is.  ``order`` should be a total order; with fewer
-    distinct keys than ranges, or equal keys, a range is as wide as its keys
-    make it."""
+    ranks.  A small input has fewer ranges, two at least: a window over one
+    constant range would be planned without a partition.  ``order`` should be
+    a total order; with fewer distinct keys than ranges, or equal keys, a range
+    is as wide as its keys make it."""
     cuts = range_bounds(df, order, ranges)
-    first = start if isinstance(start, Column) else F.lit(start)
-    in_range = Window.partitionBy("_range").orderBy(*[_col(c) for c in order])
-    if cuts is None:
-        numbered = df.withColumn("_range", F.lit(0)).withColumn(out, (F.row_number().over(in_range) - 1 + first).cast("long"))
-        return numbered if keep_range else numbered.drop("_range")
     key = F.struct(*[_col(c).alias(f"o{i}") for i, c in enumerate(order)])
     fields = df.select(key.alias("key")).schema["key"].dataType.fields
     bounds = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, fields)]) for cut in cuts]
-    ranged = df.withColumn("_range", F.size(F.filter(F.array(*bounds), lambda c: c <= key)))
+    ranged = df.withColumn("_range", F.size(F.filter(F.array(*bounds), lambda c: c <= key)) if bounds else F.lit(0))
     counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
-    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    numbered = (ranged.withColumn("_rank", F.row_number().over(in_range)).join(F.broadcast(offsets), "_range")
+    # one row a range: their prefix sums are taken in one small array
+    listed = counts.agg(F.array_sort(F.collect_list(F.struct("_range", "_n"))).alias("_all"))
+    offsets = listed.select(F.inline(F.transform("_all", lambda c: F.struct(c["_range"].alias("_range"), F.aggregate(
+        F.filter("_all", lambda d: d["_range"] < c["_range"]), F.lit(0).cast("long"), lambda n, d: n + d["_n"]).alias("_off")))))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*[_col(c) for c in order]))
+    first = start if isinstance(start, Column) else F.lit(start)
+    numbered = (ranged.withColumn("_rank", rank).join(F.broadcast(offsets), "_range")
                 .withColumn(out, (F.col("_off") + F.col("_rank") - 1 + first).cast("long")).drop("_rank", "_off"))
     return numbered if keep_range else numbered.drop("_range")
 

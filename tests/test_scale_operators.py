@@ -106,3 +106,12 @@ def test_numbers_by_ranges_without_a_checkpoint(spark):
     assert widest < 3 * len(rows) / 9  # a hot key is cut too, by what follows it in the order
     assert range_sequence(df.limit(0), ["k"]).count() == 0
     assert [r["seq"] for r in range_sequence(df.limit(1), ["k"]).collect()] == [0]
+
+
+def test_a_small_input_is_numbered_in_partitions(spark):
+    df = spark.createDataFrame([(None if i % 5 == 0 else i % 3, i) for i in range(30)], "k int, id long").repartition(3)
+    out = range_sequence(df, ["k", "id"])
+    got = [r["id"] for r in sorted(out.collect(), key=lambda r: r["seq"])]
+    assert got == [i for _, i in sorted((-1 if i % 5 == 0 else i % 3, i) for i in range(30))]
+    specs = re.findall(r"windowspecdefinition\((\S+)", out._jdf.queryExecution().executedPlan().toString())
+    assert specs and all(s.startswith("_range#") for s in specs)
