@@ -4,20 +4,25 @@ A document's set is its distinct ``k``-word shingles.  The global n-gram
 order is cut into fragments:
 
 1. Map: each task hashes the shingles of its documents (64 bits), and ships
-   them packed, fragment by fragment.  A shingle that several documents of a
-   batch hold is shipped once as a mark, not once per document, so a shingle
-   of a third of all documents reaches its fragment once per batch.
-2. Each fragment tells which of its shingles occur in several documents; the
-   partial counts are summed per document.  A set of n shingles can only link
+   them packed, fragment by fragment, each with its document's place in the
+   batch (two bytes).  A shingle that several documents of a batch hold is
+   shipped once as a mark, not once per document, so a shingle of a third of
+   all documents reaches its fragment once per batch.  There are as many
+   fragments as the text needs, whatever the session's partitions.
+2. Each fragment tells which of its shingles occur in several documents; these
+   meet again batch by batch.  A set of n shingles can only link
    if three quarters of it are shared with others, so documents below that
    have no link and are done: most documents, whatever passages they share.
-3. Equal sets are one class.  In the order "shingles of one document first,
-   then by hash" two linked sets share a shingle of their prefixes (n -
-   ceil(0.75 n) + 1 shingles), and what either holds from there on in shared
-   shingles must still be enough for a link.  Each class is first paired with
-   neighbours in a random order of its prefix shingles' classes; at most
-   ``PARTNERS`` of these pairs a class are verified, and the links joined into
-   components.
+3. Equal sets are one class.  A second pass over the fragments counts the
+   classes of each shingle.  In the order "shingles of one document first, then
+   those of fewest classes, then by hash" two linked sets share a shingle of
+   their prefixes (n - ceil(0.75 n) + 1 shingles), and what either holds from
+   there on in shared shingles must still be enough for a link.  So a passage
+   of very many documents is in the prefix of those only that hold little
+   else, and does not bring the others together in pairs.  Each class is first
+   paired with neighbours in a random order of its prefix shingles' classes; at
+   most ``PARTNERS`` of these pairs a class are verified, and the links joined
+   into components.
 4. What is left are pairs of one prefix shingle in different components.  All
    of these are verified, each class outside the shingle's largest component
    against the others.  So a group of thousands of near copies is not expanded
@@ -36,7 +41,9 @@ in the join and come back as often as they came; rows that share an id with
 another text are documents of their own; a null id is never the smallest of
 a component unless it has no other.  Texts of any length are taken whole: a
 task holds the shingles of one.  An empty table gives no rows.  The join reads
-only the id and the text, so other columns may clash with anything.
+only the id and the text, so other columns may clash with anything.  Batches
+are numbered, so a task that runs again must read the same rows in the same
+order, as it does from files; if it does not, the join ends with an error.
 """
 
 from __future__ import annotations
@@ -48,22 +55,31 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import isolated, mix64, null_safe, release_memory, shuffle_partitions, store, stored_rows, text_slices
+from gridloom.llm.common import isolated, mix64, null_safe, release_memory, store, stored_rows, text_slices
 from gridloom.llm.components import connected_components
 
 K = 5
 BATCH_BYTES = 2 << 20
 FRAGMENTS = 64  # at least
+FRAGMENT_BYTES = 16 << 20  # of text, or of hashes
+OWNERS = 1 << 16
+SEGMENTS = 256
 VERIFY_FRAGMENTS = 4
 CELLS = 1024
 PARTNERS = 8
 
-_SHIPPED = ("key int, ids array<long>, texts array<long>, copies array<int>, sizes array<int>, "
-            "counts array<int>, hashes binary, marks binary")
-_SEGMENT = "doc_id long, text_key long, copies int, size int, held binary"
+_SHIPPED = ("key int, batch long, stamp long, rows int, hashes binary, owners binary, marks binary, "
+            "ids array<long>, texts array<long>, copies array<int>, sizes array<int>")
+_SEGMENT = ("batch long, stamp long, rows int, hashes binary, owners binary, "
+            "ids array<long>, texts array<long>, copies array<int>, sizes array<int>")
+_SETS = "doc_id long, text_key long, copies int, size int, node binary, held array<long>, cells array<long>"
+_COUNTED = "key int, batch long, part int, hashes binary, counts binary, nodes array<binary>, sizes array<int>, held array<int>"
+_RANKED = "batch long, part int, hashes binary, ranks binary, nodes array<binary>, sizes array<int>, held array<int>"
+_PREFIXES = "shingle long, node binary, size int, room int"
 
 
 def shingle_hashes(texts: pa.Array, k: int = K) -> tuple[np.ndarray, np.ndarray]:
@@ -92,12 +108,103 @@ def shingle_hashes(texts: pa.Array, k: int = K) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([h, whole]), np.concatenate([owner[at], short])
 
 
-def _ship(fragments: int, k: int):
-    def lists(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """One binary for the ``values`` between each two ``bounds``."""
+    values = np.ascontiguousarray(values)
+    offsets = np.ascontiguousarray(bounds, dtype=np.int64) * values.itemsize
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)]).cast(pa.binary())
+
+
+def _lists(values: pa.Array | np.ndarray, kind: pa.DataType) -> pa.Array:
+    """One list of all ``values``."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
+
+
+def _flat(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """(the values of all binaries, the bounds of each)."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    size = np.dtype(kind).itemsize
+    values = np.frombuffer(data, dtype=np.uint8)[at[0]:at[-1]].view(kind) if at[-1] > at[0] else np.zeros(0, kind)
+    return values, (at - at[0]) // size
+
+
+def _joined(columns: list[pa.Array], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """``_flat`` of several columns, one after the other."""
+    flat = [_flat(c, kind) for c in columns]
+    counts = [np.diff(bounds) for _, bounds in flat]
+    return (np.concatenate([v for v, _ in flat] or [np.zeros(0, kind)]),
+            np.concatenate([[0], np.cumsum(np.concatenate(counts or [np.zeros(0, np.int64)]))]).astype(np.int64))
+
+
+def _part_of(h: np.ndarray, fragments: int) -> np.ndarray:
+    part = (h >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
+    return part.astype(np.uint16 if fragments <= 1 << 16 else np.int64)
+
+
+def _neighbours(h: np.ndarray) -> np.ndarray:
+    """True in a sorted array where a value occurs more than once."""
+    same, equal = np.zeros(len(h), dtype=bool), h[1:] == h[:-1]
+    same[1:] |= equal
+    same[:-1] |= equal
+    return same
 
+
+def _distinct(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct shingles of each text: (hashes, owners, whether another
+    text of the batch holds it)."""
+    order = np.argsort(h)
+    met = order[_neighbours(h[order])]
+    met = met[np.lexsort((owner[met], h[met]))]
+    new = np.ones(len(met), dtype=bool)
+    new[1:] = (h[met][1:] != h[met][:-1]) | (owner[met][1:] != owner[met][:-1])
+    kept, shared = np.ones(len(h), dtype=bool), np.zeros(len(h), dtype=bool)
+    kept[met[~new]] = False
+    met = met[new]
+    shared[met[_neighbours(h[met])]] = True
+    return h[kept], owner[kept], shared[kept]
+
+
+def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Batches of at most 2 ** 16 rows, so that two bytes name a row, with a
+    number that no other batch of the stage has."""
+    task = TaskContext.get()
+    first, n = (task.partitionId() if task else 0) << 32, 0
+    for batch in batches:
+        for lo in range(0, batch.num_rows, OWNERS):
+            yield first + n, batch.slice(lo, OWNERS)
+            n += 1
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each batch number, of batches sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        number = batch.column("batch").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            if held and hi > lo and held[0].column("batch")[0].as_py() != number[lo]:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            if hi > lo:
+                held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _changed() -> RuntimeError:
+    return RuntimeError("a task that was run again read its rows in another order: store the documents first")
+
+
+def _ship(fragments: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text", BATCH_BYTES):
+        for number, batch in _numbers(text_slices(batches, "text", BATCH_BYTES)):
             texts = pc.fill_null(batch.column("text"), "")
             keys = np.fromiter((xxhash.xxh64_intdigest(t, seed=42) for t in texts.to_pylist()), np.uint64,
                                len(texts)).view(np.int64)  # as xxhash64() of SQL
@@ -106,63 +213,33 @@ def _ship(fragments: int, k: int):
             place: dict = {}
             first = [place.setdefault(x, len(place)) for x in zip(ids, keys.tolist())]
             firsts = np.unique(np.array(first, dtype=np.int64), return_index=True)[1]
-            copies = np.bincount(first, minlength=len(firsts)).astype(np.int32)
+            copies = np.bincount(first, minlength=len(firsts))
             ids = pa.array(batch.column("doc_id").take(pa.array(firsts)), pa.int64())
             keys, texts = keys[firsts], texts.take(pa.array(firsts))
-
-            h, owner = shingle_hashes(texts, k)
-            order = np.lexsort((h, owner))
-            h, owner = h[order], owner[order]
-            new = np.ones(len(h), dtype=bool)
-            new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-            h, owner = h[new], owner[new]
-            sizes = np.bincount(owner, minlength=len(firsts)).astype(np.int32)
-
-            by_hash = np.argsort(h, kind="stable")
-            same = np.zeros(len(h), dtype=bool)
-            if len(h):
-                equal = h[by_hash][1:] == h[by_hash][:-1]
-                same[by_hash[1:]] |= equal
-                same[by_hash[:-1]] |= equal
-            shared, shared_owner = h[same], owner[same]
-            marks = np.unique(shared)
-            mark_part = ((marks >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int64)
-            mark_at = np.searchsorted(mark_part, np.arange(fragments + 1))
-            alone, alone_owner = h[~same], owner[~same]
-            part = ((alone >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int32)
-            by_part = np.argsort(part, kind="stable")  # documents stay in order
-            alone, alone_owner, part = alone[by_part], alone_owner[by_part], part[by_part]
-            part_at = np.searchsorted(part, np.arange(fragments + 1))
-
-            rows: dict[str, list] = {n.split()[0]: [] for n in _SHIPPED.split(", ")}
-            for f in range(fragments):
-                lo, hi = part_at[f], part_at[f + 1]
-                held = marks[mark_at[f]:mark_at[f + 1]]
-                if hi == lo and not len(held):
-                    continue
-                docs, counts = np.unique(alone_owner[lo:hi], return_counts=True)
-                rows["key"].append(f)
-                rows["ids"].append(ids.take(pa.array(docs)))
-                rows["texts"].append(keys[docs])
-                rows["copies"].append(None)
-                rows["sizes"].append(None)
-                rows["counts"].append(counts.astype(np.int32))
-                rows["hashes"].append(alone[lo:hi].tobytes())
-                rows["marks"].append(held.tobytes())
+            stamp = xxhash.xxh64_intdigest(pc.fill_null(ids, 0).to_numpy().tobytes() + keys.tobytes()) >> 1
+
+            h, owner, shared = _distinct(*shingle_hashes(texts, k))
+            sizes, owner = np.bincount(owner, minlength=len(firsts)), owner.astype(np.uint16)
+            marks, alone = np.unique(h[shared]), h[~shared]
+            part = _part_of(alone, fragments)
+            by = np.argsort(part, kind="stable")  # documents stay in order
+            every = np.arange(fragments + 1)
+            at, mark_at = np.searchsorted(part[by], every), np.searchsorted(_part_of(marks, fragments), every)
+            some = np.flatnonzero((np.diff(at) > 0) | (np.diff(mark_at) > 0))
+            none = [pa.nulls(fragments, pa.list_(t)) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32())]
+            rows = pa.RecordBatch.from_arrays(
+                [pa.array(every[:-1], pa.int32()), pa.array(np.full(fragments, number), pa.int64()),
+                 pa.array(np.full(fragments, stamp), pa.int64()),
+                 pa.array(np.full(fragments, len(some) + 1), pa.int32()), _binaries(alone[by], at),
+                 _binaries(owner[~shared][by], at), _binaries(marks, mark_at), *none], _names(_SHIPPED))
+            yield rows.take(pa.array(some))
             # every document, with what is known to be shared already
-            rows["key"].append(int(keys[0] % fragments))
-            rows["ids"].append(ids)
-            rows["texts"].append(keys)
-            rows["copies"].append(copies)
-            rows["sizes"].append(sizes)
-            rows["counts"].append(np.bincount(shared_owner, minlength=len(firsts)).astype(np.int32))
-            rows["hashes"].append(shared.tobytes())
-            rows["marks"].append(b"")
-            kinds = {"key": pa.int32(), "ids": pa.list_(pa.int64()), "texts": pa.list_(pa.int64()),
-                     "hashes": pa.binary(), "marks": pa.binary()}
+            ends = np.array([0, int(shared.sum())])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x.to_pylist() if isinstance(x, pa.Array) else x for x in v],
-                          kinds.get(n, pa.list_(pa.int32()))) for n, v in rows.items()], list(rows))
+                [pa.array([stamp % fragments], pa.int32()), pa.array([number], pa.int64()), pa.array([stamp], pa.int64()),
+                 pa.array([len(some) + 1], pa.int32()), _binaries(h[shared], ends), _binaries(owner[shared], ends), pa.array([b""]),
+                 _lists(ids, pa.int64()), _lists(keys, pa.int64()), _lists(copies, pa.int32()), _lists(sizes, pa.int32())],
+                _names(_SHIPPED))
         release_memory()
 
     return run
@@ -170,92 +247,183 @@ def _ship(fragments: int, k: int):
 
 def _fragment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One fragment of the order: which of its shingles several documents
-    hold; one row per document with those of its shingles, as bytes."""
-
-    def emit(ids, texts, copies, sizes, counts, hashes: np.ndarray) -> pa.RecordBatch:
-        offsets = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]) * 8
-        held = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(hashes.tobytes())])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), copies, sizes, held.cast(pa.binary())],
-            ["doc_id", "text_key", "copies", "size", "held"])
-
-    parts = []
+    hold; one row per row of a batch, with those of its shingles."""
+    names, parts = _names(_SEGMENT), []
     for batch in batches:
-        for row in batch.to_pylist():
-            hashes = np.frombuffer(row["hashes"], dtype=np.uint64)
-            if row["sizes"] is not None:
-                yield emit(row["ids"], row["texts"], pa.array(row["copies"], pa.int32()),
-                           pa.array(row["sizes"], pa.int32()), row["counts"], hashes)
-            else:
-                parts.append((row["ids"], np.array(row["texts"], dtype=np.int64),
-                              np.array(row["counts"], dtype=np.int64), hashes,
-                              np.frombuffer(row["marks"], dtype=np.uint64)))
-    if not parts:
-        return
-    h = np.concatenate([p[3] for p in parts])
-    marks = np.unique(np.concatenate([p[4] for p in parts]))
-    order = np.argsort(h, kind="stable")
-    ordered = h[order]
+        whole = pc.is_valid(batch.column("sizes"))
+        yield batch.filter(whole).select(names)
+        parts.append(batch.filter(pc.invert(whole)))
+    h, bounds = _joined([p.column("hashes") for p in parts], np.uint64)
+    owner, _ = _joined([p.column("owners") for p in parts], np.uint16)
+    marks = np.unique(_joined([p.column("marks") for p in parts], np.uint64)[0])
+    rows = [p.select([n for n in names if n not in ("hashes", "owners")]) for p in parts]
+    del parts
+    order = np.argsort(h)
     same = np.zeros(len(h), dtype=bool)
-    if len(h):
-        equal = ordered[1:] == ordered[:-1]
-        same[order[1:]] |= equal
-        same[order[:-1]] |= equal
-    del order, ordered
+    same[order[_neighbours(h[order])]] = True
+    del order
     if len(marks):
-        at = np.minimum(np.searchsorted(marks, h), len(marks) - 1)
-        same |= marks[at] == h
-    lo = 0
-    for ids, texts, counts, hashes, _ in parts:
-        kept = same[lo:lo + len(hashes)]
-        lo += len(hashes)
-        owner = np.repeat(np.arange(len(counts)), counts)[kept]
-        if len(owner):
-            left = np.bincount(owner, minlength=len(counts))
-            some = np.flatnonzero(left)
-            none = pa.nulls(len(some), pa.int32())
-            yield emit([ids[i] for i in some], texts[some], none, none, left[some], hashes[kept])
-    del parts, h, marks, same
+        same |= marks[np.minimum(np.searchsorted(marks, h), len(marks) - 1)] == h
+    ends = np.concatenate([[0], np.cumsum(same)])[bounds]
+    h, owner, lo = h[same], owner[same], 0
+    for batch in rows:
+        for at in range(0, batch.num_rows, SEGMENTS):
+            part = batch.slice(at, SEGMENTS)
+            cut = ends[lo:lo + part.num_rows + 1]
+            lo += part.num_rows
+            held = {n: _binaries(v[cut[0]:cut[-1]], cut - cut[0]) for n, v in (("hashes", h), ("owners", owner))}
+            yield pa.RecordBatch.from_arrays([held[n] if n in held else part.column(n) for n in names], names)
     release_memory()
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of a batch with their shared shingles, if these are at
+    least three quarters of the set: the class of a set that is shared as a
+    whole is its digest, any other set holds a shingle of its own and is a
+    class alone."""
+    for rows in _runs(batches):
+        whole = rows.filter(pc.is_valid(rows.column("sizes")))
+        if whole.num_rows != 1 or len(pc.unique(rows.column("stamp"))) != 1 or whole.column("rows")[0].as_py() != rows.num_rows:
+            raise _changed()
+        ids, keys, copies, sizes = (whole.column(n).combine_chunks().flatten() for n in ("ids", "texts", "copies", "sizes"))
+        h, _ = _joined(rows.column("hashes").chunks, np.int64)
+        owner, _ = _joined(rows.column("owners").chunks, np.uint16)
+        size = sizes.to_numpy()
+        n = np.bincount(owner, minlength=len(size))
+        enough = (4 * n >= 3 * size) & (size > 0)
+        some = enough[owner]
+        h, owner = h[some], owner[some]
+        h = h[np.lexsort((h, owner))]
+        ends = np.concatenate([[0], np.cumsum(np.where(enough, n, 0))])
+        digest, cells = [None] * len(size), np.zeros((len(size), CELLS), dtype=bool)
+        for i in np.flatnonzero(enough):
+            held = h[ends[i]:ends[i + 1]]
+            own = b"" if n[i] == size[i] else f"{ids[i].as_py()}:{keys[i].as_py()}".encode()
+            digest[i] = hashlib.blake2b(held.tobytes() + own, digest_size=16).digest()
+            cells[i, held & (CELLS - 1)] = True
+        words, wide = np.packbits(cells[enough], axis=1).view(np.int64).ravel(), CELLS // 64
+        absent = pa.array(~enough)
+        yield pa.RecordBatch.from_arrays(
+            [ids, keys, copies, sizes, pa.array(digest, pa.binary()),
+             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h, pa.int64()), mask=absent),
+             pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(enough * wide)]), pa.int32()),
+                                      pa.array(words, pa.int64()), mask=absent)], _names(_SETS))
+    release_memory()
+
+
+def _by_batch(rows: DataFrame, tasks: int, *then: str) -> DataFrame:
+    return rows.repartitionById(tasks, F.pmod(F.xxhash64("batch"), F.lit(tasks)).cast("int")).sortWithinPartitions("batch", *then)
+
+
 def shingle_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
-    """One row per distinct (doc_id, text): copies, size (distinct shingles)
-    and ``parts``, the byte segments of its shared shingles if these are at
-    least three quarters of the set, else null."""
-    fragments = max(FRAGMENTS, shuffle_partitions(docs))
-    shipped = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
-                          ).mapInArrow(_ship(fragments, k), _SHIPPED)
-    segments = (shipped.repartitionById(fragments, F.col("key"))
+    """One row per distinct (doc_id, text) of a batch: copies, size (distinct
+    shingles) and, if its shared shingles are at least three quarters of the
+    set, ``held``, these, and the class ``node`` with its bitmap ``cells``.
+    Rows of one document in several batches agree but for the copies."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # fragments follow the text, not the session: each costs a row per batch, and is held by its task
+    text_bytes = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    fragments = max(FRAGMENTS, -(-text_bytes // FRAGMENT_BYTES))
+    segments = (rows.mapInArrow(_ship(fragments, k), _SHIPPED).repartitionById(fragments, F.col("key"))
                 .mapInArrow(_fragment, _SEGMENT))
-    enough = F.sum(F.octet_length("held")) / 8 * 4 >= 3 * F.max("size")
-    return (segments.groupBy("doc_id", "text_key")
-            .agg(F.sum("copies").alias("copies"), F.max("size").alias("size"),
-                 F.when(enough & (F.max("size") > 0), F.collect_list("held")).alias("parts")))
+    return _by_batch(segments, fragments).mapInArrow(_sets, _SETS)
 
 
-def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Join the segments; the class of a set that is shared as a whole is its
-    digest, any other set holds a shingle of its own and is a class alone."""
+def _count(fragments: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, batch in _numbers(_set_slices(batches)):
+            held = batch.column("held")
+            h = held.flatten().to_numpy().view(np.uint64)
+            found, counts = np.unique(h, return_counts=True)
+            every = np.arange(fragments + 1)
+            at = np.searchsorted(_part_of(found, fragments), every)
+            kinds = (pa.binary(), pa.int32(), pa.int32())
+            rows = pa.RecordBatch.from_arrays(
+                [pa.array(every[:-1], pa.int32()), pa.array(np.full(fragments, number), pa.int64()),
+                 pa.array(every[:-1], pa.int32()), _binaries(found, at), _binaries(counts.astype(np.uint32), at),
+                 *[pa.nulls(fragments, pa.list_(t)) for t in kinds]], _names(_COUNTED))
+            yield rows.filter(pa.array(np.diff(at) > 0))
+            # the sets, which come first of their batch
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number % fragments], pa.int32()), pa.array([number], pa.int64()), pa.array([-1], pa.int32()),
+                 _binaries(h, np.array([0, len(h)])), pa.array([b""]), _lists(batch.column("node"), kinds[0]),
+                 _lists(batch.column("size"), kinds[1]), _lists(pc.list_value_length(held), kinds[2])], _names(_COUNTED))
+        release_memory()
+
+    return run
+
+
+def _set_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cuts like those of ``text_slices``, by the shingles of the sets."""
+    for batch in batches:
+        before = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("held")).to_numpy(), dtype=np.int64)]) * 8
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(before, before[at] + BATCH_BYTES, "right")) - 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def _rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One fragment of the order: by how many classes each of its shingles is
+    held, as a byte: 0 for a single one, then eight steps per doubling."""
+    names, parts = _names(_RANKED), []
     for batch in batches:
-        out: dict[str, list] = {n: [] for n in ("doc_id", "text_key", "node", "size", "held", "cells")}
-        for row in batch.to_pylist():
-            held = np.unique(np.frombuffer(b"".join(row["parts"]), dtype=np.int64))
-            if 4 * len(held) < 3 * row["size"]:
-                continue
-            own = b"" if len(held) == row["size"] else f"{row['doc_id']}:{row['text_key']}".encode()
-            out["doc_id"].append(row["doc_id"])
-            out["text_key"].append(row["text_key"])
-            out["node"].append(hashlib.blake2b(held.tobytes() + own, digest_size=16).digest())
-            out["size"].append(row["size"])
-            out["held"].append(held)
-            cells = np.zeros(CELLS, dtype=bool)
-            cells[held & (CELLS - 1)] = True
-            out["cells"].append(np.packbits(cells).view(np.int64))
+        whole = pc.is_valid(batch.column("sizes"))
+        sets = batch.filter(whole)
+        yield pa.RecordBatch.from_arrays([sets.column("counts" if n == "ranks" else n) for n in names], names)
+        parts.append(batch.filter(pc.invert(whole)))
+    h, bounds = _joined([p.column("hashes") for p in parts], np.uint64)
+    counts, _ = _joined([p.column("counts") for p in parts], np.uint32)
+    found, place = np.unique(h, return_inverse=True)
+    total = np.bincount(place, weights=counts, minlength=len(found))
+    ranks = np.minimum(8 * np.log2(np.maximum(total, 1)), 255).astype(np.uint8)[place]
+    lo = 0
+    for batch in parts:
+        cut = bounds[lo:lo + batch.num_rows + 1]
+        lo += batch.num_rows
+        column = {"hashes": pa.array([b""] * batch.num_rows, pa.binary()), "ranks": _binaries(ranks[cut[0]:cut[-1]], cut - cut[0])}
+        yield pa.RecordBatch.from_arrays([column[n] if n in column else batch.column(n) for n in names], names)
+    release_memory()
+
+
+def _first_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The prefixes of the sets of a batch, whose ranks follow them by
+    fragment and so by hash."""
+    for rows in _runs(batches):
+        whole = rows.filter(pc.equal(rows.column("part"), -1))
+        if whole.num_rows != 1:
+            raise _changed()
+        nodes, sizes, n = (whole.column(c).combine_chunks().flatten() for c in ("nodes", "sizes", "held"))
+        h, _ = _joined(whole.column("hashes").chunks, np.uint64)
+        ranks, _ = _joined(rows.column("ranks").chunks, np.uint8)
+        found, place = np.unique(h, return_inverse=True)
+        if len(found) != len(ranks):
+            raise _changed()
+        rank, owner, size = ranks[place], np.repeat(np.arange(len(n)), n.to_numpy()), sizes.to_numpy()
+        shared = rank > 0
+        h, rank, owner = h[shared], rank[shared], owner[shared]
+        order = np.lexsort((h, rank, owner))
+        h = h[order]
+        held = np.bincount(owner, minlength=len(size))
+        room = np.repeat(np.cumsum(held), held) - np.arange(len(h))
+        # what either set holds from a shared shingle on must suffice for three quarters of it
+        first = 4 * room >= 3 * size[owner]
+        owner = owner[first]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(v, t) for v, t in zip(out.values(), (
-                pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())))], list(out))
+            [pa.array(h[first].view(np.int64)), nodes.take(pa.array(owner)), sizes.take(pa.array(owner)),
+             pa.array(room[first], pa.int32())], _names(_PREFIXES))
+    release_memory()
+
+
+def prefixes(nodes: DataFrame) -> DataFrame:
+    """(shingle, node, size, room): the prefix of each class in the order
+    "shingles of fewest classes first, then by hash", without the shingles of
+    a single class, and how many shared shingles it holds from there on."""
+    fragments = max(VERIFY_FRAGMENTS * 4, -(-(nodes.agg(F.sum("n_held").alias("n")).first()["n"] or 0) * 8 // FRAGMENT_BYTES))
+    counted = nodes.select("node", "size", "held").mapInArrow(_count(fragments), _COUNTED)
+    ranked = counted.repartitionById(fragments, F.col("key")).mapInArrow(_rank, _RANKED)
+    return _by_batch(ranked, fragments, "part").mapInArrow(_first_shingles, _PREFIXES)
 
 
 def _lacking(one: str, other: str) -> Column:
@@ -272,8 +440,8 @@ def _overlap_bound(held: str, cells: str, o_held: str, o_cells: str) -> Column:
 
 def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose bitmaps leave room for a link."""
-    left = nodes.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.size("held").alias("n_a"), F.col("cells").alias("cells_a"))
-    right = nodes.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.size("held").alias("n_b"), F.col("cells").alias("cells_b"))
+    left = nodes.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("n_held").alias("n_a"), F.col("cells").alias("cells_a"))
+    right = nodes.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("n_held").alias("n_b"), F.col("cells").alias("cells_b"))
     most = _overlap_bound("n_a", "cells_a", "n_b", "cells_b")
     return (pairs.join(left, "a").join(right, "b")
             .filter(7 * most >= 3 * (F.col("size_a") + F.col("size_b"))).select("a", "b"))
@@ -335,22 +503,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n_shingles, component_id (the smallest doc_id reachable by links, itself
     included), copy (1, 2 .. for repeated rows) and kept: true for one row of
     each component, that with the smallest doc_id."""
-    documents = store(shingle_documents(docs, id_col, text_col, k), "shingled")
-    members = store(documents.filter("parts is not null").select("doc_id", "text_key", "size", "parts")
-                    .mapInArrow(_classes, "doc_id long, text_key long, node binary, size int, held array<long>, cells array<long>"),
-                    "members")
-    nodes = store(members.groupBy("node").agg(F.first("size").alias("size"), F.first("held").alias("held"),
-                                              F.first("cells").alias("cells")), "nodes")
-    # shingles that no other document holds come first in the order
-    prefix = F.expr("size - ceil(0.75 * size) + 1 - (size - size(held))").cast("int")
-    entries = nodes.select("node", "size", F.size("held").alias("n_held"),
-                           F.posexplode(F.slice("held", F.lit(1), F.greatest(prefix, F.lit(0)))).alias("at", "shingle"))
-    entries = store(entries.select("shingle", "node", "size", (F.col("n_held") - F.col("at")).alias("room")), "prefixes")
+    shingled = store(shingle_documents(docs, id_col, text_col, k), "shingled")
+    documents = shingled.groupBy("doc_id", "text_key").agg(
+        F.sum("copies").alias("copies"), F.max("size").alias("size"), F.max("node").alias("node"))
+    nodes = store(shingled.filter("node is not null").groupBy("node").agg(
+        F.first("size").alias("size"), F.first("held").alias("held"), F.first("cells").alias("cells"))
+        .withColumn("n_held", F.size("held")), "nodes")
+    entries = store(prefixes(nodes), "prefixes")
     links = store(_links(_possible(_partners(entries), nodes), nodes), "links")
     found = connected_components(links)
 
     # all pairs of one prefix shingle whose components still differ
-    left = _place(entries, found).join(nodes.select("node", "cells", F.size("held").alias("n_held")), "node")
+    left = _place(entries, found).join(nodes.select("node", "cells", "n_held"), "node")
     columns = ("node", "size", "room", "component", "n_held", "cells")
     one = left.filter("component <> largest").select("shingle", *[F.col(c).alias(f"l_{c}") for c in columns])
     two = left.select("shingle", *[F.col(c).alias(f"r_{c}") for c in columns])
@@ -363,7 +527,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if n_more:
         found = connected_components(links.unionByName(more))
 
-    grouped = (members.select("doc_id", "text_key", "node").join(found, "node", "left")
+    grouped = (documents.filter("node is not null").select("doc_id", "text_key", "node").join(found, "node", "left")
                .withColumn("component", F.coalesce("component", "node")))
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     smallest = (grouped.groupBy("component").agg(F.min(own).alias("least"), F.count("*").alias("n")).filter("n > 1"))
